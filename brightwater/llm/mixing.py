@@ -65,6 +65,15 @@ def _running(df: DataFrame, groups: list[str], order: list) -> DataFrame:
     return joined.withColumn("before", F.col("_start") + F.coalesce(F.sum("size").over(inner), F.lit(0))).drop("_start")
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *more: Column) -> DataFrame:
+    source, doc_id = F.col(f"`{source_col}`"), F.col(f"`{id_col}`")
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+    return docs.select(*more, doc_id.alias("id"), digest.alias("digest"), source.alias("source"),
+                       # A flow's name sorts as its source does by code point, and null comes last.
+                       F.when(source.isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("flow"),
+                       F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+
+
 def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
     """A row per document and pass: id, source, size, source_size, target, pass, finish, served (boolean).
@@ -72,13 +81,8 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ordered by (finish, source, digest, id, pass), the served rows are the mix. ``weights``
     repeat over the sources in code point order.
     """
-    source = F.col(f"`{source_col}`")
-    sizes = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(f"`{id_col}`").alias("id"), source.alias("source"),
-                        # A flow's name sorts as its source does by code point, and null comes last.
-                        F.when(source.isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("flow"),
-                        F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("null"))).cast("binary"))
-    sizes = materialize(sizes.withColumn("digest", digest), "mix-sizes")
+    sizes = _sized(docs, id_col, text_col, source_col, seed, F.monotonically_increasing_id().alias("row_no"))
+    sizes = materialize(sizes, "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, most), "mix-targets")
     # The first three hex digits are 4096 ranges of the shuffled order within each flow.
     queued = _running(sizes.withColumn("range", F.substring("digest", 1, 3)), ["flow", "range"], ["digest", "id", "size", "row_no"])
@@ -113,3 +117,21 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     firsts = [F.first(c).alias(c) for c in ("id", "size", "source_size", "target")]
     out = copies.groupBy("row_no").agg(*firsts, taken.cast("long").alias("taken"))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def repeat_by_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", **options) -> DataFrame:
+    """The mix as documents: each row of ``docs`` as often as the mix takes it, with its own columns.
+
+    In each pass, what is served of a source is a prefix of its shuffled order, so a row per
+    source and pass says where the prefix ends, and texts need neither a shuffle nor a join by
+    id. Rows alike in id and size are taken together.
+    """
+    copies = fair_queue(docs, id_col, text_col, source_col, seed=seed, **options)
+    ends = copies.filter("served").groupBy("flow", "pass").agg(F.max(F.struct("digest", "id", "size")).alias("end"))
+    ends = materialize(ends.groupBy("flow").agg(F.collect_list("end").alias("ends")), "mix-ends")
+    rows = _sized(docs.select(F.struct("*").alias("doc"), *[docs[c] for c in {id_col, text_col, source_col}]), id_col, text_col, source_col, seed, F.col("doc"))
+    own = F.struct("digest", "id", "size")
+    # The ends of a source are as many as there are passes.
+    times = F.size(F.filter("ends", lambda e: own <= e))
+    taken = rows.join(ends, "flow").withColumn("times", times).filter("times > 0")
+    return taken.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("again")).select("doc.*")
