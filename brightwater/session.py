@@ -47,3 +47,21 @@ def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> D
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors once per application, so that Python tasks can import it anywhere."""
+    import os
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_brightwater_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "brightwater_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    context.addPyFile(path)
+    context._brightwater_shipped = True
