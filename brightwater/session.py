@@ -43,6 +43,7 @@ def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> D
     sizes, and keeps a text scan from being run once for each reader.
     """
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{shared_dir(spark)}/brightwater/{name}-{uuid.uuid4().hex[:12]}"
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.parquet(path)
