@@ -17,6 +17,7 @@ are never looked at.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,14 +30,22 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-#: Distinct words whose ids a worker remembers.
+#: Words and their parts whose ids a worker remembers.
 REMEMBER = 600_000
 #: A word that stands between the words of one call to the tokenizer; words that hold it are asked for alone.
 MARK = b"^"
+#: Texts of at least this many words are done in parts.
+LONG = 20_000
+#: A letter (ASCII, Latin-1 or Cyrillic, in UTF-8), then ASCII punctuation to the end that can't start a contraction.
+_TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xd0\xd1][\x80-\xbf]))([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)", re.DOTALL)
 
 
 class WordTokenizer:
-    """Ids of whole texts for a tokenizer that never joins text across white space."""
+    """Ids of whole texts for a lower-casing tokenizer that never joins text across white space.
+
+    What is remembered are the parts of words: a run of ASCII punctuation at a word's end is a token
+    run of its own, so ``word``, ``Word`` and ``word,`` ask the tokenizer once.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,10 +56,7 @@ class WordTokenizer:
     def _encode(self, text: bytes) -> np.ndarray:
         return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self._known) + len(words) > REMEMBER:
-            self._known = {}
-        new = [w for w in words if w not in self._known]
+    def _ask(self, new: list[bytes]) -> None:
         self._known.update((w, self._encode(w).tobytes()) for w in new if MARK in w)
         new = [w for w in new if MARK not in w]
         mark = self._encode(MARK)
@@ -64,32 +70,38 @@ class WordTokenizer:
             raw, starts, ends = ids.tobytes(), [0, *(cuts * 4 + 4).tolist()], [*(cuts * 4).tolist(), len(ids) * 4]
             self._known.update((w, raw[i:j]) for w, i, j in zip(part, starts, ends, strict=True))
 
+    def learn(self, words: set[bytes]) -> None:
+        """Afterwards all these words are known."""
+        if len(self._known) + len(words) > REMEMBER:
+            self._known = {}
+        known = self._known
+        new = [w for w in words if w not in known]
+        parted = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
+        asked = {w for w in new if w not in parted}
+        for core, tail in parted.values():
+            asked.add(core), asked.add(tail)
+        self._ask([w for w in asked if w not in known])
+        for w, (core, tail) in parted.items():
+            known[w] = known[core] + known[tail]
+
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        for text in texts:
-            words = text.split()
+        """Little-endian 32-bit ids of each text. The texts are few, or short."""
+        split = [t.lower().split() for t in texts]
+        for k in range(0, len(split), 256):
+            distinct: set[bytes] = set()
+            for words in split[k:k + 256]:
+                if len(words) < LONG:
+                    distinct.update(words)
+            self.learn(distinct)
             known = self._known
-            try:
-                yield b"".join([known[w] for w in words])
-            except KeyError:
-                distinct = set(words)
-                if len(distinct) > REMEMBER // 2:  # a text with more words than are remembered
-                    yield b"".join(self._long(words))
-                    continue
-                self.learn(distinct)
-                known = self._known
-                if any(w not in known for w in distinct):
-                    self._known = {}
-                    self.learn(distinct)
-                    known = self._known
-                yield b"".join([known[w] for w in words])
+            short = [None if len(words) >= LONG else b"".join([known[w] for w in words]) for words in split[k:k + 256]]
+            for words, found in zip(split[k:k + 256], short, strict=True):
+                yield b"".join(self._long(words)) if found is None else found
 
     def _long(self, words: list[bytes]) -> Iterator[bytes]:
-        for k in range(0, len(words), 100_000):
-            self.learn(set(words[k:k + 100_000]))
-            missing = {w for w in words[k:k + 100_000] if w not in self._known}
-            self.learn(missing)
-            yield b"".join([self._known[w] for w in words[k:k + 100_000]])
+        for k in range(0, len(words), LONG):
+            self.learn(set(words[k:k + LONG]))
+            yield b"".join([self._known[w] for w in words[k:k + LONG]])
 
 
 @lru_cache(maxsize=2)
@@ -114,7 +126,6 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_i
         for b in it:
             texts = [(t or "").encode() for t in b.column("text").to_pylist()]
             for k in range(0, len(texts), 256):
-                tokenizer.learn({w for t in texts[k:k + 256] if len(t) < 100_000 for w in t.split()})
                 row, piece, start, size, crc, ids = [], [], [], [], [], []
                 for i, found in enumerate(tokenizer.ids(texts[k:k + 256]), k):
                     found += end
