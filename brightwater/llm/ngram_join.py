@@ -1,20 +1,20 @@
 """N-gram Jaccard self join by T-occurrence search (DivideSkip).
 
-Where documents meet. If two sets have a Jaccard similarity of at least p %, they differ in at
-most D = n (100 - p) / p elements, n being the smaller size. The space of n-gram hashes is cut
-into D + 1 + SPARE parts, so at least 1 + SPARE parts hold the very same elements in both sets.
-A document therefore sends one signature per part that isn't empty (documents with more than
-SPARE empty parts send those too), and documents that share a signature are candidates. Sizes
-are in classes so narrow that partners lie in the same or the next class; a document signs for
-both. This loses no pair, and a passage or line shared by many documents brings none together,
-as a part mixes n-grams of the whole text.
+Where documents meet. Order all n-grams by how many documents have them, rare ones first (counts
+come from a sketch of ``COUNTERS`` counters over all documents; any order loses nothing, a good one
+keeps passages that many documents share out of the way). The first n-gram of that order that two
+linked sets of n and m elements share lies among the first n - T + 1 of one and m - T' + 1 of the
+other, T being the overlap that a set's own size asks for. So a document signs with those
+n-grams, and documents that share a signature are candidates. Sizes are in classes so narrow
+that partners lie in the same or the next class; a document signs for both. No pair is lost.
 
 Who is compared. Candidates of a signature aren't paired with each other: each is joined to the
 least id of the signature (first within a map task, then across them, so a signature sent by a
 third of all rows arrives once per task). Each such pivot is a query over the inverted lists of
-its candidates, dealt in blocks. Whatever families then still fall into several components are
-searched again: every member outside a family's largest component is a query over blocks of
-the whole family. A link between two components has an end outside the largest, so none is lost.
+its candidates, dealt in blocks. Two documents that meet are below the same pivot, at once or by their
+tasks' pivots. So where what is below a pivot still falls into several components, every document
+outside the largest component is a query over blocks of what is below that pivot. A link between two components has an end
+outside the largest, so none is lost.
 
 How a query is answered. It needs documents that occur on at least T of its lists. The L
 longest lists are set aside, the rest are heap-merged for documents that occur T - L times,
@@ -34,7 +34,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -42,10 +42,11 @@ from .common import bitmap_of, drop_matching, in_bitmap
 from .components import components
 from .words import FOLD, SPACE, Segments, batches, mix, ngrams
 
-SPARE = 2
+COUNTER_BITS = 20
+COUNTERS, CHUNKS, SALTS = 1 << COUNTER_BITS, 64, 256
 #: Signatures that a map task holds before it sends them, and members of a block.
-FLUSH, BLOCK = 2_000_000, 512
-CANDIDATE, SAME, SIZE = 0, 1, 2
+FLUSH, BLOCK = 1_000_000, 512
+CANDIDATE, SAME, SIZE, MEET = 0, 1, 2, 3
 _ROWS = "key long, a long, b long, kind int"
 
 
@@ -76,34 +77,53 @@ def size_classes(largest: int, percent: int) -> np.ndarray:
     return np.array([*ends, max(ends[-1] + 1, ends[-1] * 100 // percent)], np.int64)
 
 
-def signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, owner) for both size classes of every set."""
-    ends = size_classes(int(sizes.max(initial=1)), percent)
-    own = np.searchsorted(ends, sizes)
-    values = mix(grams + np.uint64(0xD1B54A32D192ED03))
-    out_sig, out_doc = [], []
-    for step in (0, 1):
-        tag = own + step
-        differ = ends[tag] * (100 - percent) // percent
-        parts = np.where(differ == 0, 1, differ + 1 + SPARE)
-        part = ((grams >> np.uint64(32)) * parts[owner].astype(np.uint64)) >> np.uint64(32)
-        opens = np.ones(len(grams), bool)
-        opens[1:] = (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])
-        opens = np.flatnonzero(opens)
-        if not len(opens):
-            continue
-        place = mix(tag[owner[opens]].astype(np.uint64) * np.uint64(1 << 40) + part[opens])
-        out_sig.append(mix(np.add.reduceat(values, opens) ^ place))
-        out_doc.append(owner[opens])
-        sparse = np.flatnonzero((sizes > 0) & (parts - np.bincount(owner[opens], minlength=len(sizes)) > SPARE))
-        for d in sparse:
-            mine = part[opens[owner[opens] == d]]
-            empty = np.setdiff1d(np.arange(parts[d], dtype=np.uint64), mine)
-            out_sig.append(mix(mix(np.uint64(int(tag[d]) << 40) + empty)))
-            out_doc.append(np.full(len(empty), d))
-    if not out_sig:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out_sig), np.concatenate(out_doc)
+def sketch_counts(rows: DataFrame, words: int) -> np.ndarray:
+    """How many documents have n-grams of each of ``COUNTERS`` hash ranges: 4 MB, whatever the input.
+
+    Tasks send their counters above 0; they are summed in two steps, so no task adds up those of all others.
+    """
+    width, chunks = COUNTERS // CHUNKS, CHUNKS
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for b in it:
+            for _, _, grams, _ in shingle_sets(b.column("text"), words):
+                total += np.bincount((grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
+        parts = [(c, np.flatnonzero(total[c * width:(c + 1) * width])) for c in range(chunks)] if total.any() else []
+        salt = int(total.sum() % SALTS)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([c for c, _ in parts], pa.int32()), pa.array([salt] * len(parts), pa.int32()),
+            pa.array([at.astype("<u2").tobytes() for _, at in parts], pa.binary()),
+            pa.array([np.minimum(total[c * width + at], 2**32 - 1).astype("<u4").tobytes() for c, at in parts], pa.binary())], ["chunk", "salt", "at", "n"])
+
+    def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for b in tables:
+            for at, n in zip(b.column("at").to_pylist(), b.column("n").to_pylist(), strict=True):
+                total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4")
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([at.astype("<u2").tobytes()], pa.binary()),
+            pa.array([np.minimum(total[at], 2**32 - 1).astype("<u4").tobytes()], pa.binary())], ["chunk", "salt", "at", "n"])
+
+    schema = "chunk int, salt int, at binary, n binary"
+    summed = rows.select("text").mapInArrow(count, schema).groupBy("chunk", "salt").applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema)
+    out = np.zeros(COUNTERS, np.int64)
+    for r in summed.collect():  # CHUNKS rows
+        out[r["chunk"] * width + np.frombuffer(r["at"], "<u2").astype(np.int64)] = np.frombuffer(r["n"], "<u4")
+    return np.minimum(out, 2**32 - 1).astype(np.uint32)
+
+
+def signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, owner) for both size classes of every set. grams are ordered by owner and hash."""
+    rarity = counts[(grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | rarity, kind="stable")
+    starts = np.cumsum(sizes) - sizes
+    sent = sizes - -(-percent * sizes // 100) + 1
+    order = order[np.arange(len(order)) - starts[owner] < sent[owner]]  # owner is ascending either way
+    grams, owner = grams[order], owner[order]
+    own = np.searchsorted(size_classes(int(sizes.max(initial=1)), percent), sizes)[owner].astype(np.uint64)
+    return np.concatenate([mix(grams ^ mix(own + step)) for step in (np.uint64(1), np.uint64(2))]), np.concatenate([owner, owner])
 
 
 def _stars(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,8 +147,8 @@ def _pairs(pivot: np.ndarray, member: np.ndarray, kind: int) -> pa.RecordBatch:
     return _batch(mix(pairs[0].view(np.uint64) * np.uint64(31) + pairs[1].view(np.uint64)), pairs[0], pairs[1], kind)
 
 
-def _sign(words: int, percent: int):
-    """Map side: SIZE rows, pairs found within the task, and each signature once with its least id (b = -1)."""
+def _sign(words: int, percent: int, known_counts):
+    """Map side: SIZE rows, pairs found within the task, and each signature once with its least id (MEET)."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         ids, digest = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
@@ -142,10 +162,10 @@ def _sign(words: int, percent: int):
         yield _pairs(pivot, member, CANDIDATE)
         own = np.ones(len(key), bool)
         own[1:] = key[1:] != key[:-1]
-        yield _batch(key[own], pivot[own], np.full(int(own.sum()), -1), CANDIDATE)
+        yield _batch(key[own], pivot[own], np.full(int(own.sum()), -1), MEET)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, counts = [], 0, known_counts.value
         for b in it:
             ids = b.column("id")
             for i, j, grams, owner in shingle_sets(b.column("text"), words):
@@ -156,7 +176,7 @@ def _sign(words: int, percent: int):
                 yield _batch(mix(own.view(np.uint64)), part.cast(pa.int64()), sizes, SIZE)
                 sums = np.zeros(j - i, np.uint64)
                 np.add.at(sums, owner, mix(grams))
-                sig, doc = signatures(grams, owner, np.where(known, sizes, 0), percent)
+                sig, doc = signatures(grams, owner, sizes, counts, percent)
                 sig, doc = sig[known[doc]], doc[known[doc]]
                 real = np.flatnonzero(known & (sizes > 0))
                 place = np.full(j - i, -1)
@@ -172,20 +192,6 @@ def _sign(words: int, percent: int):
     return run
 
 
-def _meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: joins the ids of a signature to the least; other rows pass through."""
-    keys, ids = [], []
-    for b in it:
-        sent = np.asarray(b.column("b").fill_null(0)) == -1
-        sent &= np.asarray(b.column("kind")) == CANDIDATE
-        yield b.filter(pa.array(~sent))
-        keys.append(np.asarray(b.column("key"))[sent])
-        ids.append(np.asarray(b.column("a").fill_null(0))[sent])
-    if keys:
-        _, member, pivot = _stars(np.concatenate(keys), np.concatenate(ids))
-        yield _pairs(pivot, member, CANDIDATE)
-
-
 class InvertedLists:
     """Documents of a block by n-gram. Lists are ascending, as documents are added in order."""
 
@@ -270,10 +276,18 @@ def _search_blocks(asked: DataFrame, sets: DataFrame, keys: list[str], percent:
 def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(sizes, labels): every row's id and n-gram count, and (id, component) of ids that link."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    met = materialize(rows.mapInArrow(_sign(words, percent), _ROWS).repartition("key").mapInArrow(_meet, _ROWS), "ngram-met")
+    counts = rows.sparkSession.sparkContext.broadcast(sketch_counts(rows, words))  # COUNTERS numbers
+    signed = rows.mapInArrow(_sign(words, percent, counts), _ROWS)
+    # The ids of a signature are joined to the least of them; other rows pass through.
+    pivot = F.min("a").over(Window.partitionBy("kind", "key"))
+    met = signed.withColumn("pivot", F.when(F.col("kind") == MEET, pivot)).filter((F.col("kind") != MEET) | (F.col("pivot") < F.col("a")))
+    meets = F.col("kind") == MEET
+    met = met.select(F.when(meets, F.col("pivot")).otherwise(F.col("a")).alias("a"), F.when(meets, F.col("a")).otherwise(F.col("b")).alias("b"),
+                     F.col("kind"))
+    met = materialize(met, "ngram-met")
     sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
-    edges = materialize(met.filter(F.col("kind") != SIZE).groupBy("a", "b").agg(F.max("kind").alias("kind")), "ngram-edges")
-    maybe = edges.filter(F.col("kind") == CANDIDATE).select("a", "b")
+    edges = materialize(met.filter(F.col("kind") != SIZE).distinct(), "ngram-edges")
+    maybe = edges.filter(F.col("kind") != SAME).select("a", "b").distinct()
 
     # Sets of the candidates only. The bitmap is bounded and lossy; the joins below are exact.
     ids = maybe.select(F.col("a").alias("id")).unionByName(maybe.select(F.col("b").alias("id"))).distinct()
@@ -289,7 +303,7 @@ def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     found = materialize(links.select(F.col("q").alias("a"), F.col("m").alias("b")), "ngram-links")
     same = edges.filter(F.col("kind") == SAME).select("a", "b")
     labels = materialize(components(found.unionByName(same)), "ngram-labels")
-    return sizes, _search_families(maybe.join(found, ["a", "b"], "left_anti"), ids, labels, sets, percent)
+    return sizes, _search_rest(edges, labels, sets, percent)
 
 
 def _sets(words: int):
@@ -304,15 +318,18 @@ def _sets(words: int):
     return run
 
 
-def _search_families(failed: DataFrame, ids: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Searches families that candidate pairs hold together but links so far don't; final (id, component)."""
+def _search_rest(edges: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Searches pivots' candidates that links so far don't hold together; final (id, component)."""
     label_of = lambda df, col, to: df.join(labels.select(F.col("id").alias(col), F.col("component").alias("_l")), col, "left").withColumn(to, F.coalesce("_l", col)).drop("_l")
-    across = label_of(label_of(failed, "a", "la"), "b", "lb").filter("la != lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    family = components(across).select(F.col("id").alias("label"), F.col("component").alias("family"))
-    own = materialize(label_of(ids, "id", "label").join(family, "label"), "ngram-family")
+    # A task's pivot stands for its members where tasks meet, so their families hold its members too.
+    local, across = edges.filter(F.col("kind") == CANDIDATE).select("a", "b"), edges.filter(F.col("kind") == MEET).select("a", "b")
+    below = across.select(F.col("a").alias("top"), F.col("b").alias("a")).join(local, "a").select(F.col("top").alias("a"), "b")
+    tops = local.unionByName(across).select("a", F.col("a").alias("b"))
+    family = local.unionByName(across).unionByName(below).unionByName(tops).distinct()
+    own = materialize(label_of(family.select(F.col("a").alias("family"), F.col("b").alias("id")), "id", "label"), "ngram-family")
     per = own.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     per = per.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
-    per = per.filter("n > 2").select("family", "main", F.ceil(F.col("n") / BLOCK).alias("nm"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("nq"))
+    per = per.filter("n > most AND n > 2").select("family", "main", F.ceil(F.col("n") / BLOCK).alias("nm"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("nq"))
     own = own.join(per, "family")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))

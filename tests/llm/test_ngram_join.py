@@ -85,16 +85,25 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {None, 5}
 
 
-def test_the_least_common_parts_are_enough():
-    """Parts that differ are never all of them, for any two sets that link."""
+def test_linked_sets_share_a_signature_in_any_order():
     import numpy as np
 
     rng = np.random.default_rng(3)
-    for n in (9, 10, 19, 40, 200):
-        for percent in (80, 90):
-            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
-            extra = n * (100 - percent) // percent
-            b = np.unique(np.concatenate([a, rng.integers(0, 2**63, extra, dtype=np.uint64)]))
-            sizes = np.array([len(a), len(b)])
-            sig, doc = nj.signatures(np.concatenate([a, b]), np.repeat([0, 1], sizes), sizes, percent)
-            assert set(sig[doc == 0]) & set(sig[doc == 1])
+    for n in (1, 2, 9, 10, 19, 40, 200):
+        for percent in (50, 80, 90):
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+                extra = n * (100 - percent) // percent
+                b = np.unique(np.concatenate([a, rng.integers(0, 2**63, extra, dtype=np.uint64)]))
+                counts = rng.integers(0, 5, nj.COUNTERS).astype(np.uint32)
+                sizes = np.array([len(a), len(b)])
+                sig, doc = nj.signatures(np.concatenate([a, b]), np.repeat([0, 1], sizes), sizes, counts, percent)
+                assert set(sig[doc == 0]) & set(sig[doc == 1])
+
+
+def test_counts_cover_all_documents(spark):
+    import numpy as np
+
+    df = spark.createDataFrame([(i, f"a b c d{i % 3}") for i in range(30)], "doc_id long, text string").repartition(5)
+    counts = nj.sketch_counts(df, 3)
+    assert counts.sum() == 60 and counts.max() == 30 and np.count_nonzero(counts) == 4
