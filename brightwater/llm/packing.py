@@ -30,14 +30,16 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-#: Words and their parts whose ids a worker remembers.
-REMEMBER = 600_000
+#: Words and their parts whose ids a worker remembers, twice over.
+REMEMBER = 250_000
 #: A word that stands between the words of one call to the tokenizer; words that hold it are asked for alone.
 MARK = b"^"
 #: Texts of at least this many words are done in parts.
 LONG = 20_000
 #: A letter (ASCII, Latin-1 or Cyrillic, in UTF-8), then ASCII punctuation to the end that can't start a contraction.
 _TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xd0\xd1][\x80-\xbf]))([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)", re.DOTALL)
+#: Lower-case letters (ASCII, Latin-1, Cyrillic) that are one code point each.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xd0[\xb0-\xbf]|\xd1[\x80-\x8f])+")
 
 
 class WordTokenizer:
@@ -49,14 +51,35 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self._tokenizer = Tokenizer.from_file(path)
+        # Words of composed lower-case letters alone are past normalising and are one run each.
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = None
+        self._plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)])
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        ends = [i for t, i in self._tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]
+        self._ends_word = np.zeros(max(ends, default=0) + 1, bool)
+        self._ends_word[ends] = True
         self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
+        #: Strings that are one token wherever they stand; texts that hold them are encoded whole.
+        self._special = [t.content.lower().encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
 
     def _encode(self, text: bytes) -> np.ndarray:
         return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
     def _ask(self, new: list[bytes]) -> None:
+        plain = [w for w in new if _PLAIN.fullmatch(w)] if self._ends_word.any() else []
+        for k in range(0, len(plain), 5_000):
+            part = plain[k:k + 5_000]
+            ids = np.array(self._plain.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self._ends_word[np.minimum(ids, len(self._ends_word) - 1)]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                raw, ends = ids.tobytes(), (cuts * 4).tolist()
+                self._known.update(zip(part, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
+        new = [w for w in new if w not in self._known]
         self._known.update((w, self._encode(w).tobytes()) for w in new if MARK in w)
         new = [w for w in new if MARK not in w]
         mark = self._encode(MARK)
@@ -71,37 +94,45 @@ class WordTokenizer:
             self._known.update((w, raw[i:j]) for w, i, j in zip(part, starts, ends, strict=True))
 
     def learn(self, words: set[bytes]) -> None:
-        """Afterwards all these words are known."""
+        """Afterwards all these words are known. Those not used for long are forgotten."""
         if len(self._known) + len(words) > REMEMBER:
-            self._known = {}
-        known = self._known
-        new = [w for w in words if w not in known]
+            self._before, self._known = self._known, {}
+        known, before = self._known, self._before
+        new = words.difference(known)
+        known.update((w, before[w]) for w in new if w in before)
+        new = new.difference(known)
         parted = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
-        asked = {w for w in new if w not in parted}
+        asked = new.difference(parted)
         for core, tail in parted.values():
             asked.add(core), asked.add(tail)
-        self._ask([w for w in asked if w not in known])
+        asked.difference_update(known)
+        known.update((w, before[w]) for w in asked if w in before)
+        self._ask(list(asked.difference(known)))
         for w, (core, tail) in parted.items():
             known[w] = known[core] + known[tail]
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text. The texts are few, or short."""
-        split = [t.lower().split() for t in texts]
-        for k in range(0, len(split), 256):
-            distinct: set[bytes] = set()
-            for words in split[k:k + 256]:
-                if len(words) < LONG:
-                    distinct.update(words)
-            self.learn(distinct)
-            known = self._known
-            short = [None if len(words) >= LONG else b"".join([known[w] for w in words]) for words in split[k:k + 256]]
-            for words, found in zip(split[k:k + 256], short, strict=True):
+        lower = [t.lower() for t in texts]
+        whole = [any(x in t for x in self._special) for t in lower]
+        split = [[] if w else t.split() for t, w in zip(lower, whole, strict=True)]
+        distinct: set[bytes] = set()
+        for words in split:
+            if len(words) < LONG:
+                distinct.update(words)
+        self.learn(distinct)
+        get = self._known.__getitem__
+        short = [None if len(words) >= LONG else b"".join(map(get, words)) for words in split]
+        for text, words, found, as_one in zip(texts, split, short, whole, strict=True):
+            if as_one:
+                yield self._encode(text).tobytes()
+            else:
                 yield b"".join(self._long(words)) if found is None else found
 
     def _long(self, words: list[bytes]) -> Iterator[bytes]:
         for k in range(0, len(words), LONG):
             self.learn(set(words[k:k + LONG]))
-            yield b"".join([self._known[w] for w in words[k:k + LONG]])
+            yield b"".join(map(self._known.__getitem__, words[k:k + LONG]))
 
 
 @lru_cache(maxsize=2)
@@ -124,7 +155,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_i
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
         for b in it:
-            texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+            texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
             for k in range(0, len(texts), 256):
                 row, piece, start, size, crc, ids = [], [], [], [], [], []
                 for i, found in enumerate(tokenizer.ids(texts[k:k + 256]), k):
