@@ -13,7 +13,8 @@ least id of the signature (first within a map task, then across them, so a signa
 third of all rows arrives once per task). Each such pivot is a query over the inverted lists of
 its candidates, dealt in blocks. Two documents that meet are below the same pivot, at once or by their
 tasks' pivots. So where what is below a pivot still falls into several components, every document
-outside the largest component is a query over blocks of what is below that pivot. A link between two components has an end
+outside the largest component is a query over blocks of what is below that pivot. Tables of parity bits rule out most
+pairs that can't link before any set is sent. A link between two components has an end
 outside the largest, so none is lost.
 
 How a query is answered. It needs documents that occur on at least T of its lists. The L
@@ -273,6 +274,15 @@ def _search_blocks(asked: DataFrame, sets: DataFrame, keys: list[str], percent:
     return asked.join(sets, "id").groupBy(*keys).applyInArrow(run, "q long, m long")
 
 
+def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows that may be of these ids. The bitmap is bounded and lossy; joins behind it are exact."""
+    return in_bitmap(rows.filter("id IS NOT NULL"), F.xxhash64("id"), bitmap_of(ids.select(F.xxhash64("id").alias("k")), "k"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(sizes, labels): every row's id and n-gram count, and (id, component) of ids that link."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -282,20 +292,19 @@ def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     pivot = F.min("a").over(Window.partitionBy("kind", "key"))
     met = signed.withColumn("pivot", F.when(F.col("kind") == MEET, pivot)).filter((F.col("kind") != MEET) | (F.col("pivot") < F.col("a")))
     meets = F.col("kind") == MEET
-    met = met.select(F.when(meets, F.col("pivot")).otherwise(F.col("a")).alias("a"), F.when(meets, F.col("a")).otherwise(F.col("b")).alias("b"),
-                     F.col("kind"))
+    met = met.select(F.when(meets, F.col("pivot")).otherwise(F.col("a")).alias("a"), F.when(meets, F.col("a")).otherwise(F.col("b")).alias("b"), "kind")
     met = materialize(met, "ngram-met")
     sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
     edges = materialize(met.filter(F.col("kind") != SIZE).distinct(), "ngram-edges")
     maybe = edges.filter(F.col("kind") != SAME).select("a", "b").distinct()
 
-    # Sets of the candidates only. The bitmap is bounded and lossy; the joins below are exact.
-    ids = maybe.select(F.col("a").alias("id")).unionByName(maybe.select(F.col("b").alias("id"))).distinct()
-    near = in_bitmap(rows.filter("id IS NOT NULL"), F.xxhash64("id"), bitmap_of(ids.select(F.xxhash64("id").alias("k")), "k"))
-    sets = materialize(near.mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
-
-    blocks = maybe.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks"))
-    dealt = maybe.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n_blocks")).alias("block"), "b")
+    bits = materialize(_of(rows, _ends(maybe)).mapInArrow(_parities(words), "id long, n long, bits binary"), "ngram-bits").distinct()
+    end = lambda c: bits.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("bits" + c))
+    near = maybe.join(end("a"), "a").join(end("b"), "b").mapInArrow(_near(percent), "a long, b long").distinct()
+    near = materialize(near, "ngram-near")
+    sets = materialize(_of(rows, _ends(near)).mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
+    blocks = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks"))
+    dealt = near.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n_blocks")).alias("block"), "b")
     members = dealt.select("a", "block", F.col("b").alias("id"), F.col("b").alias("label"), F.lit(False).alias("is_query"))
     pivots = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"),
                            F.col("a").alias("id"), F.col("a").alias("label"), F.lit(True).alias("is_query"))
@@ -303,7 +312,56 @@ def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     found = materialize(links.select(F.col("q").alias("a"), F.col("m").alias("b")), "ngram-links")
     same = edges.filter(F.col("kind") == SAME).select("a", "b")
     labels = materialize(components(found.unionByName(same)), "ngram-labels")
-    return sizes, _search_rest(edges, labels, sets, percent)
+    return sizes, _search_rest(rows, words, edges, labels, bits, percent)
+
+
+def parity(grams: np.ndarray) -> np.ndarray:
+    """A bit for each place of a table: whether an odd number of n-grams falls there. Its halves fold into a table of half the size."""
+    width = 1 << min(16, max(6, (len(grams) - 1).bit_length()))
+    return np.packbits((np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool), bitorder="little")
+
+
+def _fold(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def may_link(n: int, bits: np.ndarray, sizes: np.ndarray, tables: np.ndarray, percent: int) -> np.ndarray:
+    """Which of ``tables`` (rows of one width) may belong to sets that link with this one.
+
+    Tables of two sets differ in no more places than the sets do, and linked sets of n and m
+    elements differ in at most (n + m) (100 - p) / (100 + p).
+    """
+    width = min(len(bits), tables.shape[1])
+    differ = np.bitwise_count(_fold(tables, width) ^ _fold(bits, width)).sum(axis=1)
+    return ((100 + percent) * differ <= (100 - percent) * (sizes + n)) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+
+
+def _parities(words: int):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for i, j, grams, owner in shingle_sets(b.column("text"), words):
+                ends = np.cumsum(np.bincount(owner, minlength=j - i)).tolist()
+                tables = [parity(grams[x:y]).tobytes() for x, y in zip([0, *ends], ends, strict=False)]
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array(np.diff([0, *ends])), pa.array(tables, pa.binary())], ["id", "n", "bits"])
+
+    return run
+
+
+def _near(percent: int):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            na, nb = (np.asarray(batch.column(c)) for c in ("na", "nb"))
+            ok = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+            left, right = batch.column("bitsa"), batch.column("bitsb")
+            for k in np.flatnonzero(ok).tolist():
+                one, other = np.frombuffer(left[k].as_py(), np.uint8), np.frombuffer(right[k].as_py(), np.uint8)
+                ok[k] = may_link(na[k], one, nb[k:k + 1], other[None, :], percent)[0]
+            yield batch.filter(pa.array(ok)).select(["a", "b"])
+
+    return run
 
 
 def _sets(words: int):
@@ -318,8 +376,48 @@ def _sets(words: int):
     return run
 
 
-def _search_rest(edges: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Searches pivots' candidates that links so far don't hold together; final (id, component)."""
+_BLOCK_KEYS = ["family", "mb", "qb"]
+
+
+def _in_blocks(own: DataFrame) -> DataFrame:
+    """own: family, id, label, asks, told. Every asking row meets every told row of its family in one block (family, mb, qb)."""
+    of = lambda c: F.ceil(F.sum(F.col(c).cast("int")) / BLOCK)
+    per = own.groupBy("family").agg(of("told").alias("nm"), of("asks").alias("nq")).filter("nm > 0 AND nq > 0")
+    own = own.join(per, "family")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    cols = [*_BLOCK_KEYS, "id", "label", "is_query"]
+    members = own.filter("told").withColumn("mb", block("nm")).withColumn("qb", upto("nq")).withColumn("is_query", F.lit(False)).select(*cols)
+    return members.unionByName(own.filter("asks").withColumn("qb", block("nq")).withColumn("mb", upto("nm")).withColumn("is_query", F.lit(True)).select(*cols))
+
+
+def _prune_blocks(dealt: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Rows of (family, id, label, asks, told) that may link with another label's, by their parity tables."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = np.asarray(table.column("is_query"))
+        sizes, labels = np.asarray(table.column("n")), np.asarray(table.column("label"))
+        tables = [np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()]
+        widths = np.array([len(x) for x in tables])
+        kinds = {w: np.flatnonzero(~asks & (widths == w)) for w in np.unique(widths[~asks]).tolist()}
+        stacked = {w: np.stack([tables[k] for k in at]) for w, at in kinds.items()}
+        ask, told = np.zeros(len(asks), bool), np.zeros(len(asks), bool)
+        for q in np.flatnonzero(asks).tolist():
+            for w, at in kinds.items():
+                if percent * w <= 200 * widths[q] and percent * widths[q] <= 200 * w:  # else sizes are too far apart
+                    hit = at[may_link(sizes[q], tables[q], sizes[at], stacked[w], percent) & (labels[at] != labels[q])]
+                    ask[q] |= len(hit) > 0
+                    told[hit] = True
+        keep = ask | told
+        out = table.select(["family", "id", "label"]).filter(pa.array(keep))
+        return out.append_column("asks", pa.array(ask[keep])).append_column("told", pa.array(told[keep]))
+
+    left = dealt.join(bits, "id").groupBy(*_BLOCK_KEYS).applyInArrow(run, "family long, id long, label long, asks boolean, told boolean")
+    return left.groupBy("family", "id", "label").agg(F.max("asks").alias("asks"), F.max("told").alias("told"))
+
+
+def _search_rest(rows: DataFrame, words: int, edges: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Searches what is below pivots and isn't held together by links so far; final (id, component)."""
     label_of = lambda df, col, to: df.join(labels.select(F.col("id").alias(col), F.col("component").alias("_l")), col, "left").withColumn(to, F.coalesce("_l", col)).drop("_l")
     # A task's pivot stands for its members where tasks meet, so their families hold its members too.
     local, across = edges.filter(F.col("kind") == CANDIDATE).select("a", "b"), edges.filter(F.col("kind") == MEET).select("a", "b")
@@ -329,14 +427,11 @@ def _search_rest(edges: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     own = materialize(label_of(family.select(F.col("a").alias("family"), F.col("b").alias("id")), "id", "label"), "ngram-family")
     per = own.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     per = per.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
-    per = per.filter("n > most AND n > 2").select("family", "main", F.ceil(F.col("n") / BLOCK).alias("nm"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("nq"))
-    own = own.join(per, "family")
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
-    cols = ["family", "mb", "qb", "id", "label", "is_query"]
-    members = own.withColumn("mb", block("nm")).withColumn("qb", upto("nq")).withColumn("is_query", F.lit(False)).select(*cols)
-    queries = own.filter("label != main").withColumn("qb", block("nq")).withColumn("mb", upto("nm")).withColumn("is_query", F.lit(True)).select(*cols)
-    more = _search_blocks(members.unionByName(queries), sets, ["family", "mb", "qb"], percent)
+    own = own.join(per.filter("n > most AND n > 2").select("family", "main"), "family")
+    own = own.select("family", "id", "label", (F.col("label") != F.col("main")).alias("asks"), F.lit(True).alias("told"))
+    own = materialize(_prune_blocks(_in_blocks(own), bits, percent), "ngram-rest")
+    sets = materialize(_of(rows, own.select("id").distinct()).mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
+    more = _search_blocks(_in_blocks(own), sets, _BLOCK_KEYS, percent)
     more = label_of(label_of(more.select(F.col("q").alias("a"), F.col("m").alias("b")), "a", "la"), "b", "lb")
     joined = components(more.select(F.col("la").alias("a"), F.col("lb").alias("b")))
     merged = joined.select(F.col("id").alias("component"), F.col("component").alias("final"))
