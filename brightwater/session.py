@@ -56,6 +56,9 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     from pathlib import Path
 
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) == 10000:
+        # Spark's own default counts rows, and ten thousand long texts at once are a lot of memory in each Python task.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context = spark.sparkContext
     if getattr(context, "_brightwater_shipped", False):
         return
