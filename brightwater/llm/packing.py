@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 
 #: Words and their parts whose ids a worker remembers, twice over.
-REMEMBER = 250_000
+REMEMBER = 150_000
 #: A word that stands between the words of one call to the tokenizer; words that hold it are asked for alone.
 MARK = b"^"
 #: Texts of at least this many words are done in parts.
@@ -55,8 +55,7 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         # Words of composed lower-case letters alone are past normalising and are one run each.
-        self._plain = Tokenizer.from_file(path)
-        self._plain.normalizer = None
+        self._plain = Tokenizer(self._tokenizer.model)
         self._plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)])
         suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
         ends = [i for t, i in self._tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]
