@@ -46,7 +46,7 @@ from .words import FOLD, SPACE, Segments, batches, mix, ngrams
 COUNTER_BITS = 20
 COUNTERS, CHUNKS, SALTS = 1 << COUNTER_BITS, 64, 256
 #: Signatures that a map task holds before it sends them, and members of a block.
-FLUSH, BLOCK = 1_000_000, 512
+FLUSH, BLOCK = 500_000, 512
 CANDIDATE, SAME, SIZE, MEET = 0, 1, 2, 3
 _ROWS = "key long, a long, b long, kind int"
 

@@ -110,6 +110,10 @@ class WordTokenizer:
         for w, (core, tail) in parted.items():
             known[w] = known[core] + known[tail]
 
+    def rest(self) -> None:
+        """Keeps only the words of late, for the next task of this worker."""
+        self._before = {}
+
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text. The texts are few, or short."""
         lower = [t.lower() for t in texts]
@@ -166,6 +170,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_i
                             ids.append(part)
                 cols = [b.column("id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.binary())] * with_ids, schema.names)
+        tokenizer.rest()
 
     return rows.mapInArrow(run, schema)
 

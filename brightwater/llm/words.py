@@ -1,7 +1,7 @@
 """Words, lines and n-grams of whole Arrow batches as numpy arrays, without a Python string per word.
 
 A word is hashed to 64 bits from its bytes and their places, so equal words have equal hashes
-everywhere, on every executor. Arrays are made a few megabytes of text at a time.
+everywhere, on every executor. Arrays are made half a megabyte of text at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BLOCK = 1 << 21
+#: Bytes of text that arrays of eight bytes a character are made of at once.
+_BLOCK = 1 << 19
 
 
 def mix(h: np.ndarray) -> np.ndarray:
