@@ -1,27 +1,28 @@
-"""Every query of the engine, by name, with the SQL that gives the same rows."""
+"""Every query of the engine that isn't of the training-data package, by name, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.series import ohlc
+from .plans import market, merges, ops, reads, registry  # noqa: F401  they register their queries
+from .plans.registry import query
 
+
+@query("flagship", """
+    SELECT user_id, date_trunc('hour', ts)::TIMESTAMP AS bar_ts, arg_min(value, (ts, event_id)) AS open,
+           max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close
+    FROM events GROUP BY ALL""")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars of ``events``: one pass, no sort, ties broken by ``event_id``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    order = F.struct("ts", "event_id")
-    return events.groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("bar_ts")).agg(
-        F.min_by("value", order).alias("open"), F.max("value").alias("high"),
-        F.min("value").alias("low"), F.max_by("value", order).alias("close"),
-    )
+    return ohlc(events, ["user_id"], F.date_trunc("hour", "ts").cast("timestamp_ntz"), "value", ["ts", "event_id"])
 
 
 def queries() -> dict:
-    return {"flagship": flagship}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"flagship": """
-        SELECT user_id, date_trunc('hour', ts)::TIMESTAMP AS bar_ts, arg_min(value, (ts, event_id)) AS open,
-               max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close
-        FROM events GROUP BY ALL"""}
+    return dict(registry.SQL)
