@@ -80,7 +80,7 @@ def insert_missing(target: DataFrame, incoming: DataFrame, keys: list[str]) -> D
 
 def replace_scope(target: DataFrame, incoming: DataFrame, scope: DataFrame) -> DataFrame:
     """Everything in scope goes, even if nothing comes in."""
-    return target.join(scope, scope.columns, "left_anti").unionByName(incoming)
+    return target.join(scope, scope.columns, "left_anti").select(*target.columns).unionByName(incoming)
 
 
 def change_events(changes: DataFrame, spec: WriteSpec, span: int | None = None, range_col: str | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ def as_of_forward(actions: DataFrame, candles: DataFrame, key: list[str], at: st
     both = tagged.unionByName(marks, allowMissingColumns=True)
     w = Window.partitionBy(*key).orderBy(at, "_o")
     ahead = F.first("_c", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    started = F.max("_o").over(w.rangeBetween(Window.unboundedPreceding, 0))
+    started = F.max("_o").over(Window.partitionBy(*key).orderBy(at).rangeBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("_n", ahead).withColumn("_s", started).filter("_o = 0 AND _n IS NOT NULL AND _s = 1")
     return out.select(*actions.columns, F.col("_n.at").alias("candle_ts"), F.col("_n.value").alias("candle_value"))
 
