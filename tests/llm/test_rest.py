@@ -1,0 +1,237 @@
+"""The other operators against brute force, round trips or held-out accuracy."""
+
+import os
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brightwater.llm import exact_dedup, html_extract, language_id, license_scan, mixing, packing, pii, quality_classifier, quality_rules
+
+SF = "/root/testdata/sf0.01"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [(1, None, "a", 0), (2, "", "a", 0), (3, "Same Text", None, 0), (3, "Same Text", None, 0), (4, "same text", "b", 0), (None, "no id", "b", 0), (6, "x " * 60_000, "b", 0), (7, "É é İ ß", "a", 0)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, "doc_id long, text string, source string, size int").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_dedup_compares_bytes_where_keys_collide(spark, odd):
+    """With keys of 2 bits most keys are shared by different texts."""
+    rows = spark.createDataFrame([(i, f"Text {i % 40}" if i % 3 else f"TEXT {i % 40}") for i in range(200)], "doc_id long, text string")
+    want = defaultdict(list)
+    for r in rows.collect():
+        want[r.text.lower()].append(r.doc_id)
+    for bits in (2, 64):
+        got = exact_dedup.exact_dedup(rows, hash_bits=bits, capacity=3, max_depth=4).collect()
+        assert len(got) == 200
+        for r in got:
+            group = next(g for g in want.values() if r.doc_id in g)
+            assert (r.keep_id, r.group_size, r.kept) == (max(group), len(group), r.doc_id == max(group))
+    assert exact_dedup.exact_dedup(odd.limit(0)).count() == 0
+    kept = exact_dedup.keep_first_copies(odd)
+    assert kept.columns == odd.columns and Counter(r.doc_id for r in kept.collect()) == Counter([2, 4, None, 6, 7])
+
+
+def test_buckets_split_and_directory_doubles():
+    slots = dict.fromkeys(range(16), 1) | {3: 50}
+    directory = exact_dedup.split_buckets(slots, 4, 4)
+    assert sorted(s for s, _, _ in directory) == list(range(16))
+    held, depth = Counter(), {}
+    for s, b, d in directory:
+        held[b] += slots[s]
+        depth[b] = d
+    assert all(n <= 4 or depth[b] == 4 for b, n in held.items())
+
+
+def packed_is_right(spark, docs, length):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path())
+    got = packing.pack_documents(docs, path(), length=length).collect()
+    by_doc = defaultdict(list)
+    for r in got:
+        by_doc[r.doc_id].append(r)
+    for r in docs.select("doc_id", "text").distinct().collect():
+        ids = np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        want = {(k // length, k, len(ids[k:k + length]), zlib.crc32(ids[k:k + length].tobytes())) for k in range(0, len(ids), length)}
+        assert {(p.piece, p.start, p.length, p.ids_crc32) for p in by_doc[r.doc_id]} == want
+    by_seq = defaultdict(list)
+    for r in got:
+        by_seq[r.sequence_id].append(r)
+    for pieces in by_seq.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= length
+    return len(by_seq), sum(r.length for r in got)
+
+
+@needs_tables
+def test_packing_round_trip(spark, docs, odd):
+    sequences, tokens = packed_is_right(spark, docs, 4096)
+    assert sequences <= -(-tokens // 4096) * 1.02 + 1
+    packed_is_right(spark, odd, 64)
+    assert packing.pack_documents(odd.limit(0), path()).count() == 0
+    special = spark.createDataFrame([(1, "a<|endoftext|>b, c"), (2, "<|ENDOFTEXT|>"), (3, "don't, o'er' ½?! ñ, Ω΄, ^ a^b")], "doc_id long, text string")
+    packed_is_right(spark, special, 4)
+
+
+def test_best_fit_keeps_to_its_open_bins():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 101, 3000).tolist()
+    bins, offsets = packing.best_fit(sizes, 100, 8)
+    used = defaultdict(int)
+    last = {}
+    for k, (b, o, s) in enumerate(zip(bins, offsets, sizes, strict=True)):
+        assert used[b] == o
+        used[b] += s
+        last[b] = k
+    assert max(used.values()) <= 100
+    first = {b: bins.index(b) for b in used}
+    for k in range(0, 3000, 50):  # no more bins take pieces before and after a point than may be open
+        assert sum(first[b] <= k < last[b] for b in used) <= 8
+
+
+@needs_tables
+def test_language_of_held_out_documents(spark, docs, odd):
+    got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out AND lang IS NOT NULL").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+    nothing = language_id.language_id(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert len(nothing) == len(ODD) and {r.lang_pred for r in nothing} == {"und"}
+    assert language_id.language_id(docs.limit(0)).count() == 0
+
+
+@needs_tables
+def test_quality_of_held_out_documents(spark, docs, odd):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality_classifier.quality_classifier(docs, labels).join(labels, "doc_id").filter("held_out").collect()
+    assert np.mean([r.predicted == r.quality for r in got]) > 0.9 and all(0 <= r.score <= 1 for r in got)
+    none = quality_classifier.quality_classifier(odd, labels.limit(0)).collect()
+    assert len(none) == len(ODD) and {r.score for r in none} == {0.5}
+
+
+def test_mix_comes_near_its_targets(spark, odd):
+    rows = [(i, "w " * (1 + i % 17), "abcd"[min(3, i % 7)] if i % 11 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(df).collect()
+    again = {r.doc_id: r.taken for r in mixing.mix_sources(df.repartition(7)).collect()}
+    total, per, target = sum(r.size for r in got), Counter(), {}
+    source = {i: s for i, _, s in rows}
+    for r in got:
+        per[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert r.taken % r.size == 0 and r.taken <= 2 * r.size and again[r.doc_id] == r.taken
+    assert abs(sum(target.values()) - 1.5 * total) < 1e-6 * total
+    assert all(abs(per[s] - t) <= 2 * 17 for s, t in target.items())
+    assert mixing.mix_sources(odd.limit(0)).count() == 0 and mixing.mix_sources(odd).count() == len(ODD)
+    repeated = Counter(r.doc_id for r in mixing.repeat_by_mix(df).collect())
+    assert {i: n for i, n in repeated.items()} == {r.doc_id: r.taken // r.size for r in got if r.taken}
+
+
+def test_quality_counts(spark, odd):
+    def brute(text):
+        words, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
+        grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+        seen = Counter(grams)
+        repeat = {i + k for i, g in enumerate(grams) if seen[g] > 1 for k in range(3)}
+        return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(repeat)
+
+    texts = [None, "", "a b c a b c\n \nx\n x\nx", "É# <b>|&\n" * 9, "w " * 120, " ".join(f"w{i}" for i in range(80)), "    x"]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, host_key string").repartition(2)
+    for r in quality_rules.quality_rules(df).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute(texts[r.doc_id])
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+    assert quality_rules.quality_rules(odd, host=F.col("source")).count() == len(ODD)
+
+
+def test_license_places_and_templates(spark, odd):
+    token = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    texts = ["Released under the MIT license. under the  mit, license!", "Licensed under the Apache License, Version 2.0", "cc by nc cc-by-nc CC BY ND", None, "", "under the mit licenses",
+             "Copyright (c) 2020 Jane Roe. All rights reserved.", "all rights", "filler " * 9000 + "licensed under the apache license version 2", "dedicated to the public domain under the terms of cc0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.license_scan(df).collect()}
+    for i, text in enumerate(texts):
+        words = token.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        at = [(k, label) for p, label in license_scan.BASE_PHRASES.items() for k in range(len(words)) if words[k:k + len(p.split())] == p.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(words), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None))
+        assert r.base_labels == ",".join(sorted({x for _, x in at})) and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        assert 0 <= r.score <= 1
+    assert got[6].labels == "all-rights-reserved" and got[7].labels == "" and got[9].labels == "cc0"
+    assert license_scan.license_scan(odd).count() == len(ODD)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<p>One<p>Two", "One\n\nTwo"), ("<ul><li>a<li>b<ul><li>c</ul></ul>", "- a\n- b\n  - c"), ("<ol start=3><li>x</li><li>y</li></ol>", "3. x\n4. y"),
+    ("<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a   | bb\nccc | d"), ("a<script>no</script><style>no</style><b> b </b>c", "a b c"),
+    ("<div hidden>no</div><div style='display: none'>no</div>yes", "yes"), ("<pre>a\n  b</pre>", "a\n  b"), ("x &amp; &lt;y&gt; &#233;", "x & <y> é"),
+    ("<h1>T</h1>text<br>more", "T\n\ntext\nmore"), ("", ""), ("</div></p>stray <b>open", "stray open"), ("<head><title>no</title></head><body>yes", "yes")])
+def test_rendered_pages(html, text):
+    assert html_extract.render(html) == text
+
+
+def test_page_rows(spark):
+    df = spark.createDataFrame([(1, None), (2, "<p>a"), (2, "<p>a"), (3, "<div>" * 5000 + "deep")], "page_id long, html string")
+    assert sorted((r.page_id, r.text, r.n_lines) for r in html_extract.html_extract(df).collect() if r.text is not None) == [(2, "a", 1), (2, "a", 1), (3, "deep", 1)]
+    assert html_extract.html_extract(df.limit(0)).count() == 0
+
+
+def test_surrogates(spark, odd):
+    texts = ["Mail ann.lee@example.com or ANN.LEE@example.com, bob@example.com.", "Call +1 415 555 0101 from 10.1.2.3, card 4111 1111 1111 1111 and 4111111111111111.",
+             "Mrs. Smith met Herr Müller; SSN 123-45-6789", "version 1.2.3, order 1234567890123456, plain text", None, ""]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, forms string")
+    got = {r.doc_id: r for r in pii.replace_pii(df, key="k").collect()}
+    assert got[0].n_entities == 3 and "ann.lee" not in got[0].text.lower() and "bob@" not in got[0].text
+    a, b, c = re.findall(r"[\w.]+@[\w.]+\w", got[0].text)
+    assert a.lower() == b.lower() != c.lower() and b.split("@")[0].isupper() and a.split("@")[1].lower() == c.split("@")[1]
+    assert "10.1.2.3" not in got[1].text and "4111" not in got[1].text.split("card")[1].split("and")[0].replace(" ", "")[1:5]
+    one, two = re.search(r"card ([\d ]+) and (\d+)\.", got[1].text).groups()
+    digits = [int(x) for x in two]
+    assert one.replace(" ", "") == two and sum(sum(divmod(x * 2, 10)) if k % 2 else x for k, x in enumerate(reversed(digits))) % 10 == 0
+    assert got[2].text.startswith("Mrs. ") and "Smith" not in got[2].text and "123-45-6789" not in got[2].text and "Herr " in got[2].text
+    assert [got[i].text for i in (3, 4, 5)] == texts[3:] and got[4].n_entities == 0
+    assert pii.replace_pii(df.filter("doc_id = 0"), key="k").first().text == got[0].text != pii.replace_pii(df.filter("doc_id = 0"), key="other").first().text
+    assert pii.replace_pii(odd, key="k").count() == len(ODD) and pii.replace_pii(odd.limit(0), key="k").count() == 0
+
+
+@needs_tables
+def test_pipeline_stage_by_stage(spark, docs):
+    """Each stage against the plain form of its decision, over all that its predecessor kept."""
+    import corpus_pipeline as cp
+
+    rules, dedup, near, mixed, packed = [f for _, f in cp.STAGES]
+    a = rules(spark, docs, SF).cache()
+    judged = {r.doc_id for r in quality_rules.quality_rules(docs, host=F.col("source")).filter("kept").collect()}
+    assert a.columns == docs.columns and {r.doc_id for r in a.collect()} == judged
+    b = dedup(spark, a, SF).cache()
+    best = {}
+    for r in a.collect():
+        best[r.text.lower()] = max(best.get(r.text.lower(), -1), r.doc_id)
+    assert {r.doc_id for r in b.collect()} == set(best.values())
+    c = near(spark, b, SF).cache()
+    from tests.llm.test_ngram_join import brute
+
+    keep = {i for i, (_, root) in brute([(r.doc_id, r.text) for r in b.collect()], 5, 80).items() if i == root}
+    assert {r.doc_id for r in c.collect()} == keep
+    d = mixed(spark, c, SF).cache()
+    assert d.columns == docs.columns and {r.doc_id for r in d.collect()} <= keep
+    assert packed(spark, d, SF).select("doc_id").distinct().count() == d.select("doc_id").distinct().count()
