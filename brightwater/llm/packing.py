@@ -70,7 +70,7 @@ class WordTokenizer:
         return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
     def _ask(self, new: list[bytes]) -> None:
-        plain = [w for w in new if _PLAIN.fullmatch(w)] if self._ends_word.any() else []
+        plain = [w for w in new if w.isalpha() or _PLAIN.fullmatch(w)] if self._ends_word.any() else []
         for k in range(0, len(plain), 5_000):
             part = plain[k:k + 5_000]
             ids = np.array(self._plain.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
@@ -100,7 +100,7 @@ class WordTokenizer:
         new = words.difference(known)
         known.update((w, before[w]) for w in new if w in before)
         new = new.difference(known)
-        parted = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
+        parted = {w: m.groups() for w in new if not w.isalpha() and (m := _TAIL.fullmatch(w))}  # most are ASCII letters alone
         asked = new.difference(parted)
         for core, tail in parted.values():
             asked.add(core), asked.add(tail)
