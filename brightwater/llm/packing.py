@@ -73,7 +73,7 @@ class WordTokenizer:
         plain = [w for w in new if w.isalpha() or _PLAIN.fullmatch(w)] if self._ends_word.any() else []
         for k in range(0, len(plain), 5_000):
             part = plain[k:k + 5_000]
-            ids = np.array(self._plain.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self._plain.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")  # no offsets
             cuts = np.flatnonzero(self._ends_word[np.minimum(ids, len(self._ends_word) - 1)]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 raw, ends = ids.tobytes(), (cuts * 4).tolist()
