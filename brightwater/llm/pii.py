@@ -2,12 +2,13 @@
 
 Entities are found by one pattern, so a text is its plain pieces with entities between them.
 An entity's surrogate is drawn from a keyed digest of its kind and canonical form: letters become letters of the
-same case, digits digits, separators stay, a card number stays valid, a key keeps its prefix, a
-person keeps title, gender and script. The draw depends on nothing but key and entity, so all
+same case, digits digits, separators stay (but for passwords, whose symbols are drawn too), a card number stays
+valid, a key keeps its prefix, a person keeps title, gender and script. The draw depends on nothing but key and entity, so all
 mentions in all documents agree, and no table of mentions is needed to rewrite a text.
 
 Two entities could draw one surrogate, or a surrogate could be an entity that occurs. So the distinct
-entities are checked against each other: whoever comes later draws again until all differ.
+entities are checked against each other: whoever comes later draws again until all differ. After some draws
+surrogates grow longer, so no kind runs out of them.
 Those few redraws, and only the texts that mention them, are joined.
 
 Only DataFrame functions are used.
@@ -50,7 +51,13 @@ SURNAMES = {
 }
 FEMALE_TITLES = r"^(?:Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|г-жа)\b"
 ALL = "(" + "|".join(PATTERNS.values()) + ")"
-MOST_DRAWS = 24
+# From this draw on, a surrogate is one character (of a person, one surname) longer at each draw, so there is always a free one.
+LONGER_FROM = 4
+# What stands in for a password's characters, by class; the first class that fits counts.
+CLASSES = {
+    r"\p{Nd}": "0123456789", r"[\p{IsCyrillic}&&\p{Lu}]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ", r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшщэюя",
+    r"\p{Lu}": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"\p{L}": "abcdefghijklmnopqrstuvwxyz", "": "!#$%&*+-.:;=?@^_~",
+}
 
 
 def _let(value: Column, body) -> Column:
@@ -115,6 +122,24 @@ def _pick(names: list[str], b: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in names]), (b % len(names) + 1).cast("int"))
 
 
+def _redraw_all(form: Column, noise: Column) -> Column:
+    """Each character of ``form`` replaced within its class, symbols too."""
+    def one(c: Column, i: Column) -> Column:
+        b = F.element_at(noise, (F.pmod(i, F.lit(128)) + 1).cast("int"))
+        out = F.lit(None).cast("string")
+        for pattern, alphabet in reversed(CLASSES.items()):
+            out = F.when(c.rlike(f"^{pattern}"), F.substr(F.lit(alphabet), (b % len(alphabet) + 1).cast("int"), F.lit(1))).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(F.split(form, ""), one), "")
+
+
+def _longer(noise: Column, draw: Column) -> Column:
+    """Digits to append: none before ``LONGER_FROM``, then one more at each draw."""
+    tail = F.slice(F.reverse(noise), F.lit(1), F.greatest(F.lit(0), draw - (LONGER_FROM - 1)))
+    return F.array_join(F.transform(tail, lambda b: (b % 10).cast("string")), "")
+
+
 def _person(form: Column, noise: Column, draw: Column) -> Column:
     title = F.regexp_extract(form, r"^(\S+) ", 1)
     rest = F.regexp_extract(form, r"^\S+ (.+)$", 1)
@@ -125,7 +150,7 @@ def _person(form: Column, noise: Column, draw: Column) -> Column:
         for gender, is_gender in (("f", female), ("m", ~female)):
             given = F.when(is_script & is_gender, _pick(NAMES[script, gender], at(1))).otherwise(given)
         # Further draws take longer surnames, so there is always another one to be had.
-        more = F.concat_ws("-", *[F.when(draw >= 2 * k, _pick(SURNAMES[script], at(2 + k))) for k in range(5)])
+        more = F.array_join(F.transform(F.slice(noise, F.lit(2), F.floor(draw / 2).cast("int") + 1), lambda b: _pick(SURNAMES[script], b)), "-")  # noqa: B023
         family = F.when(is_script, more).otherwise(family)
     family = F.when(cyrillic & female, F.concat(family, F.lit("а"))).otherwise(family)
     name = F.when(rest.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
@@ -142,13 +167,18 @@ def _drawn(kind: Column, form: Column, draw: Column, key: str, noise: Column) ->
     top = F.regexp_extract(form, r"(\.[A-Za-z]+)$", 1)
     # Hosts are drawn on their own, so that addresses of one host keep one host.
     own_host = _let(_bytes(key, "host", F.lower(host)), lambda n: _redraw(host, n))
-    email = F.concat(_redraw(F.regexp_extract(form, "^([^@]+)@", 1), noise), F.lit("@"), own_host, top)
+    longer = _longer(noise, draw)
+    email = F.concat(_redraw(F.regexp_extract(form, "^([^@]+)@", 1), noise), longer, F.lit("@"), own_host, top)
     ip = F.concat_ws(".", *[(F.element_at(noise, k) % 254 + 1).cast("string") for k in range(1, 5)])
+    # Four bytes can't be made longer: an address of the other length.
+    groups = F.transform(F.sequence(F.lit(1), F.lit(7)), lambda k: F.lower(F.hex(F.element_at(noise, 2 * k) * 256 + F.element_at(noise, 2 * k + 1))))
+    ip = F.when(draw < LONGER_FROM, ip).otherwise(F.concat(F.lit("fd00:"), F.array_join(groups, ":")))
     hexes = F.substr(F.array_join(F.transform(noise, lambda b: F.lower(F.lpad(F.hex(b), 2, "0"))), ""), F.lit(1), F.length(form))
     plus = F.length(F.regexp_extract(form, r"^\+(\d{1,3})(?=[ .(-])", 1))
     keep = F.when(kind == "phone", plus).when(kind == "iban", 2).when(kind == "cloud_key", 4).when(kind == "card", 1).otherwise(0)
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _let(_redraw(form, noise, keep), _with_check_digit))
-            .when(kind == "hex_token", hexes).when(kind == "person", _person(form, noise, draw)).otherwise(_redraw(form, noise, keep)))
+    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _let(F.concat(_redraw(form, noise, keep), longer), _with_check_digit))
+            .when(kind == "hex_token", F.concat(hexes, longer)).when(kind == "person", _person(form, noise, draw))
+            .when(kind == "password", F.concat(_redraw_all(form, noise), longer)).otherwise(F.concat(_redraw(form, noise, keep), longer)))
 
 
 def _with_check_digit(body: Column) -> Column:
@@ -165,7 +195,7 @@ def settle_draws(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon, draw (> 0 only) of entities that had to draw again. entities: distinct kind, canon, form."""
     now = materialize(entities.withColumn("draw", F.lit(0)), "pii-draws")
     taken = entities.select("kind", F.col("canon").alias("drawn"))
-    for _ in range(MOST_DRAWS):
+    while True:  # surrogates grow, so this ends
         drawn = now.withColumn("drawn", canonical(F.col("kind"), surrogate(F.col("kind"), F.col("form"), F.col("draw"), key)))
         # Among those that drew alike, whoever drew first keeps it.
         rank = F.row_number().over(Window.partitionBy("kind", "drawn").orderBy("draw", "canon"))
@@ -175,7 +205,6 @@ def settle_draws(entities: DataFrame, key: str) -> DataFrame:
         if not after.filter("again").limit(1).count():
             return after.filter("draw > 0").select("kind", "canon", "draw")
         now = materialize(after.select("kind", "canon", "form", (F.col("draw") + F.col("again").cast("int")).alias("draw")), "pii-draws")
-    raise RuntimeError("surrogates still collide; a kind has too few values")
 
 
 def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -213,6 +213,22 @@ def test_surrogates(spark, odd):
     assert pii.replace_pii(odd, key="k").count() == len(ODD) and pii.replace_pii(odd.limit(0), key="k").count() == 0
 
 
+def test_surrogates_never_run_out(spark):
+    """Masked and non-ASCII passwords, all one-digit ones, and a kind's draws used up."""
+    secrets = ["****", "*", "пароль", "Пароль1", "密码", "é", "🙂", *"0123456789"]
+    df = spark.createDataFrame([(i, f"login password={x} end") for i, x in enumerate([*secrets, "****"])], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace_pii(df, key="k").collect()}
+    new = [re.fullmatch(r"login password=(\S+) end", got[i].text)[1] for i in range(len(secrets))]
+    assert len(set(new)) == len(secrets) and not set(new) & set(secrets) and got[len(secrets)].text == got[0].text
+    assert {tuple(r.entity_kinds) for r in got.values()} == {("password",)}
+    forms = {"email": "a@b.io", "ip": "10.1.2.3", "ssn": "123-45-6789", "phone": "+1 415 555 0101", "iban": "DE89370400440532013000", "card": "4111 1111 1111 1111",
+             "cloud_key": "AKIA" + "7" * 16, "password": "*", "hex_token": "0" * 32, "person": "г-н Иванов"}
+    assert list(forms) == list(pii.PATTERNS)
+    kinds = spark.createDataFrame([(k, f, d) for k, f in forms.items() for d in (40, 41)], "kind string, form string, draw int")
+    drawn = {(r.kind, r.draw): r.s for r in kinds.withColumn("s", pii.surrogate(F.col("kind"), F.col("form"), F.col("draw"), "k")).collect()}
+    assert all(len(drawn[k, 40]) > len(f) + 20 and drawn[k, 40] != drawn[k, 41] for k, f in forms.items())
+
+
 @needs_tables
 def test_pipeline_stage_by_stage(spark, docs):
     """Each stage against the plain form of its decision, over all that its predecessor kept."""
