@@ -30,7 +30,11 @@ PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}|\(\d{3}\) ?\d{3}-\d{4})(?!\w)",
+    # North American, then any country's groups of two to four digits (15 digits at most, E.164); national ones without a country code.
+    "phone": r"(?<!\w)(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
+             r"|\+(?=(?:[ .()-]{0,3}\d){8,15}(?!\w))\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,5}"
+             r"|(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<!-)(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?!-)"
+             r"|0\d(?:[ .-]\d\d){4}|0\d{2,4}[ .-]\d{3,4}[ .-]\d{3,4}|[6-9]\d\d(?: \d\d){3})(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "cloud_key": r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)",
@@ -50,7 +54,12 @@ SURNAMES = {
     "cyrillic": "Белов Волков Громов Жуков Зайцев Крылов Лебедев Морозов Орлов Соколов".split(),
 }
 FEMALE_TITLES = r"^(?:Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|г-жа)\b"
-ALL = "(" + "|".join(PATTERNS.values()) + ")"
+ALL = "|".join(f"({p})" for p in PATTERNS.values())
+# Entities are set off by SEPARATOR, one field a kind; ESCAPE and what follows it stand for either in a text. Neither counts as a letter, digit, space or quote.
+SEPARATOR, ESCAPE = "\1", "\2"
+FIELDS = SEPARATOR + SEPARATOR.join(f"${k + 1}" for k in range(len(PATTERNS))) + SEPARATOR
+# Country codes keep their length however a number is spaced.
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 # From this draw on, a surrogate is one character (of a person, one surname) longer at each draw, so there is always a free one.
 LONGER_FROM = 4
 # What stands in for a password's characters, by class; the first class that fits counts.
@@ -71,21 +80,26 @@ def _luhn_sum(digits: Column) -> Column:
         (c.cast("int") * 2) % 10 + F.floor(c.cast("int") * 2 / 10).cast("int"))), F.lit(0), lambda a, x: a + x)
 
 
-def kind_of(form: Column) -> Column:
-    """The kind of a found string; null for digits that are no card number."""
-    out = F.lit(None).cast("string")
-    for kind, pattern in reversed(PATTERNS.items()):
-        # Look-arounds were tested in the text; here the string stands alone.
-        alone = pattern.replace(r"(?<=password=)", "").replace(r"(?<=\")", "").replace(r"(?=\")", "")
-        out = F.when(form.rlike("^(?:" + alone + ")$"), F.lit(kind)).otherwise(out)
-    digits = F.regexp_replace(form, "[^0-9]", "")
-    card = F.when(digits.rlike("^[0-9]+$"), _luhn_sum(digits) % 10 == 0).otherwise(False)
-    return F.when((out == "card") & ~card, F.lit(None)).otherwise(out)
+def _marks(text: Column) -> Column:
+    """The text in order as an array of kind and form. The kind is that of the pattern that matched; null for what isn't an entity."""
+    plain = F.replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE + "\4")), F.lit(SEPARATOR), F.lit(ESCAPE + "\3"))
+    kinds = F.array(F.lit(None).cast("string"), *[F.lit(k) for k in PATTERNS])
+
+    def mark(field: Column, i: Column) -> Column:
+        form = F.replace(F.replace(field, F.lit(ESCAPE + "\3"), F.lit(SEPARATOR)), F.lit(ESCAPE + "\4"), F.lit(ESCAPE))
+        kind = F.get(kinds, (i % (len(PATTERNS) + 1)).cast("int"))
+        # Digits that are no card number stay text.
+        no_card = F.when((kind == "card") & (form != ""), _luhn_sum(F.regexp_replace(form, "[^0-9]", "")) % 10 != 0).otherwise(False)
+        return F.struct(F.when(no_card, F.lit(None)).otherwise(kind).alias("kind"), form.alias("form"))
+
+    fields = F.split(F.regexp_replace(plain, ALL, FIELDS), SEPARATOR)
+    return F.filter(F.transform(fields, mark), lambda m: m["form"] != "")
 
 
 def canonical(kind: Column, form: Column) -> Column:
     """What all forms of an entity share: digits of numbers, letters without case or spacing."""
-    return (F.when(kind.isin("ssn", "phone", "card"), F.regexp_replace(form, "[^0-9]", ""))
+    digits = F.regexp_replace(form, "[^0-9]", "")
+    return (F.when(kind.isin("ssn", "card"), digits).when(kind == "phone", F.concat(F.when(form.rlike(r"^(?:\+|1[ .-])"), "+").otherwise(""), digits))
             .when(kind == "email", F.lower(form)).when(kind == "iban", F.regexp_replace(form, " ", ""))
             .when(kind == "person", F.lower(F.regexp_replace(form, r"\.", ""))).otherwise(form))
 
@@ -174,8 +188,9 @@ def _drawn(kind: Column, form: Column, draw: Column, key: str, noise: Column) ->
     groups = F.transform(F.sequence(F.lit(1), F.lit(7)), lambda k: F.lower(F.hex(F.element_at(noise, 2 * k) * 256 + F.element_at(noise, 2 * k + 1))))
     ip = F.when(draw < LONGER_FROM, ip).otherwise(F.concat(F.lit("fd00:"), F.array_join(groups, ":")))
     hexes = F.substr(F.array_join(F.transform(noise, lambda b: F.lower(F.lpad(F.hex(b), 2, "0"))), ""), F.lit(1), F.length(form))
-    plus = F.length(F.regexp_extract(form, r"^\+(\d{1,3})(?=[ .(-])", 1))
-    keep = F.when(kind == "phone", plus).when(kind == "iban", 2).when(kind == "cloud_key", 4).when(kind == "card", 1).otherwise(0)
+    # A country code or a leading 0 stays.
+    code = F.length(F.regexp_extract(canonical(kind, form), COUNTRY, 1))
+    keep = F.when(kind == "phone", F.when(form.startswith("0"), 1).otherwise(code)).when(kind == "iban", 2).when(kind == "cloud_key", 4).when(kind == "card", 1).otherwise(0)
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _let(F.concat(_redraw(form, noise, keep), longer), _with_check_digit))
             .when(kind == "hex_token", F.concat(hexes, longer)).when(kind == "person", _person(form, noise, draw))
             .when(kind == "password", F.concat(_redraw_all(form, noise), longer)).otherwise(F.concat(_redraw(form, noise, keep), longer)))
@@ -187,10 +202,6 @@ def _with_check_digit(body: Column) -> Column:
     return F.concat(F.substr(body, F.lit(1), F.length(body) - 1), check.cast("string"))
 
 
-def _found(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ALL))
-
-
 def settle_draws(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon, draw (> 0 only) of entities that had to draw again. entities: distinct kind, canon, form."""
     now = materialize(entities.withColumn("draw", F.lit(0)), "pii-draws")
@@ -211,8 +222,7 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     """``docs`` with surrogates in the text, plus n_entities (long) and entity_kinds (array of kind names in order)."""
     rows = docs.select(F.struct("*").alias("doc"), F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{text_col}`").alias("body"))
     rows = rows.withColumn("row_key", F.xxhash64("row_id", "body"))
-    mentions = rows.select("row_key", F.explode(F.array_distinct(_found(F.col("body")))).alias("form"))
-    mentions = mentions.withColumn("kind", kind_of(F.col("form"))).filter("kind IS NOT NULL")
+    mentions = rows.select("row_key", F.explode(F.array_distinct(F.filter(_marks(F.col("body")), lambda m: m["kind"].isNotNull()))).alias("mark")).select("row_key", "mark.*")
     mentions = materialize(mentions.withColumn("canon", canonical(F.col("kind"), F.col("form"))), "pii-mentions")
     entities = mentions.groupBy("kind", "canon").agg(F.min("form").alias("form"))
     redrawn = settle_draws(entities, key)
@@ -225,16 +235,16 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     rest = marked.filter("bm_hit").join(affected, "row_key", "left").select(*plain.columns)
     both = plain.unionByName(rest)
 
-    forms = both.withColumn("pieces", F.split("body", ALL)).withColumn("forms", F.transform(_found(F.col("body")), lambda f: F.struct(kind_of(f).alias("kind"), f.alias("form"))))
+    marks = both.withColumn("marks", _marks(F.col("body")))
 
     def put(e: Column) -> Column:
         canon = canonical(e["kind"], e["form"])
         draw = F.coalesce(F.element_at("draws", F.concat_ws("|", e["kind"], canon)), F.lit(0))
         return F.when(e["kind"].isNull(), e["form"]).otherwise(surrogate(e["kind"], e["form"], draw, key))
 
-    put_in = F.concat(F.transform("forms", put), F.array(F.lit("")))
-    text = F.array_join(F.flatten(F.zip_with("pieces", put_in, lambda p, s: F.array(p, s))), "")
-    kinds = F.filter(F.transform("forms", lambda e: e["kind"]), lambda k: k.isNotNull())
-    out = forms.withColumn("new", F.when(F.size("forms") == 0, F.col("body")).otherwise(text)).withColumn("kinds", F.coalesce(kinds, F.array().cast("array<string>")))
+    text = F.array_join(F.transform("marks", put), "")
+    kinds = F.filter(F.transform("marks", lambda e: e["kind"]), lambda k: k.isNotNull())
+    out = marks.withColumn("kinds", F.coalesce(kinds, F.array().cast("array<string>")))
+    out = out.withColumn("new", F.when(F.size("kinds") == 0, F.col("body")).otherwise(text))
     columns = [F.col("new").alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns]
     return out.select(*columns, F.size("kinds").cast("long").alias("n_entities"), F.col("kinds").alias("entity_kinds"))
