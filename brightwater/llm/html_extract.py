@@ -6,7 +6,8 @@ other, stray end tags are dropped. A renderer then emits all text that a browser
 included: elements that never render (scripts, styles, templates, ``hidden``, inline
 ``display:none``) are left out, blocks stand on lines of their own with blank lines around
 paragraphs and headings, list items carry bullets or numbers at their depth, cells of a table are
-padded to common widths, ``<pre>`` keeps its spaces, and other white space collapses.
+padded to common widths, ``<pre>`` and ``<textarea>`` keep their spaces, options stand on lines of their own, of an svg
+its text elements are shown, and other white space collapses.
 
 Nulls: a null page gives null text and 0 counts. Broken markup never raises; whatever text is left is
 rendered. Very deep nesting is flattened below ``MAX_DEPTH``. Repeated rows are pages of their own. An
@@ -31,16 +32,23 @@ MAX_CELL = 60
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style title template head noscript object iframe svg math canvas audio video datalist dialog select textarea".split())
-BLOCK = frozenset("""address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
-    header hgroup hr html legend li main menu nav ol p pre search section summary table ul""".split())
+HIDDEN = frozenset("script style title template head noscript object iframe canvas audio video datalist annotation annotation-xml".split())
+#: What may stand in a head; of these, what holds text of its own; anything else ends a head.
+IN_HEAD = frozenset("base link meta title script style noscript template".split())
+HEAD_TEXT = IN_HEAD - VOID
+#: Tags that end an open svg or math; parts of an svg whose text is shown or isn't.
+BREAKOUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre
+    ruby s small span strong strike sub sup table tt u ul var""".split())
+SVG_TEXT, SVG_UNSEEN = frozenset(["text", "foreignobject"]), frozenset("defs symbol clippath mask pattern marker".split())
+BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
+    header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table textarea ul""".split())
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 CELLS, ROW_GROUPS = frozenset(["td", "th"]), frozenset(["thead", "tbody", "tfoot"])
 #: What an opening tag closes first, and what stops the search for it.
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "table"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl", "table"])), "dd": (frozenset(["dt", "dd"]), frozenset(["dl", "table"])),
-    "option": (frozenset(["option"]), frozenset(["select"])),
+    "option": (frozenset(["option"]), frozenset(["select", "datalist"])), "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "tr": (frozenset(["tr", "td", "th", "caption"]), frozenset(["table"])),
     "td": (CELLS | {"caption"}, frozenset(["tr", "table"])), "th": (CELLS | {"caption"}, frozenset(["tr", "table"])),
     **{g: (ROW_GROUPS | {"tr", "td", "th", "caption"}, frozenset(["table"])) for g in ROW_GROUPS},
@@ -61,6 +69,27 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
+        self.head, self.foreign = False, False  # whether a head has to be looked for, and svg or math
+
+    def _leave_head(self, tag: str | None = None) -> None:
+        """Ends an open head that ``tag``, or text, can't be part of."""
+        at = next((k for k, n in enumerate(self.open) if n.tag == "head"), 0)
+        self.head = at > 0
+        if not at or tag in IN_HEAD or tag == "head":
+            return
+        inner = {n.tag for n in self.open[at + 1:]}
+        stays = inner & HEAD_TEXT if tag is None else "template" in inner or "noscript" in inner and (tag in VOID or tag in HIDDEN)
+        if not stays:
+            del self.open[at:]
+            self.head = False
+
+    def _leave_foreign(self) -> None:
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag in ("foreignobject", "annotation-xml"):
+                return
+            if self.open[k].tag in ("svg", "math"):
+                del self.open[k:]
+                return
 
     def _close_until(self, tags: frozenset[str], stops: frozenset[str]) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -79,18 +108,25 @@ class TreeBuilder(HTMLParser):
         if tag in ("html", "body"):
             self._close_until(frozenset(["head"]), frozenset())
             return
-        if tag != "head" and any(n.tag == "head" for n in self.open) and tag not in HIDDEN and tag not in VOID:
-            self._close_until(frozenset(["head"]), frozenset())
-        if tag in BLOCK:
+        if self.head:
+            self._leave_head(tag)
+        if self.foreign and tag in BREAKOUT:
+            self._leave_foreign()
+        if tag in BLOCK and tag not in ("option", "optgroup", "select", "textarea"):
             self._close_until(frozenset(["p"]), CELLS | {"table", "button", "caption"})
         if tag in CLOSES:
             self._close_until(*CLOSES[tag])
         if tag in CELLS and self.open[-1].tag != "tr":
             self._push("tr", {})
         self._push(tag, dict(attrs))
+        self.head |= tag == "head"
+        self.foreign |= tag in ("svg", "math")
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # "/" at the end means nothing in HTML
+        self.handle_starttag(tag, attrs)
+        # "/" at the end means nothing in HTML, but ends an element of svg or math
+        if self.foreign and self.open[-1].tag == tag and any(n.tag in ("svg", "math") for n in self.open) and tag not in BLOCK:
+            self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -108,12 +144,14 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def handle_data(self, data: str) -> None:
+        if self.head and not data.isspace():
+            self._leave_head()
         self.open[-1].children.append(data)
 
 
 def shown(node: Node) -> bool:
     a = node.attrs
-    return not (node.tag in HIDDEN or "hidden" in a or node.tag == "input" and (a.get("type") or "").lower() == "hidden"
+    return not (node.tag in HIDDEN or "hidden" in a or node.tag == "dialog" and "open" not in a or node.tag == "input" and (a.get("type") or "").lower() == "hidden"
                 or a.get("style") and _NO_DISPLAY.search(a["style"]))
 
 
@@ -196,6 +234,9 @@ class Renderer:
             self._table(node)
             self._break(1)
             return
+        if tag == "svg":
+            self._svg(node)
+            return
         gap = 1 if tag in SPACED and not (tag in ("ul", "ol") and self.indent) else 0
         block = tag in BLOCK
         if block:
@@ -207,8 +248,15 @@ class Renderer:
             self.children(node)
             self._break()
             self.indent.pop()
-        elif tag == "pre":
+        elif tag in ("option", "optgroup") and (label := (node.attrs.get("label") or "").strip()):
+            self.text(label)
+            if tag == "optgroup":
+                self._break()
+                self.children(node)
+        elif tag in ("pre", "textarea"):
             self.pre += 1
+            if tag == "textarea" and node.children and isinstance(node.children[0], str):
+                node.children[0] = re.sub(r"^\r?\n", "", node.children[0])
             self.children(node)
             self._break()
             self.pre -= 1
@@ -217,6 +265,18 @@ class Renderer:
         if block:
             self._break(gap)
 
+    def _svg(self, node: Node) -> None:
+        """Text elements, each a word of its own; other characters in an svg aren't drawn."""
+        for c in node.children:
+            if isinstance(c, str) or c.tag in SVG_UNSEEN or not shown(c):
+                continue
+            if c.tag in SVG_TEXT:
+                self.space = True
+                self.children(c)
+                self.space = True
+            else:
+                self._svg(c)
+
     def _list(self, node: Node) -> None:
         start = node.attrs.get("start") or "1"
         number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1

@@ -189,6 +189,18 @@ def test_rendered_pages(html, text):
     assert html_extract.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<html><head><title>T</title>Hello world<br>more text", "Hello world\nmore text"), ("<head><meta charset=utf-8><title>T</title><br>Hello", "Hello"),
+    ("<head><img alt=Logo>Hello", "LogoHello"), ("<head>\n<noscript><img alt=no></noscript><script>no</script>\n<link rel=x></head><body>yes", "yes"),
+    ("<head><template><p>no</p></template><style>no</style>yes", "yes"), ("a<textarea>\nb\n  c</textarea>d", "a\nb\n  c\nd"),
+    ("Pick <select><option>a<option selected>b</select> now", "Pick\na\nb\nnow"), ("<select><optgroup label=G><option>a</optgroup><option label=L>b</select>", "G\na\nL"),
+    ("<div><select><option>a</div><p>rest", "a\n\nrest"), ("<div><textarea>a</textarea>b</div>", "a\nb"),
+    ("<dialog open>yes</dialog><dialog>no</dialog>end", "yes\nend"), ("a<svg><title>no</title><defs><text>no</text></defs><g><text>b<tspan>c</tspan></text></g><path/><text>d</text></svg>e", "a bc d e"),
+    ("<div><svg><path d=x><p>rest</div>end", "rest\n\nend"), ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "x=1"), ("<p>a <svg><circle/></svg> b", "a b")])
+def test_all_visible_text_is_rendered(html, text):
+    assert html_extract.render(html) == text
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "<p>a"), (2, "<p>a"), (3, "<div>" * 5000 + "deep")], "page_id long, html string")
     assert sorted((r.page_id, r.text, r.n_lines) for r in html_extract.html_extract(df).collect() if r.text is not None) == [(2, "a", 1), (2, "a", 1), (3, "deep", 1)]
