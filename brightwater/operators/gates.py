@@ -15,10 +15,13 @@ def row_hash(df: DataFrame, volatile: list[str] = (), name: str = "content_hash"
 def group_hash(rows: DataFrame, identity: list[str], volatile: list[str] = ()) -> DataFrame:
     """identity, content_hash over all rows of an identity, whatever their order.
 
-    Rows are hashed first, so an identity's list holds 64 bytes a row.
+    Rows are hashed first and equal ones counted, then the hashes of (row hash, count) are summed in slices of 64 bits: sums
+    don't depend on the order and are taken before the exchange, so an identity costs the same however many rows it has.
     """
-    own = row_hash(rows, volatile, "_h").select(*identity, "_h")
-    return own.groupBy(*identity).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ""), 256).alias("content_hash"))
+    own = row_hash(rows, volatile, "_h").groupBy(*identity, "_h").agg(F.count("*").alias("_n"))
+    digest = F.sha2(F.concat_ws("|", "_h", "_n"), 256)
+    parts = [F.sum(F.conv(F.substring(digest, 16 * k + 1, 16), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    return own.groupBy(*identity).agg(F.sha2(F.concat_ws("|", *parts, F.sum("_n")), 256).alias("content_hash"))
 
 
 def gate(incoming: DataFrame, stored: DataFrame, identity: list[str], full_refresh: bool = False) -> DataFrame:

@@ -81,6 +81,15 @@ def test_group_hash_ignores_order(spark):
     assert rows(gates.group_hash(df, ["k"])) == rows(gates.group_hash(df.orderBy(F.desc("v")).repartition(5), ["k"]))
 
 
+def test_group_hash_sees_each_row_and_keeps_no_lists(spark):
+    sets = [[1, 2], [2, 1], [1, 1, 2], [1, 2, 2], [1, 2, None], [1], [2], [], [None], [None, None]]
+    df = spark.createDataFrame([(k, v) for k, vs in enumerate(sets) for v in vs], "k int, v int")
+    got = gates.group_hash(df.withColumn("k", F.lit(0)), ["k"])
+    assert "collect_list" not in got._jdf.queryExecution().toString().lower()
+    by = {k: gates.group_hash(df.filter(f"k = {k}").withColumn("k", F.lit(0)), ["k"]).collect() for k in range(len(sets))}
+    assert by[0] == by[1] and by[7] == [] and len({r[0].content_hash for r in by.values() if r}) == len(sets) - 2
+
+
 def test_ranges_and_slices(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 3), ("a", 5, 7), ("a", 9, 10)], "s string, x int, y int")
     assert rows(series.merged_ranges(df, ["s"], "x", "y")) == [("a", 1, 7), ("a", 9, 10)]
