@@ -157,7 +157,11 @@ def _sign(words: int, percent: int, known_counts):
         sig, doc = np.concatenate([h[2] for h in held]), np.concatenate([h[3] + o for h, o in zip(held, base, strict=False)])
         _, member, pivot = _stars(digest, ids)
         yield _pairs(pivot, member, SAME)
-        copies = np.isin(ids, member[member != pivot])
+        # By row, as an id may have other texts: whatever isn't of its digest's least id is a copy.
+        kinds, place = np.unique(digest, return_inverse=True)
+        least = np.full(len(kinds), np.iinfo(np.int64).max)
+        np.minimum.at(least, place, ids)
+        copies = ids != least[place]
         mine = ~copies[doc]
         key, member, pivot = _stars(sig[mine], ids[doc[mine]])
         yield _pairs(pivot, member, CANDIDATE)

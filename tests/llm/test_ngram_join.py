@@ -107,3 +107,11 @@ def test_counts_cover_all_documents(spark):
     df = spark.createDataFrame([(i, f"a b c d{i % 3}") for i in range(30)], "doc_id long, text string").repartition(5)
     counts = nj.sketch_counts(df, 3)
     assert counts.sum() == 60 and counts.max() == 30 and np.count_nonzero(counts) == 4
+
+
+def test_an_id_with_two_texts(spark):
+    """One of them is a copy within the task; the links of the other stay."""
+    a, b = ([f"{x}{k}" for k in range(40)] for x in "ab")
+    rows = [(1, " ".join(a)), (2, " ".join(a)), (2, " ".join(b)), (3, " ".join([*b, "more"])), (4, "other words of no one else at all")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.component_id) for r in nj.ngram_join(df, 5, 80).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
