@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch where the session sets no bound of its own.
+BATCH_BYTES = 4 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def build_session(app: str = "brightwater", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine relies on: UTC, ANSI casts, adaptive plans."""
     builder = SparkSession.builder.appName(app)
@@ -27,10 +32,14 @@ def build_session(app: str = "brightwater", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, a laptop) is a folder of our own set.
+    Only a local master (tests, a laptop) may leave it unset: one machine then holds everything,
+    and a folder of our own is set. On a cluster such a folder would be another one on each
+    executor, so that is refused.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -56,9 +65,9 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     from pathlib import Path
 
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) == 10000:
-        # Spark's own default counts rows, and ten thousand long texts at once are a lot of memory in each Python task.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    if spark.conf.get(ARROW_BYTES) == "67108864b" and not spark.sparkContext.getConf().contains(ARROW_BYTES):
+        # Spark's own default; a few copies of 64 MB of text in each Python task are a lot of memory. A bound that the user set stays.
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_brightwater_shipped", False):
         return
