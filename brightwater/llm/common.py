@@ -22,6 +22,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def sampled(rows: DataFrame, share: float, *by: Column) -> DataFrame:
+    """Rows whose 64-bit hash lies in the lowest ``share`` of all hashes: the same rows at every run, however small the share."""
+    if share >= 1:
+        return rows
+    return rows.filter(F.xxhash64(*by) < F.lit(int(share * 2**64) - 2**63).cast("long"))
+
+
 #: Bits of the smallest and the largest filter; 2**28 bits are 32 MB.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 #: Keys above this share of all rows are joined by broadcast; there are fewer than ``SHARES`` of them, whatever the input.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import join_by_size
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -27,10 +28,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         if _is_forest_of_stars(now):
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_by_size(both, materialize(least, "edges-least"), ["u"], "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialize(large, "edges-large")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "edges-least")
+        small = join_by_size(large, least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

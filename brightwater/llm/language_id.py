@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out
+from .common import held_out, sampled
 
 _SPACE = 0x20
 
@@ -143,8 +143,9 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     doc_id = F.col(f"`{id_col}`")
     labelled = docs.filter(F.col(f"`{lang_col}`").isNotNull() & ~held_out(doc_id))
     total = labelled.count()
-    share = min(1.0, fit_rows / max(1, total))
-    chosen = labelled.filter(F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = sampled(labelled, fit_rows / max(1, total), doc_id, F.col(f"`{text_col}`"))
+    if total and chosen.isEmpty():
+        raise ValueError(f"{total} labelled rows, and not one in a sample of about {fit_rows}: nearly all share one id and text")
     profiles = fit_profiles(chosen.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")))
     out = identify(docs, profiles, id_col, text_col)
     return out.select(id_col, held_out(F.col(f"`{id_col}`")).alias("held_out"), "lang_pred", "score")

@@ -1,7 +1,7 @@
 """N-gram Jaccard self join by T-occurrence search (DivideSkip).
 
 Where documents meet. Order all n-grams by how many documents have them, rare ones first (counts
-come from a sketch of ``COUNTERS`` counters over all documents; any order loses nothing, a good one
+come from a sketch over all documents, whose size follows their number; any order loses nothing, a good one
 keeps passages that many documents share out of the way). The first n-gram of that order that two
 linked sets of n and m elements share lies among the first n - T + 1 of one and m - T' + 1 of the
 other, T being the overlap that a set's own size asks for. So a document signs with those
@@ -12,10 +12,14 @@ Who is compared. Candidates of a signature aren't paired with each other: each i
 least id of the signature (first within a map task, then across them, so a signature sent by a
 third of all rows arrives once per task). Each such pivot is a query over the inverted lists of
 its candidates, dealt in blocks. Two documents that meet are below the same pivot, at once or by their
-tasks' pivots. So where what is below a pivot still falls into several components, every document
-outside the largest component is a query over blocks of what is below that pivot. Tables of parity bits rule out most
-pairs that can't link before any set is sent. A link between two components has an end
-outside the largest, so none is lost.
+tasks' pivots. Where links found so far hold together all that is below a pivot, nothing is left to find there.
+
+What is left are the documents below pivots that don't hold together. They sign again, in another exact way: n-grams
+are dealt to d + 1 parts by hash, d being the most n-grams in which linked sets of a size class
+differ, so two linked sets agree in all of some part, and the digest of a part is a far rarer
+signature than an n-gram. Documents outside the largest component of their family are queries over blocks of the documents of
+other components that share a part with them; a link between two components has an end outside the largest, so none
+is lost. Tables of parity bits rule out most pairs that can't link before any set is sent.
 
 How a query is answered. It needs documents that occur on at least T of its lists. The L
 longest lists are set aside, the rest are heap-merged for documents that occur T - L times,
@@ -23,7 +27,7 @@ and those are probed for in the long lists by binary search.
 
 Nulls and odd rows: a text without words has an empty set and links with nothing; fewer words
 than n count as one n-gram of the whole sequence. Rows with a null id are returned with a null
-component. Rows that share an id are one vertex. An empty table gives no rows.
+component. Rows that share an id are one vertex; ids are whole numbers. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,12 +43,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bitmap_of, drop_matching, in_bitmap
+from .common import KeyFilter, drop_matching, join_by_size, row_digest
 from .components import components
 from .words import FOLD, SPACE, Segments, batches, mix, ngrams
 
-COUNTER_BITS = 20
-COUNTERS, CHUNKS, SALTS = 1 << COUNTER_BITS, 64, 256
+CHUNKS, SALTS = 64, 256
 #: Signatures that a map task holds before it sends them, and members of a block.
 FLUSH, BLOCK = 500_000, 512
 CANDIDATE, SAME, SIZE, MEET = 0, 1, 2, 3
@@ -78,46 +81,65 @@ def size_classes(largest: int, percent: int) -> np.ndarray:
     return np.array([*ends, max(ends[-1] + 1, ends[-1] * 100 // percent)], np.int64)
 
 
-def sketch_counts(rows: DataFrame, words: int) -> np.ndarray:
-    """How many documents have n-grams of each of ``COUNTERS`` hash ranges: 4 MB, whatever the input.
+def counter_bits(n_rows: int) -> int:
+    """The sketch has two to four counters a document, 2**20 at least and 2**24 at most (a byte each when broadcast).
+
+    At the most, an n-gram still stands out if it makes up more than one part in 16 million of all occurrences.
+    """
+    return min(24, max(20, n_rows.bit_length() + 1))
+
+
+def sketch_counts(rows: DataFrame, words: int, bits: int = 20) -> np.ndarray:
+    """How many documents have n-grams of each of 2**bits hash ranges, as levels of an eighth of a power of two (a byte each).
 
     Tasks send their counters above 0; they are summed in two steps, so no task adds up those of all others.
     """
-    width, chunks = COUNTERS // CHUNKS, CHUNKS
+    counters, chunks = 1 << bits, CHUNKS
+    width = counters // chunks
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(counters, np.uint32)
         for b in it:
             for _, _, grams, _ in shingle_sets(b.column("text"), words):
-                total += np.bincount((grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
+                np.add.at(total, grams >> np.uint64(64 - bits), np.uint32(1))
         parts = [(c, np.flatnonzero(total[c * width:(c + 1) * width])) for c in range(chunks)] if total.any() else []
-        salt = int(total.sum() % SALTS)
+        salt = int(total.sum(dtype=np.int64) % SALTS)
         yield pa.RecordBatch.from_arrays([
             pa.array([c for c, _ in parts], pa.int32()), pa.array([salt] * len(parts), pa.int32()),
-            pa.array([at.astype("<u2").tobytes() for _, at in parts], pa.binary()),
-            pa.array([np.minimum(total[c * width + at], 2**32 - 1).astype("<u4").tobytes() for c, at in parts], pa.binary())], ["chunk", "salt", "at", "n"])
+            pa.array([_packed(at) for _, at in parts], pa.binary()),
+            pa.array([total[c * width + at].astype("<u4").tobytes() for c, at in parts], pa.binary())], ["chunk", "salt", "at", "n"])
 
     def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for b in tables:
             for at, n in zip(b.column("at").to_pylist(), b.column("n").to_pylist(), strict=True):
-                total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4")
+                total[_unpacked(at, len(n) // 4)] += np.frombuffer(n, "<u4")
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([
-            pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([at.astype("<u2").tobytes()], pa.binary()),
+            pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([_packed(at)], pa.binary()),
             pa.array([np.minimum(total[at], 2**32 - 1).astype("<u4").tobytes()], pa.binary())], ["chunk", "salt", "at", "n"])
 
     schema = "chunk int, salt int, at binary, n binary"
     summed = rows.select("text").mapInArrow(count, schema).groupBy("chunk", "salt").applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema)
-    out = np.zeros(COUNTERS, np.int64)
+    out = np.zeros(counters, np.uint8)
     for r in summed.collect():  # CHUNKS rows
-        out[r["chunk"] * width + np.frombuffer(r["at"], "<u2").astype(np.int64)] = np.frombuffer(r["n"], "<u4")
-    return np.minimum(out, 2**32 - 1).astype(np.uint32)
+        n = np.frombuffer(r["n"], "<u4").astype(np.float64)
+        out[r["chunk"] * width + _unpacked(r["at"], len(n))] = np.minimum(255, np.round(8 * np.log2(1 + n)))
+    return out
+
+
+def _packed(at: np.ndarray) -> bytes:
+    """Ascending places below 2**18, two bytes each where they are below 2**16."""
+    return at.astype("<u2" if not len(at) or at[-1] < 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(at: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(at, "<u2" if len(at) == 2 * n else "<u4").astype(np.int64)
 
 
 def signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, owner) for both size classes of every set. grams are ordered by owner and hash."""
-    rarity = counts[(grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    rarity = counts[grams >> np.uint64(65 - len(counts).bit_length())]
     order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | rarity, kind="stable")
     starts = np.cumsum(sizes) - sizes
     sent = sizes - -(-percent * sizes // 100) + 1
@@ -279,8 +301,9 @@ def _search_blocks(asked: DataFrame, sets: DataFrame, keys: list[str], percent:
 
 
 def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows that may be of these ids. The bitmap is bounded and lossy; joins behind it are exact."""
-    return in_bitmap(rows.filter("id IS NOT NULL"), F.xxhash64("id"), bitmap_of(ids.select(F.xxhash64("id").alias("k")), "k"))
+    """Rows that may be of these ids. Joins behind it are exact."""
+    listed = materialize(ids.select(F.xxhash64("id").alias("k")), "ngram-ids")
+    return KeyFilter(listed, "k").maybe(rows.filter("id IS NOT NULL"), F.xxhash64("id"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -290,9 +313,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(sizes, labels): every row's id and n-gram count, and (id, component) of ids that link."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counts = rows.sparkSession.sparkContext.broadcast(sketch_counts(rows, words))  # COUNTERS numbers
+    counts = rows.sparkSession.sparkContext.broadcast(sketch_counts(rows, words, counter_bits(rows.count())))  # 16 MB at most
     signed = rows.mapInArrow(_sign(words, percent, counts), _ROWS)
-    # The ids of a signature are joined to the least of them; other rows pass through.
+    # The ids of a signature are joined to the least of them. Nearly all rows are of that kind (MEET); what rides along, a row or two
+    # a document, would cost a second pass over all texts, or a table of all signatures, to keep apart.
     pivot = F.min("a").over(Window.partitionBy("kind", "key"))
     met = signed.withColumn("pivot", F.when(F.col("kind") == MEET, pivot)).filter((F.col("kind") != MEET) | (F.col("pivot") < F.col("a")))
     meets = F.col("kind") == MEET
@@ -300,15 +324,17 @@ def ngram_links(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     met = materialize(met, "ngram-met")
     sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
     edges = materialize(met.filter(F.col("kind") != SIZE).distinct(), "ngram-edges")
-    maybe = edges.filter(F.col("kind") != SAME).select("a", "b").distinct()
+    maybe = materialize(edges.filter(F.col("kind") != SAME).select("a", "b").distinct(), "ngram-maybe")
 
-    bits = materialize(_of(rows, _ends(maybe)).mapInArrow(_parities(words), "id long, n long, bits binary"), "ngram-bits").distinct()
+    bits = materialize(_of(rows, _ends(maybe)).mapInArrow(_parities(words), "id long, n long, bits binary").distinct(), "ngram-bits")
     end = lambda c: bits.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("bits" + c))
-    near = maybe.join(end("a"), "a").join(end("b"), "b").mapInArrow(_near(percent), "a long, b long").distinct()
+    # A pivot may have a third of all rows below it.
+    pivots = materialize(maybe.groupBy("a").agg(F.count(F.lit(1)).alias("n_below")).join(end("a"), "a"), "ngram-pivots")
+    near = join_by_size(maybe, pivots, ["a"], "n_below").drop("n_below").join(end("b"), "b").mapInArrow(_near(percent), "a long, b long").distinct()
     near = materialize(near, "ngram-near")
     sets = materialize(_of(rows, _ends(near)).mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
-    blocks = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks"))
-    dealt = near.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n_blocks")).alias("block"), "b")
+    blocks = materialize(near.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks")), "ngram-blocks")
+    dealt = join_by_size(near, blocks, ["a"], "n").select("a", F.pmod(F.xxhash64("b"), F.col("n_blocks")).alias("block"), "b")
     members = dealt.select("a", "block", F.col("b").alias("id"), F.col("b").alias("label"), F.lit(False).alias("is_query"))
     pivots = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"),
                            F.col("a").alias("id"), F.col("a").alias("label"), F.lit(True).alias("is_query"))
@@ -380,14 +406,47 @@ def _sets(words: int):
     return run
 
 
-_BLOCK_KEYS = ["family", "mb", "qb"]
+_BLOCK_KEYS = ["part", "mb", "qb"]
+
+
+def part_digests(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digest, owner) of all parts of each set, for both size classes that a set may have partners in.
+
+    Sets of sizes up to n that link differ in at most d = 2 n (100 - p) / (100 + p) elements, so of d + 1 parts one has none of these.
+    """
+    ends = size_classes(int(sizes.max(initial=1)), percent)
+    own = np.searchsorted(ends, sizes)
+    out, of = [], []
+    for step in (0, 1):
+        parts = np.where(sizes > 0, 2 * ends[own + step] * (100 - percent) // (100 + percent) + 1, 0)
+        first = np.cumsum(parts) - parts
+        place = first[owner] + (((mix(grams) >> np.uint64(32)) * parts[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        sums = np.zeros(int(parts.sum()), np.uint64)
+        np.add.at(sums, place, mix(grams + np.uint64(1)))
+        doc = np.repeat(np.arange(len(sizes)), parts)
+        no = np.arange(len(doc)) - first[doc]
+        out.append(mix(sums ^ mix((no.astype(np.uint64) << np.uint64(20)) + (own[doc] + step).astype(np.uint64))))
+        of.append(doc)
+    return np.concatenate(out), np.concatenate(of)
+
+
+def _part_rows(words: int, percent: int):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for i, j, grams, owner in shingle_sets(b.column("text"), words):
+                digest, doc = part_digests(grams, owner, np.bincount(owner, minlength=j - i), percent)
+                at = pa.array(doc + i)
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), *[b.column(c).take(at) for c in ("id", "label", "asks")]], ["part", "id", "label", "asks"])
+
+    return run
 
 
 def _in_blocks(own: DataFrame) -> DataFrame:
-    """own: family, id, label, asks, told. Every asking row meets every told row of its family in one block (family, mb, qb)."""
+    """own: part, id, label, asks, told. Every asking row meets every told row of its part in one block (part, mb, qb)."""
     of = lambda c: F.ceil(F.sum(F.col(c).cast("int")) / BLOCK)
-    per = own.groupBy("family").agg(of("told").alias("nm"), of("asks").alias("nq")).filter("nm > 0 AND nq > 0")
-    own = own.join(per, "family")
+    per = own.groupBy("part").agg(F.count(F.lit(1)).alias("n"), of("told").alias("nm"), of("asks").alias("nq"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+    per = materialize(per.filter("nm > 0 AND nq > 0 AND l1 < l2").drop("l1", "l2"), "ngram-parts")
+    own = join_by_size(own, per, ["part"], "n")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     cols = [*_BLOCK_KEYS, "id", "label", "is_query"]
@@ -396,7 +455,7 @@ def _in_blocks(own: DataFrame) -> DataFrame:
 
 
 def _prune_blocks(dealt: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Rows of (family, id, label, asks, told) that may link with another label's, by their parity tables."""
+    """Rows of (part, id, label, asks, told) that may link with another label's, by their parity tables."""
 
     def run(table: pa.Table) -> pa.Table:
         asks = np.asarray(table.column("is_query"))
@@ -413,11 +472,11 @@ def _prune_blocks(dealt: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
                     ask[q] |= len(hit) > 0
                     told[hit] = True
         keep = ask | told
-        out = table.select(["family", "id", "label"]).filter(pa.array(keep))
+        out = table.select(["part", "id", "label"]).filter(pa.array(keep))
         return out.append_column("asks", pa.array(ask[keep])).append_column("told", pa.array(told[keep]))
 
-    left = dealt.join(bits, "id").groupBy(*_BLOCK_KEYS).applyInArrow(run, "family long, id long, label long, asks boolean, told boolean")
-    return left.groupBy("family", "id", "label").agg(F.max("asks").alias("asks"), F.max("told").alias("told"))
+    left = dealt.join(bits, "id").groupBy(*_BLOCK_KEYS).applyInArrow(run, "part long, id long, label long, asks boolean, told boolean")
+    return left.groupBy("part", "id", "label").agg(F.max("asks").alias("asks"), F.max("told").alias("told"))
 
 
 def _search_rest(rows: DataFrame, words: int, edges: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -431,8 +490,11 @@ def _search_rest(rows: DataFrame, words: int, edges: DataFrame, labels: DataFram
     own = materialize(label_of(family.select(F.col("a").alias("family"), F.col("b").alias("id")), "id", "label"), "ngram-family")
     per = own.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     per = per.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
-    own = own.join(per.filter("n > most AND n > 2").select("family", "main"), "family")
-    own = own.select("family", "id", "label", (F.col("label") != F.col("main")).alias("asks"), F.lit(True).alias("told"))
+    per = materialize(per.filter("n > most AND n > 2").select("family", "n", "main"), "ngram-open")
+    left = join_by_size(own, per, ["family"], "n").groupBy("id").agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("asks"))
+    left = materialize(left, "ngram-left")
+    signed = _of(rows, left.select("id")).join(left, "id").mapInArrow(_part_rows(words, percent), "part long, id long, label long, asks boolean")
+    own = materialize(signed.distinct().withColumn("told", F.lit(True)), "ngram-signed")
     own = materialize(_prune_blocks(_in_blocks(own), bits, percent), "ngram-rest")
     sets = materialize(_of(rows, own.select("id").distinct()).mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
     more = _search_blocks(_in_blocks(own), sets, _BLOCK_KEYS, percent)
@@ -451,8 +513,47 @@ def ngram_join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str =
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
 
 
+def _vertices(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with a column ``vertex``: a number for each id and text; what ids and digests the numbers of odd rows stand for).
+
+    An id is its own vertex if it occurs once. Rows without an id, and those whose id occurs again, get numbers that no id has. Mostly there
+    are none, and then nothing is shuffled but ids.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ids = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    odd = materialize(ids.filter("n > 1 OR id IS NULL").select("id"), "near-odd")
+    if odd.isEmpty():
+        return rows.withColumn("vertex", F.col("id")), None
+    ends = rows.agg(F.max("id").alias("hi"), F.min("id").alias("lo")).first()
+    base = (ends["hi"] or 0) + 1 if (ends["hi"] or 0) < 2**62 else ends["lo"] - 2**62
+    listed = KeyFilter(odd.select(F.xxhash64("id").alias("k")), "k")
+    marked = listed.mark(rows, F.xxhash64("id")).withColumn("digest", row_digest(F.col("text")))
+    known = odd.select(F.col("id").alias("odd_id"), F.lit(True).alias("is_odd"))
+    near = marked.filter("bm_hit").join(known, F.col("id").eqNullSafe(F.col("odd_id")), "left")
+    named = near.filter("is_odd").select("id", "digest").distinct()
+    named = materialize(named, "near-named").withColumn("vertex", F.lit(base) + F.monotonically_increasing_id())
+    named = materialize(named, "near-numbers")
+    of = named.select(F.col("id").alias("of_id"), F.col("digest").alias("of_digest"), "vertex")
+    exact = near.join(of, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")), "left")
+    odd_rows = exact.select("id", "text", F.coalesce("vertex", "id").alias("vertex"))
+    return marked.filter("NOT bm_hit").select("id", "text", F.col("id").alias("vertex")).unionByName(odd_rows), named
+
+
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one of each group of near copies left: that of the least id."""
-    _, labels = ngram_links(docs, words, percent, id_col, text_col)
-    gone = materialize(labels.filter("id != component").select(F.col("id").alias("gone_id")), "ngram-gone")
-    return drop_matching(docs, gone, id_col)
+    """The documents with one of each group of near copies left: that of the least id (rows without an id are the last choice).
+
+    A document is an id with a text: another text of the same id is judged on its own. Rows that repeat both stay or go together.
+    """
+    rows, named = _vertices(docs, id_col, text_col)
+    _, labels = ngram_links(rows, words, percent, "vertex", "text")
+    if named is None:
+        gone = materialize(labels.filter("id != component").select(F.col("id").alias("gone_id")), "ngram-gone")
+        return drop_matching(docs, gone, gone_id=F.col(f"`{id_col}`"))
+    labels = materialize(labels, "near-labels").withColumnRenamed("id", "vertex")
+    full = labels.join(named, "vertex", "left").withColumn("own_id", F.when(F.col("digest").isNull(), F.col("vertex")).otherwise(F.col("id")))
+    order = F.struct(F.col("own_id").isNull().alias("none"), "own_id", "vertex")
+    stays = full.groupBy("component").agg(F.min_by("vertex", order).alias("vertex"))
+    full = materialize(full.join(stays.select("vertex"), "vertex", "left_anti"), "ngram-gone")
+    out = drop_matching(docs, full.filter("digest IS NULL").select(F.col("own_id").alias("gone_id")), gone_id=F.col(f"`{id_col}`"))
+    gone = full.filter("digest IS NOT NULL").select(F.col("own_id").alias("gone_id"), F.col("digest").alias("gone_digest"))
+    return drop_matching(out, gone, gone_id=F.col(f"`{id_col}`"), gone_digest=row_digest(F.col(f"`{text_col}`")))

@@ -4,11 +4,12 @@ Tokenising is the work: each map task cuts documents at white space (no token cr
 looks words up in a table of ids it has already asked the tokenizer for, and emits one small row
 per piece. Only those rows are shuffled.
 
-Packing is bounded-space online best-fit. Pieces are dealt to shards by a hash of their place,
-each shard worth about ``shard_sequences`` sequences, so the number of shards follows the
-input and no shard outgrows a task. In a shard, long pieces arrive first; a piece goes to the
-open bin whose free space is the least that still holds it, found with one shift of a bitset
-keyed by free space. Opening a bin beyond ``open_bins`` closes the fullest one first.
+Packing is bounded-space online best-fit. Pieces are dealt evenly to partitions, each worth about
+``shard_sequences`` sequences, so their number follows the input, and a partition is a stream: pieces
+arrive in the order of a hash, a few batches at a time, and all that is held are the open bins, of
+which there are ``open_bins`` at most. A piece goes to the open bin whose free space is the least that
+still holds it, found with one shift of a bitset keyed by free space. Opening a bin beyond the
+bound closes the fullest one first.
 
 Nulls: a null text is an empty document, which is the end token alone; a null id is packed like
 any other. Repeated rows are documents of their own. An empty table gives no rows. Other columns
@@ -24,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +56,7 @@ class WordTokenizer:
         from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._check()
         # Words of composed lower-case letters alone are past normalising and are one run each.
         self._plain = Tokenizer(self._tokenizer.model)
         self._plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)])
@@ -66,6 +69,15 @@ class WordTokenizer:
         #: Strings that are one token wherever they stand; texts that hold them are encoded whole.
         self._special = [t.content.lower().encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
 
+    def _check(self) -> None:
+        """Words may be asked for one by one only if case and the white space between them never matter."""
+        ids = lambda t: self._tokenizer.encode(t, add_special_tokens=False).ids
+        words = ["Ab", "don't", "x1,", "É", "(a", "12", "ПРИВЕТ", "..."]
+        apart = [i for w in words for i in ids(w)]
+        for text in (" ".join(words), "\n\t".join(words), "  ".join(words) + " ", " " + " ".join(words).lower()):
+            if ids(text) != apart:
+                raise ValueError("this tokenizer joins text across white space or keeps case; its words can't be encoded apart")
+
     def _encode(self, text: bytes) -> np.ndarray:
         return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
@@ -175,57 +187,60 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_i
     return rows.mapInArrow(run, schema)
 
 
-def best_fit(sizes: list[int], length: int, open_bins: int) -> tuple[list[int], list[int]]:
-    """(bin, offset) of each size in order of arrival."""
-    free_bits, by_free, free, bins, offsets, n_open = 0, [[] for _ in range(length + 1)], [], [], [], 0
-    for size in sizes:
-        fits = free_bits >> size
+class BestFit:
+    """Open bins by free space. Bin numbers count up from 0; a closed bin is forgotten."""
+
+    def __init__(self, length: int, open_bins: int):
+        self.length, self.open_bins = length, open_bins
+        self.free_bits, self.by_free = 0, {}
+        self.n_open = self.n_bins = 0
+
+    def _take(self, room: int) -> int:
+        bins = self.by_free[room]
+        one = bins.pop()
+        if not bins:
+            del self.by_free[room]
+            self.free_bits ^= 1 << room
+        self.n_open -= 1
+        return one
+
+    def add(self, size: int) -> tuple[int, int]:
+        """(bin, offset) of the next piece."""
+        fits = self.free_bits >> size
         if fits:
             room = size + (fits & -fits).bit_length() - 1
-            one = by_free[room].pop()
-            if not by_free[room]:
-                free_bits ^= 1 << room
+            one = self._take(room)
         else:
-            if n_open == open_bins:
-                fullest = (free_bits & -free_bits).bit_length() - 1
-                by_free[fullest].pop()
-                if not by_free[fullest]:
-                    free_bits ^= 1 << fullest
-                n_open -= 1
-            one, room, n_open = len(free), length, n_open + 1
-            free.append(length)
-        bins.append(one), offsets.append(length - room)
-        room -= size
-        free[one] = room
-        if room:
-            if not by_free[room]:
-                free_bits |= 1 << room
-            by_free[room].append(one)
-        else:
-            n_open -= 1
-    return bins, offsets
+            if self.n_open == self.open_bins:
+                self._take((self.free_bits & -self.free_bits).bit_length() - 1)
+            one, room, self.n_bins = self.n_bins, self.length, self.n_bins + 1
+        if left := room - size:
+            self.by_free.setdefault(left, []).append(one)
+            self.free_bits |= 1 << left
+            self.n_open += 1
+        return one, self.length - room
 
 
-def pack(pieces: DataFrame, length: int = 4096, open_bins: int = 2048, shard_sequences: int = 1024, most_shards: int = 20_000) -> DataFrame:
+def pack(pieces: DataFrame, length: int = 4096, open_bins: int = 64, shard_sequences: int = 256) -> DataFrame:
     """``pieces`` (id, piece, length, ...) with sequence_id and offset, gapless from 0 in each sequence."""
     pieces = materialize(pieces, "pack-pieces")
     total = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("t")).first()["t"]
-    shards = max(1, min(most_shards, total // (length * shard_sequences)))
-    place = F.xxhash64(F.col("id"), F.col("piece"), F.col("ids_crc32"))
-    dealt = pieces.withColumn("place", place).withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
+    streams = max(1, total // (length * shard_sequences))
+    order = ["place", *[c for c in ("id", "piece", "ids_crc32") if c in pieces.columns]]
+    dealt = pieces.withColumn("place", F.xxhash64(*order[1:])).repartition(streams).sortWithinPartitions(*order).drop("place")
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("place", "ascending"), ("id", "ascending"), ("piece", "ascending")])
-        bins, offsets = best_fit(table.column("length").to_pylist(), length, open_bins)
-        first = (table.column("shard")[0].as_py() if len(table) else 0) << 40
-        return table.drop_columns(["place", "shard"]).append_column("sequence_id", pa.array([first + b for b in bins], pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, first = BestFit(length, open_bins), TaskContext.get().partitionId() << 40
+        for b in it:
+            placed = [bins.add(n) for n in b.column("length").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([first + k for k, _ in placed], pa.int64()), pa.array([at for _, at in placed], pa.int64())], schema.names)
 
-    return dealt.groupBy("shard").applyInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int = 1, id_col: str = "doc_id",
-                   text_col: str = "text", open_bins: int = 2048) -> DataFrame:
+                   text_col: str = "text", open_bins: int = 64) -> DataFrame:
     """A row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = token_pieces(docs, tokenizer_path, length, end_id, id_col, text_col)
     return pack(pieces, length, open_bins).withColumnRenamed("id", id_col)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bitmap_of, mark_bitmap
+from .common import KeyFilter
 
 # Patterns by kind, tried in this order.
 PATTERNS = {
@@ -230,7 +230,7 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     affected = mentions.join(redrawn, ["kind", "canon"]).groupBy("row_key").agg(
         F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon"), "draw"))).alias("draws"))
     affected = materialize(affected, "pii-redrawn")
-    marked = mark_bitmap(rows, F.col("row_key"), bitmap_of(affected.select("row_key"), "row_key"))
+    marked = KeyFilter(affected.select("row_key"), "row_key").mark(rows, F.col("row_key"))
     plain = marked.filter("NOT bm_hit").withColumn("draws", F.lit(None).cast("map<string,int>"))
     rest = marked.filter("bm_hit").join(affected, "row_key", "left").select(*plain.columns)
     both = plain.unionByName(rest)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WORD, held_out
+from .common import WORD, held_out, sampled
 
 #: A rule: conditions (statistic, "<=" or ">", threshold), all of which hold.
 Rule = tuple[tuple[str, str, float], ...]
@@ -98,9 +98,11 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     stats = materialize(docs.select(doc_id.alias("id"), text.alias("text")).select("id", *statistics(F.col("text"))), "quality-stats")
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label")).filter(
         F.col("label").isNotNull() & ~held_out(F.col("id")))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    labelled = materialize(known.join(stats, "id").coalesce(4), "quality-labelled")
+    total = known.count()
+    known = sampled(known, fit_rows / max(1, total), F.col("id"), F.col("label"))
+    if total and known.isEmpty():
+        raise ValueError(f"{total} labels, and not one in a sample of about {fit_rows}: nearly all share one id")
+    labelled = materialize(known.join(stats, "id").coalesce(4), "quality-labelled")  # about fit_rows rows
     counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(counts) < 2:
         score = F.lit(float(next(iter(counts), 0.5)))

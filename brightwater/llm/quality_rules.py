@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .common import join_by_size
 from .words import NEWLINE, SPACE, Segments, batches, count_in, ngrams, within
 
 SYMBOL = np.zeros(256, bool)
@@ -71,7 +72,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def host_verdicts(judged: DataFrame, host_limit: float) -> DataFrame:
-    """host_key, host_rate, host_ok. A row per host; the prior is fitted over all of them."""
+    """host_key, host_docs, host_rate, host_ok. A row per host; the prior is fitted over all of them."""
     per = judged.groupBy("host_key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f"))
     per = materialize(per, "rules-hosts")
     rate = F.col("f") / F.col("n")
@@ -82,7 +83,7 @@ def host_verdicts(judged: DataFrame, host_limit: float) -> DataFrame:
     prior = moments.select((F.col("m") * strength).alias("alpha"), ((1 - F.col("m")) * strength).alias("beta"))
     out = per.crossJoin(F.broadcast(prior))  # one row
     shrunk = (F.col("f") + F.col("alpha")) / (F.col("n") + F.col("alpha") + F.col("beta"))
-    return out.select("host_key", shrunk.alias("host_rate"), (shrunk <= host_limit).alias("host_ok"))
+    return out.select("host_key", F.col("n").alias("host_docs"), shrunk.alias("host_rate"), (shrunk <= host_limit).alias("host_ok"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None,
@@ -92,6 +93,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = materialize(counts.withColumn("base_failed", failed).withColumn(
         "host_key", F.coalesce(F.concat(F.lit("h:"), F.col("host")), F.lit("none"))), "rules-counts")
-    out = judged.join(host_verdicts(judged, host_limit), "host_key")
+    # A host may hold a third of all documents.
+    out = join_by_size(judged, materialize(host_verdicts(judged, host_limit), "rules-verdicts"), ["host_key"], "host_docs")
     return out.select(F.col("id").alias(id_col), *COUNTS, "base_failed", "host_rate",
                       (~F.col("base_failed") & F.col("host_ok")).alias("kept"))

@@ -82,7 +82,7 @@ def test_odd_rows(spark):
     assert got == [(-1, 1, None), (5, 1, 5), (5, 1, 5), (7, 1, 5)]
     assert nj.ngram_join(df.limit(0)).collect() == []
     kept = nj.drop_near_copies(df, 3, 90)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {None, 5}
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {5}  # without an id, a copy still goes
 
 
 def test_linked_sets_share_a_signature_in_any_order():
@@ -95,7 +95,7 @@ def test_linked_sets_share_a_signature_in_any_order():
                 a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
                 extra = n * (100 - percent) // percent
                 b = np.unique(np.concatenate([a, rng.integers(0, 2**63, extra, dtype=np.uint64)]))
-                counts = rng.integers(0, 5, nj.COUNTERS).astype(np.uint32)
+                counts = rng.integers(0, 5, 1 << 20).astype(np.uint8)
                 sizes = np.array([len(a), len(b)])
                 sig, doc = nj.signatures(np.concatenate([a, b]), np.repeat([0, 1], sizes), sizes, counts, percent)
                 assert set(sig[doc == 0]) & set(sig[doc == 1])
@@ -105,8 +105,31 @@ def test_counts_cover_all_documents(spark):
     import numpy as np
 
     df = spark.createDataFrame([(i, f"a b c d{i % 3}") for i in range(30)], "doc_id long, text string").repartition(5)
-    counts = nj.sketch_counts(df, 3)
-    assert counts.sum() == 60 and counts.max() == 30 and np.count_nonzero(counts) == 4
+    for bits in (20, 23):  # larger sketches hold wider places
+        counts = nj.sketch_counts(df, 3, bits)
+        assert len(counts) == 1 << bits and sorted(counts[counts > 0].tolist()) == [round(8 * np.log2(1 + n)) for n in (10, 10, 10, 30)]
+    assert [nj.counter_bits(n) for n in (0, 10**6, 10**7, 10**11)] == [20, 21, 24, 24]
+
+
+def test_any_sketch_gives_the_same_components(spark, monkeypatch):
+    """With 64 counters the order of n-grams is noise; nothing but work depends on it."""
+    rows = fixture(11, 40, 9)
+    monkeypatch.setattr(nj, "counter_bits", lambda n: 6)
+    check(spark, rows, 3, 90)
+
+
+def test_linked_sets_agree_in_a_part():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 9, 10, 19, 40, 200):
+        for percent in (50, 80, 90):
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+                b = np.unique(np.concatenate([a, rng.integers(0, 2**63, len(a) * (100 - percent) // percent, dtype=np.uint64)]))
+                sizes = np.array([len(a), len(b)])
+                digest, doc = nj.part_digests(np.concatenate([a, b]), np.repeat([0, 1], sizes), sizes, percent)
+                assert set(digest[doc == 0]) & set(digest[doc == 1])
 
 
 def test_an_id_with_two_texts(spark):
@@ -115,3 +138,13 @@ def test_an_id_with_two_texts(spark):
     rows = [(1, " ".join(a)), (2, " ".join(a)), (2, " ".join(b)), (3, " ".join([*b, "more"])), (4, "other words of no one else at all")]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert {(r.doc_id, r.component_id) for r in nj.ngram_join(df, 5, 80).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_near_copies_go_by_id_and_text(spark):
+    """Another text of an id stays; rows without an id are copies like others, and the last choice."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, 0), (2, a + " more", 1), (2, b, 2), (None, b + " more", 3), (None, c, 4), (None, c + " more", 5), (7, "", 6), (7, "", 7), (8, c + " more and more", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, vertex int").repartition(3)
+    kept = {r.vertex for r in nj.drop_near_copies(df).collect()}
+    assert kept == {0, 2, 6, 7, 8}
+    assert nj.drop_near_copies(df.limit(0)).count() == 0
