@@ -34,32 +34,70 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Templates by label. [[...]] is optional, <<n>> stands for up to n words.
+_COPYRIGHT = "[[copyright [[c]] <<12>>]] [[all rights reserved]]"
+_MIT_DISCLAIMER = ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a "
+                   "particular purpose and noninfringement in no event shall the <<8>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+                   "arising from out of or in connection with the software or the use or other dealings in the software")
+_BSD_DISCLAIMER = ("this software is provided by <<8>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a "
+                   "particular purpose are disclaimed in no event shall <<10>> be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+                   "procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or "
+                   "tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
+_BSD_CLAUSES = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met [[1]] [[a]] redistributions of source code must retain "
+                "the above copyright notice this list of conditions and the following disclaimer [[2]] [[b]] redistributions in binary form must reproduce the above copyright notice this list of conditions "
+                "and the following disclaimer in the documentation and or other materials provided with the distribution")
+# Templates by label. [[...]] is optional (titles, copyright blocks, bullets), <<n>> stands for up to n words (names, years).
 TEMPLATES = {
     "mit": [
         "[[released]] [[licensed]] under [[the terms of]] the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "[[the]] [[mit license]] [[mit]] " + _COPYRIGHT + " permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
         "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
         "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
-        "the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software",
+        "the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software " + _MIT_DISCLAIMER,
     ],
     "apache-2": [
         "licensed under the apache license version 2 [[0]] [[the license]]",
+        _COPYRIGHT + " licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "[[https]] [[http]] www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
     ],
-    "gpl-2": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] [[either]] version 2"],
-    "gpl-3": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] [[either]] version 3"],
+    "gpl-2": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] [[either]] version 2",
+              "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation [[either]] version 2 [[of the license]]"],
+    "gpl-3": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] [[either]] version 3",
+              "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation [[either]] version 3 [[of the license]] "
+              "[[or at your option any later version]]"],
+    "agpl-3": ["under the terms of the gnu affero general public license as published by the free software foundation [[either]] version 3"],
     "lgpl": ["under [[the terms of]] the gnu <<1>> lesser general public license"],
+    "mpl-2": ["this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at <<8>>"],
     "cc-by": ["licensed under [[a]] [[the]] creative commons attribution <<2>> international license"],
     "cc-by-nc": ["licensed under [[a]] [[the]] cc by nc [[4 0]]"],
-    "cc0": ["dedicated to the public domain <<6>> cc0"],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    ],
+    "cc0": ["dedicated to the public domain <<6>> cc0",
+            "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"],
+    "bsd-2": ["[[bsd 2 clause license]] " + _COPYRIGHT + " " + _BSD_CLAUSES + " " + _BSD_DISCLAIMER],
+    "bsd-3": ["[[bsd 3 clause license]] " + _COPYRIGHT + " " + _BSD_CLAUSES + " [[3]] [[c]] neither the <<12>> may be used to endorse or promote products derived from this software without specific prior "
+              "written permission " + _BSD_DISCLAIMER],
     "isc": [
-        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that "
-        "the above copyright notice and this permission notice appear in all copies",
+        "[[isc license]] " + _COPYRIGHT + " permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that "
+        "the above copyright notice and this permission notice appear in all copies the software is provided as is and <<4>> disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall <<4>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    ],
+    "zlib": [
+        _COPYRIGHT + " this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions "
+        "[[1]] the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product "
+        "documentation would be appreciated but is not required [[2]] altered source versions must be plainly marked as such and must not be misrepresented as being the original software "
+        "[[3]] this notice may not be removed or altered from any source distribution",
+    ],
+    "boost": [
+        "[[boost software license version 1 0]] [[august 17th 2003]] permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation "
+        "covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the "
+        "software is furnished to do so all subject to the following",
+    ],
+    "unlicense": [
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a "
+        "compiled binary for any purpose commercial or non commercial and by any means",
     ],
-    "all-rights-reserved": ["[[copyright [[c]] <<6>>]] all rights reserved"],
+    "all-rights-reserved": ["copyright [[c]] <<6>> all rights reserved"],
 }
 
 _PART = re.compile(r"\[\[|\]\]|<<(\d+)>>|([^\s\[\]<>]+)")
@@ -176,10 +214,9 @@ class Scanner:
             for a in self.automata:
                 for at in places_of(a.anchor, hashes, seg.doc).tolist():
                     d = int(seg.doc[at])
-                    words = hashes[start[d]:start[d + 1]].tolist() if per[d] < 5_000 else None
-                    low = int(start[d]) if words else max(int(start[d]), at - a.before)
-                    words = words or hashes[low:min(int(start[d + 1]), at + 4 * len(a.take))].tolist()
-                    for s in range(max(0, at - a.before - low), at - low + 1):
+                    low = max(int(start[d]), at - a.before)
+                    words = hashes[low:min(int(start[d + 1]), at + len(a.take))].tolist()  # no match is longer than all words and regions
+                    for s in range(at - low + 1):
                         if words[s] in a.starts and (end := a.accepts(words, s)) is not None and end > at - low:
                             found.setdefault(d, set()).add((a.label, s + low - int(start[d]), end + low - int(start[d])))
                             break
