@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import WORD
 
-RANGES = 4096
+#: Rows that a window's partition holds at most, about; there are 4096 ranges at least.
+RANGE_ROWS = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -84,8 +85,11 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = _sized(docs, id_col, text_col, source_col, seed, F.monotonically_increasing_id().alias("row_no"))
     sizes = materialize(sizes, "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, most), "mix-targets")
-    # The first three hex digits are 4096 ranges of the shuffled order within each flow.
-    queued = _running(sizes.withColumn("range", F.substring("digest", 1, 3)), ["flow", "range"], ["digest", "id", "size", "row_no"])
+    # Leading hex digits are ranges of the shuffled order within each flow: 4096, and more where there are more rows.
+    digits, n_rows = 3, sizes.count()
+    while 16**digits * RANGE_ROWS < n_rows:
+        digits += 1
+    queued = _running(sizes.withColumn("range", F.substring("digest", 1, digits)), ["flow", "range"], ["digest", "id", "size", "row_no"])
     queued = materialize(queued.drop("range").join(targets, "flow"), "mix-queued")
 
     passes = [queued.withColumn("pass", F.lit(k)).withColumn("finish", (F.col("before") + F.col("size") + F.lit(k) * F.col("source_size")) / F.nullif(F.col("target"), F.lit(0.0)))
@@ -95,14 +99,17 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         copies = copies.unionByName(p)
     copies = copies.drop("before")
     # Range-sorted by finish time: few copies share a slice, and a slice's start follows from sums.
-    copies = copies.withColumn("slice", F.least(F.floor(F.coalesce(F.col("finish"), F.lit(float(most + 1))) * RANGES), F.lit(RANGES * (most + 2))).cast("int"))
+    ranges = 16**digits
+    copies = copies.withColumn("slice", F.least(F.floor(F.coalesce(F.col("finish"), F.lit(float(most + 1))) * ranges), F.lit(ranges * (most + 2))).cast("long"))
     budget = targets.agg(F.sum("target").alias("budget"))
-    slices = copies.groupBy("slice").agg(F.sum("size").alias("s"))  # at most RANGES * (most + 2) rows
+    slices = copies.groupBy("slice").agg(F.sum("size").alias("s"))  # at most ranges * (most + 2) rows
     run = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.select(F.col("slice").alias("_slice"), F.coalesce(F.sum("s").over(run), F.lit(0)).alias("base"), "s")
     slices = slices.crossJoin(F.broadcast(budget))  # one row
     cut = slices.withColumn("state", F.when(F.col("base") + F.col("s") <= F.col("budget"), "all").when(F.col("base") > F.col("budget"), "none").otherwise("some"))
-    joined = copies.join(F.broadcast(cut.select("_slice", "base", "budget", "state")), copies["slice"] == cut["_slice"]).drop("_slice")
+    cut = cut.select("_slice", "base", "budget", "state")
+    # A row a slice: broadcast while that is a few thousand rows, otherwise the planner decides by size; slices are even, so a shuffle is too.
+    joined = copies.join(F.broadcast(cut) if ranges <= 1 << 16 else cut, copies["slice"] == cut["_slice"]).drop("_slice")
     inner = Window.partitionBy("slice").orderBy("finish", "flow", "digest", "id", "size", "row_no", "pass")
     edge = joined.filter("state = 'some'").withColumn("upto", F.col("base") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
     edge = edge.withColumn("served", (F.col("upto") <= F.col("budget")) & (F.col("target") > 0)).drop("upto")

@@ -57,16 +57,17 @@ def batch_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None) -> DataFrame:
-    """id, host and the base counts of every document's whole text."""
+def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, carry: list[str] | None = None) -> DataFrame:
+    """id, host and the base counts of every document's whole text, and the columns named in ``carry`` as c0, c1 and so on."""
     host = F.lit(None).cast("string") if host is None else host.cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), host.alias("host"), F.col(f"`{text_col}`").alias("text"))
-    schema = T.StructType([rows.schema["id"], T.StructField("host", T.StringType()), *[T.StructField(c, T.LongType()) for c in COUNTS]])
+    more = [f"c{k}" for k in range(len(carry or []))]
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), host.alias("host"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(carry or [], more, strict=True)])
+    schema = T.StructType([rows.schema["id"], T.StructField("host", T.StringType()), *[T.StructField(c, T.LongType()) for c in COUNTS], *[rows.schema[k] for k in more]])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             counts = batch_counts(b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("host"), *[pa.array(counts[c]) for c in COUNTS]], ["id", "host", *COUNTS])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("host"), *[pa.array(counts[c]) for c in COUNTS], *[b.column(k) for k in more]], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -87,13 +88,13 @@ def host_verdicts(judged: DataFrame, host_limit: float) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None,
-                  host_limit: float = 0.5, min_words: int = 50) -> DataFrame:
-    """A row per document: id, the base counts, base_failed, host_rate, kept."""
-    counts = base_counts(docs, id_col, text_col, host)
+                  host_limit: float = 0.5, min_words: int = 50, carry: list[str] | None = None) -> DataFrame:
+    """A row per document: id, the base counts, base_failed, host_rate, kept, and the columns named in ``carry``."""
+    counts = base_counts(docs, id_col, text_col, host, carry)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = materialize(counts.withColumn("base_failed", failed).withColumn(
         "host_key", F.coalesce(F.concat(F.lit("h:"), F.col("host")), F.lit("none"))), "rules-counts")
     # A host may hold a third of all documents.
     out = join_by_size(judged, materialize(host_verdicts(judged, host_limit), "rules-verdicts"), ["host_key"], "host_docs")
     return out.select(F.col("id").alias(id_col), *COUNTS, "base_failed", "host_rate",
-                      (~F.col("base_failed") & F.col("host_ok")).alias("kept"))
+                      (~F.col("base_failed") & F.col("host_ok")).alias("kept"), *[F.col(f"c{k}").alias(c) for k, c in enumerate(carry or [])])
