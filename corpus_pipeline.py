@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwater.llm.common import drop_matching
+from brightwater.llm.common import drop_matching, row_digest
 from brightwater.llm.exact_dedup import keep_first_copies
 from brightwater.llm.mixing import repeat_by_mix
 from brightwater.llm.ngram_join import drop_near_copies
@@ -15,10 +15,10 @@ from brightwater.session import materialize
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules or their host's verdict reject go. A document's id decides for all its rows."""
-    judged = quality_rules(docs, host=F.col("source"))
-    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select(F.col("doc_id").alias("gone_id"))
-    return drop_matching(docs, materialize(gone, "quality-gone"), "doc_id")
+    """Documents that the rules or their host's verdict reject go. Each row is judged on its own text and source, whatever its id."""
+    judged = quality_rules(docs.withColumn("digest", row_digest(F.col("text"))), host=F.col("source"), carry=["digest", "source"])
+    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"), F.col("source").alias("gone_source")).distinct()
+    return drop_matching(docs, materialize(gone, "quality-gone"), gone_id=F.col("doc_id"), gone_digest=row_digest(F.col("text")), gone_source=F.col("source"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
