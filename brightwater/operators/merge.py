@@ -25,15 +25,32 @@ class WriteSpec:
     volatile: list[str] = field(default_factory=list)
 
 
-def last_wins(rows: DataFrame, keys: list[str], seq: list[str], monotonic: list[str] = (), guard: str | None = None) -> DataFrame:
-    """A row per key: the latest by ``seq``; with a guard that with the highest guard, ties and null guards to the later.
+def last_wins(rows: DataFrame, keys: list[str], seq: list[str], monotonic: list[str] = (), guard: str | None = None, present: dict[str, Column] | None = None) -> DataFrame:
+    """A row per key, as if each row of a key, in the order of ``seq``, were laid over what the key holds so far.
 
-    ``max_by`` combines on the map side, so repeated keys don't travel.
+    Without a guard fields overlay one by one: a column named in ``present`` only by rows in which that holds (a null that is present
+    counts), all other columns by every row; ``monotonic`` columns take the maximum. With a guard rows replace each other whole, unless the
+    one that comes is known to be older: both guards are there and its own is less. So a row without a guard always replaces, and
+    whatever follows replaces it; after the last of these, the highest guard wins, ties to the later.
+
+    All of it is ``max_by``, which combines on the map side, so repeated keys don't travel.
     """
-    others = [c for c in rows.columns if c not in keys]
-    order = F.struct(*([F.coalesce(F.col(guard).isNull(), F.lit(False)), F.col(guard)] if guard else []), *seq)
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r"), *[F.max(c).alias(f"_m_{c}") for c in monotonic])
-    return best.select(*keys, *[F.col(f"_m_{c}").alias(c) if c in monotonic else F.col("_r")[c].alias(c) for c in others])
+    others, at = [c for c in rows.columns if c not in keys], F.struct(*seq)
+    if guard is None:
+        def overlaid(c: str) -> Column:
+            if c in monotonic:
+                return F.max(c)
+            held = F.max_by(F.struct(c), F.when(present[c], at) if present and c in present else at)  # a struct, so that nulls are taken too
+            return held[c]
+
+        return rows.groupBy(*keys).agg(*[overlaid(c).alias(c) for c in others]).select(*keys, *others)
+    if rows.schema[guard].nullable:
+        # Rows before a key's last one without a guard can't win.
+        resets = rows.filter(F.col(guard).isNull()).groupBy(*keys).agg(F.max(at).alias("_reset")).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+        rows = rows.join(resets, same, "left").filter(F.col("_reset").isNull() | (at >= F.col("_reset"))).select(*keys, *others)
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(guard, *seq)).alias("_r"))  # a null guard sorts first
+    return best.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
 
 
 def _same(left: str, right: str, columns: list[str]) -> Column:

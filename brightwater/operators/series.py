@@ -74,16 +74,24 @@ def changes(rows: DataFrame, key: list[str], at: str, value: str) -> DataFrame:
     return rows.withColumn("prev", prev).withColumn("change", F.col(value) - F.col("prev")).withColumn("change_pct", (F.col(value) - F.col("prev")) / F.nullif(F.col("prev"), F.lit(0.0)) * 100)
 
 
-def rescaled(bars: DataFrame, splits: DataFrame, key: str, price: str, volume: str) -> DataFrame:
-    """Prices over, volumes times, the product of the ratios of splits whose boundary lies after a bar.
+#: Intervals whose stored bars a split rescales; longer ones come adjusted.
+INTRADAY = ("1m", "5m", "15m", "60m")
 
-    splits: key, boundary, ratio. A key's splits travel as one short list, not as pairs with its bars.
+
+def rescaled(bars: DataFrame, splits: DataFrame, key: str, prices: list[str], volume: str, at: str = "ts_utc", interval: str | None = None) -> DataFrame:
+    """Bars before a split's boundary: prices over its ratio, volume times its ratio, rounded down; one split after the other.
+
+    splits: key, boundary (of the type of ``at``), ratio (a decimal; those of 0 or less are passed over). Prices are decimals of twelve places, and each
+    split rounds as a stored row would. Only intraday bars change where ``interval`` is named. A key's splits travel as one short list, not as pairs with its bars.
     """
-    lists = splits.filter("ratio > 0").groupBy(key).agg(F.collect_list(F.struct("boundary", "ratio")).alias("_s"))
-    out = bars.join(lists, key, "left")
-    factor = F.aggregate(F.coalesce("_s", F.array().cast("array<struct<boundary:timestamp_ntz,ratio:double>>")), F.lit(1.0),
-                         lambda a, s: F.when(s["boundary"] > F.col("ts"), a * s["ratio"]).otherwise(a))
-    return out.withColumn(price, F.col(price) / factor).withColumn(volume, F.floor(F.col(volume) * factor).cast("bigint")).drop("_s")
+    lists = splits.filter("ratio > 0").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("boundary", F.col("ratio").cast("decimal(20,10)").alias("ratio")))).alias("_s"))
+    mine = F.filter("_s", lambda s: s["boundary"] > F.col(at))
+    if interval:
+        mine = F.when(F.col(interval).isin(*INTRADAY), mine)
+    out = bars.join(lists, key, "left").withColumn("_s", F.coalesce(mine, F.filter("_s", lambda s: F.lit(False)), F.array().cast(lists.schema["_s"].dataType)))
+    over = lambda c: F.aggregate("_s", F.col(c).cast("decimal(28,12)"), lambda a, s: (a / s["ratio"]).cast("decimal(28,12)"))
+    times = F.aggregate("_s", F.col(volume).cast("decimal(18,0)"), lambda a, s: F.floor(a * s["ratio"]).cast("decimal(18,0)"))
+    return out.withColumns({**{c: over(c) for c in prices}, volume: times.cast("bigint")}).drop("_s")
 
 
 def tail_folded(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:

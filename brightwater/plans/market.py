@@ -82,15 +82,19 @@ def changes(spark, d):
 
 
 @query("mrg_23_rescale", """
-    WITH s AS (SELECT user_id, ts AS boundary, 2.0::DOUBLE AS ratio FROM events WHERE event_type = 'signup' AND event_id % 5 = 0)
-    SELECT e.event_id, any_value(e.value) / product(coalesce(s.ratio, 1.0)) AS price, floor(any_value(e.event_id) * product(coalesce(s.ratio, 1.0)))::BIGINT AS volume
-    FROM events e LEFT JOIN s ON s.user_id = e.user_id AND s.boundary > e.ts GROUP BY e.event_id""")
+    WITH s AS (SELECT user_id, list(CASE event_id % 3 WHEN 0 THEN 32 WHEN 1 THEN 21 ELSE 25 END::HUGEINT ORDER BY ts, CASE event_id % 3 WHEN 0 THEN 15 WHEN 1 THEN 20 ELSE 4 END) AS codes,
+                      list(ts ORDER BY ts, CASE event_id % 3 WHEN 0 THEN 15 WHEN 1 THEN 20 ELSE 4 END) AS at FROM events WHERE event_type = 'signup' AND event_id % 7 <> 0 GROUP BY 1),
+    b AS (SELECT e.event_id, (round(e.value * 100)::HUGEINT * 10000000000) AS p, e.event_id::HUGEINT AS v,
+                 CASE WHEN e.event_type = 'click' THEN [] ELSE coalesce(list_filter(s.codes, lambda x, i: s.at[i] > e.ts), []) END::HUGEINT[] AS c FROM events e LEFT JOIN s USING (user_id))
+    SELECT event_id, (list_reduce(list_prepend(p, c), lambda a, r: (a * (r % 10) * 2 + r // 10) // (2 * (r // 10)))::DECIMAL(38,0) / 1e12)::DOUBLE AS price,
+           list_reduce(list_prepend(v, c), lambda a, r: a * (r // 10) // (r % 10))::BIGINT AS volume FROM b""")
 def rescale(spark, d):
-    """Bars before a split are divided by every later ratio. Ratios are powers of two here, so doubles are exact."""
-    e = table(spark, d, "events")
-    s = e.filter("event_type = 'signup' AND event_id % 5 = 0").select("user_id", F.col("ts").alias("boundary"), F.lit(2.0).alias("ratio"))
-    bars = e.select("event_id", "user_id", "ts", F.col("value").alias("price"), F.col("event_id").alias("volume"))
-    return series.rescaled(bars, s, "user_id", "price", "volume").select("event_id", "price", "volume")
+    """Bars before a split, over splits of 3:2, 2:1 and 2:5 in turn, some of no ratio; daily bars (clicks) stay as they are."""
+    e, k = table(spark, d, "events"), F.col("event_id")
+    ratio = F.when(k % 7 == 0, 0.0).when(k % 3 == 0, 1.5).when(k % 3 == 1, 2.0).otherwise(0.4)
+    s = e.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("boundary"), ratio.cast("decimal(20,10)").alias("ratio"))
+    bars = e.select("event_id", "user_id", F.col("ts").alias("ts_utc"), F.col("value").alias("price"), k.alias("volume"), F.when(F.col("event_type") == "click", "1d").otherwise("5m").alias("bar_interval"))
+    return series.rescaled(bars, s, "user_id", ["price"], "volume", interval="bar_interval").select("event_id", F.col("price").cast("double").alias("price"), "volume")
 
 
 @query("agg_25_per_day_axis", """

@@ -23,19 +23,26 @@ def _sides(spark, d):
 
 
 @query("mrg_01_last_wins", """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-    row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""")
+    WITH r AS (SELECT *, (l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_tax) AS seq FROM lineitem)
+    SELECT l_orderkey, l_linenumber, arg_max(l_partkey, seq) AS l_partkey, arg_max(l_suppkey, seq) AS l_suppkey, arg_max(l_quantity, seq) AS l_quantity,
+           arg_max(l_tax, seq) FILTER (l_returnflag <> 'N') AS l_tax, max(l_discount) AS l_discount FROM r GROUP BY ALL""")
 def last_wins(spark, d):
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    out = merge.last_wins(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    """Later rows overlay earlier ones field by field: a row of flag N has no tax of its own to lay over another's. The discount only grows."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_returnflag")
+    out = merge.last_wins(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax"], monotonic=["l_discount"],
+                          present={"l_tax": F.col("l_returnflag") != "N"})
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount")
 
 
 @query("mrg_02_guarded_dedupe", """
-    SELECT user_id, arg_max(event_id, (value, event_id)) AS event_id, max(value) AS value, max(ts) AS ts FROM events GROUP BY user_id""")
+    WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 37 <> 0 THEN value END AS value, ts FROM events),
+    n AS (SELECT user_id, max(event_id) FILTER (value IS NULL) AS reset FROM e GROUP BY 1)
+    SELECT user_id, event_id, value, ts FROM e JOIN n USING (user_id) WHERE reset IS NULL OR event_id >= reset
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id DESC) = 1""")
 def guarded_dedupe(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_id", "value", "ts")
-    return merge.last_wins(e, ["user_id"], ["event_id"], monotonic=["ts"], guard="value")
+    """The highest guard wins whole; every 37th row has no guard, so it replaces what was before it and is replaced by what follows."""
+    e = table(spark, d, "events").select("user_id", "event_id", F.when(F.col("event_id") % 37 != 0, F.col("value")).alias("value"), "ts")
+    return merge.last_wins(e, ["user_id"], ["event_id"], guard="value")
 
 
 @query("mrg_03_upsert", f"""WITH {_STORED}, {_INCOMING}
@@ -94,10 +101,11 @@ def verify(spark, d):
 
 
 @query("mrg_14_range_events", """
-    WITH e AS (SELECT user_id, count(*) AS n FROM events WHERE event_id % 3 = 0 GROUP BY 1) SELECT CASE WHEN n > 20 THEN 'range' ELSE 'insert' END AS op, sum(CASE WHEN n > 20 THEN 1 ELSE n END)::BIGINT AS n FROM e GROUP BY 1""")
+    WITH e AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1) SELECT CASE WHEN n > 66 THEN 'range' ELSE 'insert' END AS op, sum(CASE WHEN n > 66 THEN 1 ELSE n END)::BIGINT AS n FROM e GROUP BY 1""")
 def range_events(spark, d):
-    rows = table(spark, d, "events").filter("event_id % 3 = 0").select("user_id", "event_id", "ts", F.lit("insert").alias("_op"))
-    return merge.change_events(rows, merge.WriteSpec("bars", ["user_id", "event_id"]), span=20, range_col="ts").groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    """All events; a user of more than 66 is one range."""
+    rows = table(spark, d, "events").select("user_id", "event_id", "ts", F.lit("insert").alias("_op"))
+    return merge.change_events(rows, merge.WriteSpec("bars", ["user_id", "event_id"]), span=66, range_col="ts").groupBy("op").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("mrg_18_prune_by_time", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15'")

@@ -42,10 +42,11 @@ _FRESH = """WITH w AS (SELECT l_orderkey AS run_id, l_partkey AS symbol, l_suppk
 
 @query("agg_04_freshness", _FRESH)
 def freshness(spark, d):
-    """Worst status per run and cell, then the newest run's; one pass over the items and no ranking window."""
-    worst = _items(spark, d).groupBy("run_id", "symbol", "dataset").agg(F.max("rank").alias("worst"))
+    """Worst status per run and cell, then the newest run's. Items move once, to their cell's partition, which both aggregates use."""
     runs = table(spark, d, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("started"))
-    return worst.join(runs, "run_id").groupBy("symbol", "dataset").agg(F.max_by("worst", "run_id").alias("latest"), F.max(F.when(F.col("worst") < 3, F.col("started"))).alias("fresh_at"))
+    items = _items(spark, d).select("run_id", "symbol", "dataset", "rank").join(runs, "run_id").repartition("symbol", "dataset")
+    worst = items.groupBy("symbol", "dataset", "run_id").agg(F.max("rank").alias("worst"), F.first("started").alias("started"))
+    return worst.groupBy("symbol", "dataset").agg(F.max_by("worst", "run_id").alias("latest"), F.max(F.when(F.col("worst") < 3, F.col("started"))).alias("fresh_at"))
 
 
 @query("agg_06_stale_cells", f"WITH f AS ({_FRESH}) SELECT dataset, count(*) FILTER (fresh_at IS NULL OR fresh_at < TIMESTAMP '1998-01-01') AS stale, count(*) AS cells FROM f GROUP BY 1")
