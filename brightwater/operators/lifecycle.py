@@ -35,7 +35,7 @@ def envelope(changes: DataFrame, dataset: str, table: str, run_id: str, occurred
     """Version 1 of a published change as one JSON text a row, and its partition key."""
     out = routed(changes, F.lit(table))
     body = F.struct(F.lit(1).alias("v"), "op", "family", F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), "key", "row", F.lit(run_id).alias("run_id"), occurred_at.alias("occurred_at"))
-    return out.select(F.get_json_object("key", F.concat(F.lit("$."), F.col("partition_col"))).alias("partition_key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
+    return out.select(F.call_function("get_json_object", F.col("key"), F.concat(F.lit("$."), F.col("partition_col"))).alias("partition_key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
 
 
 def purge(tables: dict[str, DataFrame], symbols: DataFrame) -> dict[str, DataFrame]:

@@ -48,13 +48,6 @@ def requested_split(spark, d):
     return q.join(c, "k", "left").select("k", F.col("_in").isNotNull().alias("accepted"))
 
 
-@query("jon_15_share_of_latest", "SELECT user_id, count(*) AS n, (count(*) / (SELECT count(*) FROM events))::DOUBLE AS share FROM events GROUP BY 1")
-def share_of_latest(spark, d):
-    e = table(spark, d, "events")
-    total = e.agg(F.count(F.lit(1)).alias("total"))
-    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).select("user_id", "n", (F.col("n") / F.col("total")).alias("share"))  # one row
-
-
 @query("set_03_vanished_keys", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'N'")
 def vanished_keys(spark, d):
     li = table(spark, d, "lineitem")

@@ -14,9 +14,8 @@ from .registry import query, table
     SELECT user_id, ts, event_id, value, event_type AS kind FROM events WHERE event_type IN ('purchase', 'signup', 'click')""")
 def actions_view(spark, d):
     """Union of three kinds of actions with the kind as a column."""
-    e = table(spark, d, "events")
-    part = lambda k: e.filter(F.col("event_type") == k).select("user_id", "ts", "event_id", "value", F.lit(k).alias("kind"))
-    return part("purchase").unionByName(part("signup")).unionByName(part("click"))
+    e = table(spark, d, "events").filter(F.col("event_type").isin("purchase", "signup", "click"))
+    return e.select("user_id", "ts", "event_id", "value", F.col("event_type").alias("kind"))
 
 
 @query("flt_01_active_symbols", """
@@ -177,21 +176,16 @@ def departed(spark, d):
 
 
 @query("set_08_tape_merge", """
-    WITH u AS (SELECT 0 AS src, * FROM events WHERE event_type = 'click' UNION ALL SELECT 1, * FROM events WHERE event_id % 2 = 0)
+    WITH u AS (SELECT 0 AS src, * FROM events WHERE event_type = 'click' UNION ALL SELECT 1, * FROM events WHERE event_type <> 'error')
     SELECT user_id, ts, event_id, src::INT AS src FROM u QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY src, event_id) = 1""")
 def tape_merge(spark, d):
     """Live before archived: the first source wins for a symbol and instant."""
     e = table(spark, d, "events")
-    u = e.filter("event_type = 'click'").withColumn("src", F.lit(0)).unionByName(e.filter("event_id % 2 = 0").withColumn("src", F.lit(1)))
+    u = e.filter("event_type = 'click'").withColumn("src", F.lit(0)).unionByName(e.filter("event_type != 'error'").withColumn("src", F.lit(1)))
     best = u.groupBy("user_id", "ts").agg(F.min(F.struct("src", "event_id")).alias("b"))
     return best.select("user_id", "ts", "b.event_id", "b.src")
 
 
-@query("srt_03_typed_sort", "SELECT p_partkey, p_size FROM part ORDER BY try_cast(p_size AS DOUBLE) DESC NULLS LAST, p_partkey LIMIT 30")
-def typed_sort(spark, d):
-    return table(spark, d, "part").select("p_partkey", "p_size").orderBy(F.col("p_size").cast("string").try_cast("double").desc_nulls_last(), "p_partkey").limit(30)
-
-
 @query("srt_04_top_holders", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 10")
 def top_holders(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "o_custkey").limit(10)
