@@ -223,9 +223,3 @@ def latest_per_screen(spark, d):
     """The newest row of a key as an aggregate: no sort, and map tasks send one row a key."""
     best = table(spark, d, "orders").groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_orderkey")).alias("b"))
     return best.select("o_custkey", "b.o_orderkey", "b.o_orderdate")
-
-
-@query("win_14_absolute_rank", "SELECT p_brand, p_partkey, (row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) - 1)::INT AS rank_index FROM part")
-def absolute_rank(spark, d):
-    w = Window.partitionBy("p_brand").orderBy(F.desc("p_retailprice"), "p_partkey")
-    return table(spark, d, "part").select("p_brand", "p_partkey", (F.row_number().over(w) - 1).alias("rank_index"))

@@ -9,14 +9,6 @@ from ..functions import scalars as S
 from .registry import query, table
 
 
-@query("src_10_connection_plan", """
-    SELECT c_custkey, c_mktsegment AS exchange, ((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100)::INT AS connection FROM customer WHERE c_acctbal > 0""")
-def connection_plan(spark, d):
-    """Symbols by exchange in chunks of a connection's quota."""
-    w = Window.partitionBy("c_mktsegment").orderBy("c_custkey")
-    return table(spark, d, "customer").filter("c_acctbal > 0").select("c_custkey", F.col("c_mktsegment").alias("exchange"), F.floor((F.row_number().over(w) - 1) / 100).cast("int").alias("connection"))
-
-
 @query("src_11_plan_diff", """
     WITH a AS (SELECT c_custkey AS k, c_mktsegment AS x FROM customer WHERE c_custkey % 3 <> 0), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 10 = 1 THEN 'MOVED' ELSE c_mktsegment END AS x FROM customer WHERE c_custkey % 4 <> 0)
     SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'add' WHEN b.k IS NULL THEN 'remove' ELSE 'move' END AS change FROM a FULL JOIN b ON a.k = b.k WHERE a.x IS DISTINCT FROM b.x""")
@@ -33,14 +25,6 @@ def topics(spark, d):
     return table(spark, d, "customer").select(S.topic("ticks.", F.col("c_mktsegment")).alias("topic")).distinct()
 
 
-@query("snk_02_copy_text", r"""SELECT o_orderkey, o_orderkey || chr(9) || CASE WHEN o_orderstatus = 'P' THEN '\N' ELSE o_orderstatus END || chr(9) || CASE WHEN o_orderkey % 2 = 0 THEN 't' ELSE 'f' END AS line FROM orders""")
-def copy_text(spark, d):
-    """Tab-separated lines with \\N for null and t or f for booleans."""
-    esc = lambda c: F.coalesce(F.regexp_replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), "\t", "\\\\\\\\t"), F.lit("\\N"))
-    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
-    return table(spark, d, "orders").select("o_orderkey", F.concat_ws("\t", F.col("o_orderkey").cast("string"), esc(status), F.when(F.col("o_orderkey") % 2 == 0, "t").otherwise("f")).alias("line"))
-
-
 @query("mrg_25_pending_splits", """
     WITH s AS (SELECT user_id, ts FROM events WHERE event_type = 'signup'), l AS (SELECT user_id, ts FROM events WHERE event_type = 'signup' AND event_id % 3 = 0), b AS (SELECT user_id, min(ts) AS first_bar FROM events WHERE event_type = 'purchase' GROUP BY 1)
     SELECT s.user_id, s.ts FROM s JOIN b USING (user_id) WHERE s.ts > first_bar AND NOT EXISTS (SELECT 1 FROM l WHERE l.user_id = s.user_id AND l.ts = s.ts)""")

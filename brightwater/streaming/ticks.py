@@ -25,25 +25,30 @@ def decode(events: DataFrame) -> DataFrame:
     return out.withColumn("reject", reject)
 
 
-def fill(raw: DataFrame, folder: str, known: DataFrame | None = None) -> tuple[str, str]:
-    """Runs the stream over all that is there; (archive path, folder of quotes by batch)."""
+def fill(raw: DataFrame, folder: str, known: DataFrame | None = None, archive_all: bool = True) -> tuple[str, str]:
+    """Runs the stream over all that is there; (archive path, path of quotes by batch).
+
+    The archive lies by day and batch. A batch is held against the days that its own ticks fall on, not against all that was ever
+    archived, so a batch costs the same however long the stream has run. With ``archive_all`` off ticks are quoted but not kept.
+    """
     spark = raw.sparkSession
     archive, quotes = f"{folder}/archive", f"{folder}/quotes"
 
-    def read(path: str, schema, upto: int) -> DataFrame:
-        out = spark.read.schema(schema).option("basePath", path)
-        return out.parquet(path).filter(F.col("batch") < upto).drop("batch") if upto else spark.createDataFrame([], schema)
-
     def one(batch: DataFrame, number: int) -> None:
         ticks = decode(batch).filter("reject IS NULL").drop("reject")
         if known is not None:
             ticks = ticks.join(known, "symbol", "left_semi")
-        ticks = last_wins(ticks, KEY, ["event_id"]).select(*ticks.columns).persist()
-        before = read(archive, ticks.schema, number).select(*KEY)
-        ticks.join(before, KEY, "left_anti").write.mode("overwrite").parquet(f"{archive}/batch={number}")
-        newest = last_wins(ticks, ["symbol"], ["event_id"], guard="ts").select(*ticks.columns)
-        stored = spark.read.parquet(f"{quotes}/{number - 1}") if number else spark.createDataFrame([], ticks.schema)
-        merge(stored, newest, WriteSpec("quotes", ["symbol"], guard="ts")).write.mode("overwrite").parquet(f"{quotes}/{number}")
+        ticks = last_wins(ticks, KEY, ["event_id"]).select(*ticks.columns).withColumn("day", F.to_date("ts")).persist()
+        if archive_all:
+            new = ticks
+            if number and not ticks.isEmpty():
+                span = ticks.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
+                before = spark.read.schema(_ddl(ticks) + ", batch long").parquet(archive).filter(F.col("day").between(span["low"], span["high"]) & (F.col("batch") < number))
+                new = ticks.join(before.select(*KEY, "day"), [*KEY, "day"], "left_anti").select(*ticks.columns)
+            new.withColumn("batch", F.lit(number).cast("long")).write.partitionBy("day", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(archive)
+        newest = last_wins(ticks.drop("day").filter("ts IS NOT NULL"), ["symbol"], ["event_id"], guard="ts").select(*ticks.drop("day").columns)
+        stored = spark.read.schema(_ddl(newest)).parquet(f"{quotes}/batch={number - 1}") if number else spark.createDataFrame([], newest.schema)
+        merge(stored, newest, WriteSpec("quotes", ["symbol"], guard="ts")).write.mode("overwrite").parquet(f"{quotes}/batch={number}")
         ticks.unpersist()
 
     stream = raw.writeStream.foreachBatch(one).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
@@ -51,12 +56,32 @@ def fill(raw: DataFrame, folder: str, known: DataFrame | None = None) -> tuple[s
     return archive, quotes
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
+def quotes_of(spark: SparkSession, quotes: str) -> DataFrame:
+    """Quotes as the last batch left them."""
+    rows = spark.read.parquet(quotes)
+    return rows.join(F.broadcast(rows.agg(F.max("batch").alias("batch"))), "batch").drop("batch")  # one row
+
+
+def replayed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 4) -> DataFrame:
+    """The event table as a stream of several batches, a share of its files each. A table of a single file is first dealt to that many."""
+    path = f"{sf_dir}/events.parquet"
+    events = spark.read.parquet(path)
+    files = len(events.inputFiles())
+    if files < batches:
+        path, files = f"{folder}/events", batches
+        events.repartitionByRange(batches, "event_id").write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     import uuid
 
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).parquet(sf_dir)
-    return fill(raw, f"{shared_dir(spark)}/brightwater/ticks-{uuid.uuid4().hex[:12]}")
+    folder = f"{shared_dir(spark)}/brightwater/ticks-{uuid.uuid4().hex[:12]}"
+    return fill(replayed(spark, sf_dir, folder), folder)
 
 
 @query("str_04_tick_archive", """
@@ -68,5 +93,5 @@ def tick_archive(spark, sf_dir):
 @query("str_06_live_quotes", """
     SELECT user_id AS symbol, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS price FROM events WHERE try_cast(json_extract_string(props, '$.k') AS INT) IS NOT NULL GROUP BY 1""")
 def live_quotes(spark, sf_dir):
-    """The newest quotes; one small file source makes one batch here, tests feed several."""
-    return spark.read.parquet(_run(spark, sf_dir)[1] + "/0").select("symbol", "event_id", "price")
+    """Quotes after the last of several batches."""
+    return quotes_of(spark, _run(spark, sf_dir)[1]).select("symbol", "event_id", "price")
