@@ -69,6 +69,70 @@ Shares | shares | count
 Value | value | count
 pctHeld | pct_held | price
 pctChange | pct_change | price""")),
+    "revenue_estimate": ("period", _fields("""index | period | text
+avg | avg | fact
+low | low | fact
+high | high | fact
+growth | growth | price
+numberOfAnalysts | number_of_analysts | count
+yearAgoRevenue | year_ago_value | fact""")),
+    "eps_trend": ("period", _fields("""index | period | text
+current | current | fact
+7daysAgo | days_ago_7 | fact
+30daysAgo | days_ago_30 | fact
+60daysAgo | days_ago_60 | fact
+90daysAgo | days_ago_90 | fact
+currency | currency | text""")),
+    "eps_revisions": ("period", _fields("""index | period | text
+upLast7days | up_last_7d | count
+upLast30days | up_last_30d | count
+downLast7Days | down_last_7d | count
+downLast30days | down_last_30d | count
+currency | currency | text""")),
+    "upgrades_downgrades": ("grade_ts_utc", _fields("""index | grade_ts_utc | instant
+Firm | firm | text
+ToGrade | to_grade | text
+FromGrade | from_grade | text
+Action | action | text
+priceTargetAction | price_target_action | text
+currentPriceTarget | current_price_target | price
+priorPriceTarget | prior_price_target | price""")),
+    "mutualfund_holders": ("holder", _fields("""Holder | holder | text
+Date Reported | date_reported | date
+Shares | shares | count
+Value | value | count
+pctHeld | pct_held | price
+pctChange | pct_change | price""")),
+    "insider_roster_holders": ("name", _fields("""Name | name | text
+Position | position | text
+URL | url | text
+Most Recent Transaction | most_recent_transaction | text
+Latest Transaction Date | latest_transaction_date | date
+Position Direct Date | position_direct_date | date
+Position Indirect Date | position_indirect_date | date
+Shares Owned Directly | shares_owned_directly | big
+Shares Owned Indirectly | shares_owned_indirectly | big""")),
+    "option_quotes": ("contract_symbol", _fields("""contractSymbol | contract_symbol | text
+lastTradeDate | last_trade_ts_utc | instant
+strike | strike | price
+lastPrice | last_price | price
+bid | bid | price
+ask | ask | price
+change | change | price
+percentChange | percent_change | price
+volume | volume | count
+openInterest | open_interest | count
+impliedVolatility | implied_volatility | price
+inTheMoney | in_the_money | flag
+contractSize | contract_size | text
+currency | currency | text""")),
+    "fund_top_holdings": ("holding_symbol", _fields("""Symbol | holding_symbol | text
+Name | holding_name | text
+Holding Percent | holding_percent | price""")),
+    "sec_filings": ("title", _fields("""title | title | text
+date | filing_date | date
+type | filing_type | text
+edgarUrl | url | text""")),
     "bars": ("ts_utc", _fields("""index | ts_utc | instant
 Open | open | price
 High | high | price
@@ -88,6 +152,10 @@ LABELS = {
     "major_holders": {"insidersPercentHeld": "insiders_percent_held", "institutionsPercentHeld": "institutions_percent_held",
                       "institutionsFloatPercentHeld": "institutions_float_percent_held", "institutionsCount": "institutions_count"},
 }
+# Columns of an insider summary by row label: shares and number of transactions, or a percentage.
+INSIDER_SHARES = {"Purchases": ("purchases_shares", "purchases_trans"), "Sales": ("sales_shares", "sales_trans"),
+                  "Net Shares Purchased (Sold)": ("net_shares", "net_trans"), "Total Insider Shares Held": ("total_insider_shares", None)}
+INSIDER_PERCENTS = {"% Net Shares Purchased (Sold)": "net_pct", "% Buy Shares": "buy_pct", "% Sell Shares": "sell_pct"}
 BASE = ["symbol", "fetched_at"]
 
 
@@ -120,15 +188,36 @@ def series_rows(raw: DataFrame, value: str) -> DataFrame:
 
 def statement_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(periods, facts) of a statement whose columns are period ends; other columns and empty cells are dropped."""
-    out = raw.select(*BASE, F.explode(F.from_json("payload", "array<map<string,string>>")).alias("_m"))
-    out = out.select(*BASE, F.trim(F.col("_m")["index"]).alias("item_key"), F.explode("_m").alias("_column", "_value"))
+    out = raw.select(*BASE, F.posexplode(F.from_json("payload", "array<map<string,string>>")).alias("_at", "_m"))
+    out = out.select(*BASE, "_at", F.trim(F.col("_m")["index"]).alias("item_key"), F.explode("_m").alias("_column", "_value"))
     day = F.coalesce(F.substring("_column", 1, 10).try_cast("date"), F.try_to_date("_column", "M/d/yyyy"))
-    facts = out.select(*BASE, day.alias("period_end"), "item_key", CONVERT["fact"](F.col("_value")).alias("value")).filter(
+    facts = out.select(*BASE, "_at", day.alias("period_end"), "item_key", CONVERT["fact"](F.col("_value")).alias("value")).filter(
         F.col("period_end").isNotNull() & F.col("item_key").isNotNull() & F.col("value").isNotNull())
-    facts = facts.dropDuplicates([*BASE, "period_end", "item_key"])
+    facts = facts.groupBy(*BASE, "period_end", "item_key").agg(F.max_by("value", "_at").alias("value"))  # of records with one item the last stays
     return facts.groupBy(*BASE, "period_end").agg(F.count(F.lit(1)).cast("int").alias("item_count")), facts
 
 
+def insider_summary(raw: DataFrame) -> DataFrame:
+    """Labelled rows of shares and transactions to one row. The period stands in the header; without it no row is written."""
+    out = raw.select(*BASE, S.period_of(F.get_json_object("payload", "$.header")).alias("period_label"),
+                     F.from_json(F.get_json_object("payload", "$.rows"), "array<struct<label:string,Shares:string,Trans:string>>").alias("_r"))
+    of = lambda label, c: F.get(F.filter("_r", lambda r: r["label"] == label), F.lit(0))[c]
+    columns = []
+    for label, (shares, trans) in INSIDER_SHARES.items():
+        columns.append(CONVERT["big"](of(label, "Shares")).alias(shares))
+        columns += [CONVERT["count"](of(label, "Trans")).alias(trans)] if trans else []
+    columns += [CONVERT["price"](of(label, "Shares")).alias(c) for label, c in INSIDER_PERCENTS.items()]
+    return out.filter("period_label IS NOT NULL").select(*BASE, F.substring("period_label", 1, 8).alias("period_label"), *columns)
+
+
+def news_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(news, links): articles once by id, and a link for each ticker that one names, the payload's own symbol included."""
+    one = raw.select("symbol", "fetched_at", F.explode(F.from_json("payload", "array<struct<id:string,title:string,pubDate:string,tickers:array<string>>>")).alias("_a")).filter("_a.id IS NOT NULL")
+    news = one.groupBy(F.col("_a.id").alias("news_id")).agg(F.max_by(F.col("_a.title"), F.struct("fetched_at", "symbol")).alias("title"), F.max(CONVERT["instant"](F.col("_a.pubDate"))).alias("pub_date"))
+    named = F.explode(F.array_distinct(F.concat(F.array("symbol"), F.coalesce(F.transform("_a.tickers", S.symbol), F.array().cast("array<string>")))))
+    return news, one.select(F.col("_a.id").alias("news_id"), named.alias("symbol")).distinct()
+
+
 def labelled_row(raw: DataFrame, labels: dict[str, str]) -> DataFrame:
     """Key and value records to one row of known columns."""
     pairs = F.transform(F.from_json("payload", "array<struct<index:string,Value:double>>"), lambda r: F.struct(r["index"], r["Value"]))
@@ -147,6 +236,11 @@ def normalize(dataset: str, raw: DataFrame) -> dict[str, DataFrame]:
         return {dataset: map_rows(raw, MAPS[dataset])}
     if dataset in LABELS:
         return {dataset: labelled_row(raw, LABELS[dataset])}
+    if dataset == "insider_purchases":
+        return {dataset: insider_summary(raw)}
+    if dataset == "news":
+        news, links = news_rows(raw)
+        return {"news": news, "news_symbols": links}
     if dataset in ("dividends", "splits", "capital_gains"):
         return {dataset: series_rows(raw, "ratio" if dataset == "splits" else "amount")}
     if dataset in ("income", "balance", "cashflow", "valuation_measures"):
