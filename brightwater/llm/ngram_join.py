@@ -14,12 +14,12 @@ third of all rows arrives once per task). Each such pivot is a query over the in
 its candidates, dealt in blocks. Two documents that meet are below the same pivot, at once or by their
 tasks' pivots. Where links found so far hold together all that is below a pivot, nothing is left to find there.
 
-What is left are the documents below pivots that don't hold together. They sign again, in another exact way: n-grams
-are dealt to d + 1 parts by hash, d being the most n-grams in which linked sets of a size class
-differ, so two linked sets agree in all of some part, and the digest of a part is a far rarer
-signature than an n-gram. Documents outside the largest component of their family are queries over blocks of the documents of
-other components that share a part with them; a link between two components has an end outside the largest, so none
-is lost. Tables of parity bits rule out most pairs that can't link before any set is sent.
+What is left are families, the documents below a pivot, that don't hold together. Documents outside the family's largest component are
+queries over blocks of its members; a link between two components has an end outside the largest, so none is lost. That costs a
+member as many copies as there are blocks of queries, so it is done for ``MOST_BLOCKS`` of them at most. Families with more sign
+again, in another exact way: n-grams are dealt to d + 1 parts by hash, d being the most n-grams in which linked sets of a size class
+differ, so two linked sets agree in all of some part, and the digest of a part is a far rarer signature than an n-gram. Members
+that share a part take the family's place. Tables of parity bits rule out most pairs that can't link before any set is sent.
 
 How a query is answered. It needs documents that occur on at least T of its lists. The L
 longest lists are set aside, the rest are heap-merged for documents that occur T - L times,
@@ -50,6 +50,8 @@ from .words import FOLD, SPACE, Segments, batches, mix, ngrams
 CHUNKS, SALTS = 64, 256
 #: Signatures that a map task holds before it sends them, and members of a block.
 FLUSH, BLOCK = 500_000, 512
+#: Blocks of queries that the members of a family meet as a whole; families with more are split.
+MOST_BLOCKS = 16
 CANDIDATE, SAME, SIZE, MEET = 0, 1, 2, 3
 _ROWS = "key long, a long, b long, kind int"
 
@@ -490,11 +492,15 @@ def _search_rest(rows: DataFrame, words: int, edges: DataFrame, labels: DataFram
     own = materialize(label_of(family.select(F.col("a").alias("family"), F.col("b").alias("id")), "id", "label"), "ngram-family")
     per = own.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     per = per.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"))
-    per = materialize(per.filter("n > most AND n > 2").select("family", "n", "main"), "ngram-open")
-    left = join_by_size(own, per, ["family"], "n").groupBy("id").agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("asks"))
-    left = materialize(left, "ngram-left")
-    signed = _of(rows, left.select("id")).join(left, "id").mapInArrow(_part_rows(words, percent), "part long, id long, label long, asks boolean")
-    own = materialize(signed.distinct().withColumn("told", F.lit(True)), "ngram-signed")
+    per = materialize(per.filter("n > most AND n > 2").select("family", "n", "main", (F.col("n") - F.col("most") > BLOCK * MOST_BLOCKS).alias("large")), "ngram-open")
+    if per.isEmpty():
+        return labels
+    left = join_by_size(own, per, ["family"], "n").select("family", "id", "label", (F.col("label") != F.col("main")).alias("asks"), "large")
+    own = left.filter("NOT large").select(F.xxhash64("family").alias("part"), "id", "label", "asks")
+    if not per.filter("large").isEmpty():
+        split = materialize(left.filter("large").groupBy("id").agg(F.first("label").alias("label"), F.max("asks").alias("asks")), "ngram-left")
+        own = own.unionByName(_of(rows, split.select("id")).join(split, "id").mapInArrow(_part_rows(words, percent), "part long, id long, label long, asks boolean"))
+    own = materialize(own.withColumn("told", F.lit(True)), "ngram-own")
     own = materialize(_prune_blocks(_in_blocks(own), bits, percent), "ngram-rest")
     sets = materialize(_of(rows, own.select("id").distinct()).mapInArrow(_sets(words), "id long, grams array<long>"), "ngram-sets")
     more = _search_blocks(_in_blocks(own), sets, _BLOCK_KEYS, percent)
