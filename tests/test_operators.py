@@ -1,6 +1,8 @@
 """Merges, pages, gates and series on small tables."""
 
 import datetime as dt
+import random
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,42 @@ def test_last_wins_and_monotonic(spark):
     assert merge.last_wins(df.limit(0), ["k"], ["seq"]).count() == 0
 
 
+def folded(keys, guard, present, given):
+    """What the rows of a key come to, laid over each other one by one."""
+    held = {}
+    for row in given:
+        now = held.get(row["k"])
+        if now is None:
+            held[row["k"]] = dict(row)
+        elif guard:
+            if not (now["g"] is not None and row["g"] is not None and row["g"] < now["g"]):
+                held[row["k"]] = dict(row)
+        else:
+            new = {**now, **{c: v for c, v in row.items() if c not in present or row["seq"] % 3}}
+            new["m"] = max((x for x in (now["m"], row["m"]) if x is not None), default=None)
+            held[row["k"]] = new
+    return sorted((tuple(r.values()) for r in held.values()), key=str)
+
+
+def test_last_wins_as_if_laid_over_one_by_one(spark):
+    rng = random.Random(5)
+    given = [{"k": rng.randrange(12), "seq": i, "g": rng.choice([None, 1, 2, 3]), "v": rng.choice([None, "x", "y"]), "m": rng.choice([None, 1, 2, 9])} for i in range(150)]
+    df = spark.createDataFrame([tuple(r.values()) for r in given], "k int, seq int, g int, v string, m int").repartition(4)
+    assert rows(merge.last_wins(df, ["k"], ["seq"], guard="g")) == folded(["k"], "g", set(), given)
+    got = {r.k: (r.v, r.m) for r in merge.last_wins(df.filter("seq % 3 > 0"), ["k"], ["seq"], monotonic=["m"], present={"v": F.col("seq") % 3 > 0}).collect()}
+    assert got == {r[0]: (r[3], r[4]) for r in folded(["k"], None, {"v"}, [r for r in given if r["seq"] % 3])}
+
+
+def test_rescale_is_decimal_and_rounds_volume_after_each_split(spark):
+    at = lambda day: dt.datetime(2024, 1, day)
+    bars = spark.createDataFrame([("s", at(1), "5m", D("100"), 101), ("s", at(5), "5m", D("100"), 101), ("s", at(9), "5m", D("100"), 101), ("s", at(1), "1d", D("100"), 101), ("t", at(1), "5m", D("7"), 3)],
+                                 "k string, at timestamp_ntz, i string, price decimal(28,12), volume long")
+    splits = spark.createDataFrame([("s", at(3), D("1.5")), ("s", at(7), D("1.5")), ("s", at(8), D("0")), ("s", at(2), D("-1"))], "k string, boundary timestamp_ntz, ratio decimal(20,10)")
+    got = {(r.k, r.at.day, r.i): (str(r.price), r.volume) for r in series.rescaled(bars, splits, "k", ["price"], "volume", "at", "i").collect()}
+    assert got == {("s", 1, "5m"): ("44.444444444445", 226), ("s", 5, "5m"): ("66.666666666667", 151), ("s", 9, "5m"): ("100.000000000000", 101),
+                   ("s", 1, "1d"): ("100.000000000000", 101), ("t", 1, "5m"): ("7.000000000000", 3)}
+
+
 def test_range_event(spark):
     df = spark.createDataFrame([("a", i, "insert") for i in range(5)] + [("b", 1, "insert"), ("b", 2, "same")], "s string, i int, _op string")
     got = merge.change_events(df, merge.WriteSpec("t", ["s", "i"]), span=3, range_col="i").collect()

@@ -20,6 +20,18 @@ def test_several_batches(spark, tmp_path):
         archive, quotes = ticks.fill(raw, str(tmp_path / "out"))
     # A copy in a later batch isn't archived again; a late tick is, and rolls no quote back.
     assert sorted(r.event_id for r in spark.read.parquet(archive).collect()) == [1, 2, 3, 6, 7, 9]
-    assert sorted((r.symbol, r.event_id) for r in spark.read.parquet(f"{quotes}/2").collect()) == [(7, 2), (8, 9)]
+    assert sorted((r.symbol, r.event_id) for r in ticks.quotes_of(spark, quotes).collect()) == [(7, 2), (8, 9)]
     again = ticks.fill(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), str(tmp_path / "out"))
     assert spark.read.parquet(again[0]).count() == 6
+
+
+def test_a_table_of_part_files_streams_too(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3, 0, 0, i % 50), i % 5, "a", float(i), '{"k": 1}') for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).repartition(6).write.parquet(str(tmp_path / "t/events.parquet"))
+    archive, quotes = ticks.fill(ticks.replayed(spark, str(tmp_path / "t"), str(tmp_path)), str(tmp_path / "out"))
+    got = spark.read.parquet(archive)
+    assert got.count() == 40 and got.select("batch").distinct().count() > 1
+    newest = {}
+    for i, at, k, *_ in rows:
+        newest[k] = max(newest.get(k, (at, i)), (at, i))
+    assert {r.symbol: r.event_id for r in ticks.quotes_of(spark, quotes).collect()} == {k: i for k, (_, i) in newest.items()}
