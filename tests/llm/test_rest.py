@@ -42,7 +42,7 @@ def test_dedup_compares_bytes_where_keys_collide(spark, odd):
     for r in rows.collect():
         want[r.text.lower()].append(r.doc_id)
     for bits in (2, 64):
-        got = exact_dedup.exact_dedup(rows, hash_bits=bits, capacity=3, max_depth=4).collect()
+        got = exact_dedup.exact_dedup(rows, hash_bits=bits, capacity=3).collect()
         assert len(got) == 200
         for r in got:
             group = next(g for g in want.values() if r.doc_id in g)
@@ -52,15 +52,52 @@ def test_dedup_compares_bytes_where_keys_collide(spark, odd):
     assert kept.columns == odd.columns and Counter(r.doc_id for r in kept.collect()) == Counter([2, 4, None, 6, 7])
 
 
-def test_buckets_split_and_directory_doubles():
-    slots = dict.fromkeys(range(16), 1) | {3: 50}
-    directory = exact_dedup.split_buckets(slots, 4, 4)
-    assert sorted(s for s, _, _ in directory) == list(range(16))
-    held, depth = Counter(), {}
-    for s, b, d in directory:
-        held[b] += slots[s]
-        depth[b] = d
-    assert all(n <= 4 or depth[b] == 4 for b, n in held.items())
+def test_buckets_split_and_directory_doubles(spark):
+    """Skewed keys: most share their leading four bits. Buckets are contiguous, none is overfull, and the directory is no deeper than that takes."""
+    keys = spark.range(300).select(F.expr("shiftleft(id % 7, 61) + CASE WHEN id < 200 THEN shiftleft(id, 40) ELSE shiftleft(id, 50) END").alias("key")).distinct()
+    directory, depth = exact_dedup.build_directory(keys, 10)
+    slots = {r.slot: (r.bucket, r.depth) for r in directory.collect()}
+    assert sorted(slots) == list(range(1 << depth))
+    held = Counter(slots[(r.key % 2**64) >> (64 - depth)][0] for r in keys.collect())
+    assert max(held.values()) <= 10 and depth == max(d for _, d in slots.values())
+    assert all(slots[s][0] <= s and slots[slots[s][0]][0] == slots[s][0] for s in slots)
+    assert exact_dedup.build_directory(keys.limit(0), 10)[1] == 0
+    crowded = keys.limit(1).union(keys.limit(1)).select("key")
+    assert exact_dedup.build_directory(crowded, 1, hash_bits=4)[1] == 4  # no more bits to split by
+
+
+def test_documents_are_found_through_the_directory(spark, monkeypatch):
+    """Buckets that the directory names wrongly at the lookup lose the documents: nothing else leads to an index entry."""
+    rows = spark.createDataFrame([(i, f"t{i % 9}") for i in range(60)], "doc_id long, text string")
+    right = exact_dedup.build_index
+
+    def wrong(*a, **k):
+        entries, index, (directory, depth) = right(*a, **k)
+        return entries, index, (directory.withColumn("bucket", F.col("bucket") + 1), depth)
+
+    assert exact_dedup.exact_dedup(rows, capacity=2).filter("group_size > 1").count() == 60
+    monkeypatch.setattr(exact_dedup, "build_index", wrong)
+    assert exact_dedup.exact_dedup(rows, capacity=2).count() < 60
+
+
+def test_filters_without_a_bitmap_keep_the_result(spark, monkeypatch):
+    """A list too long for its bitmap goes straight to the exact join."""
+    from brightwater.llm import common
+
+    rows = spark.createDataFrame([(i, f"t{i % 9}", i) for i in range(60)], "doc_id long, text string, bm_hit int")
+    want = sorted(r.doc_id for r in exact_dedup.keep_first_copies(rows).collect())
+    monkeypatch.setattr(common, "MOST_BITS", 0)
+    assert sorted(r.doc_id for r in exact_dedup.keep_first_copies(rows).collect()) == want and len(want) == 9
+
+
+def test_hot_keys_are_broadcast_and_others_shuffled(spark, monkeypatch):
+    from brightwater.llm import common
+
+    monkeypatch.setattr(common, "SHARES", 4)
+    rows = spark.createDataFrame([(0 if i % 3 == 0 else i, i) for i in range(90)], "k long, v int")
+    per = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("x", F.col("k") * 2)
+    got = common.join_by_size(rows, per, ["k"], "n").collect()
+    assert sorted((r.k, r.v, r.x) for r in got) == sorted((r.k, r.v, r.k * 2) for r in rows.collect())
 
 
 def packed_is_right(spark, docs, length):
@@ -98,19 +135,56 @@ def test_packing_round_trip(spark, docs, odd):
 
 
 def test_best_fit_keeps_to_its_open_bins():
+    """Against the rule spelled out: the fullest open bin that still holds a piece; beyond the bound the fullest closes."""
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 101, 3000).tolist()
-    bins, offsets = packing.best_fit(sizes, 100, 8)
-    used = defaultdict(int)
-    last = {}
-    for k, (b, o, s) in enumerate(zip(bins, offsets, sizes, strict=True)):
-        assert used[b] == o
-        used[b] += s
-        last[b] = k
-    assert max(used.values()) <= 100
-    first = {b: bins.index(b) for b in used}
-    for k in range(0, 3000, 50):  # no more bins take pieces before and after a point than may be open
-        assert sum(first[b] <= k < last[b] for b in used) <= 8
+    for bound in (1, 8, 64):
+        bins, open_bins, closed, n = packing.BestFit(100, bound), {}, 0, 0
+        for s in sizes:
+            fits = sorted((free, -k) for k, free in open_bins.items() if free >= s)
+            if fits:
+                want = fits[0][0]
+                one, at = bins.add(s)
+                assert open_bins[one] == want and at == 100 - want
+                open_bins[one] -= s
+            else:
+                if len(open_bins) == bound:
+                    least = min(open_bins.values())
+                    fullest = [k for k, free in open_bins.items() if free == least]
+                one, at = bins.add(s)
+                assert (one, at) == (n, 0)
+                n += 1
+                if len(open_bins) == bound:
+                    still = {k for ks in bins.by_free.values() for k in ks}
+                    gone = [k for k in fullest if k not in still]
+                    assert len(gone) == 1
+                    del open_bins[gone[0]]
+                    closed += 1
+                open_bins[one] = 100 - s
+            open_bins = {k: f for k, f in open_bins.items() if f}
+            assert bins.n_open == len(open_bins) <= bound
+        assert closed > 0 or bound == 64
+
+
+def test_a_tokenizer_that_joins_words_is_refused(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"a": 0, "[UNK]": 1}, unk_token="[UNK]"))
+    t.pre_tokenizer = pre_tokenizers.Split("x", "removed")
+    t.save(str(tmp_path / "t.json"))
+    with pytest.raises(ValueError, match="white space"):
+        packing.WordTokenizer(str(tmp_path / "t.json"))
+
+
+def test_samples_shrink_smoothly(spark):
+    from brightwater.llm.common import sampled
+
+    ids = spark.range(200_000)
+    sizes = [sampled(ids, s, F.col("id")).count() for s in (1.0, 0.5, 0.01, 1e-4)]
+    assert sizes[0] == 200_000 and abs(sizes[1] - 100_000) < 1500 and abs(sizes[2] - 2000) < 250 and 3 < sizes[3] < 50
+    rows = spark.createDataFrame([(7, "the same text", "en")] * 30, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="not one in a sample"):
+        language_id.language_id(rows, fit_rows=0)
 
 
 @needs_tables
@@ -239,8 +313,59 @@ def test_all_visible_text_is_rendered(html, text):
     assert html_extract.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<![xyz[a]]>text", "text"), ("<![ 1]>x", "x"), ("<table><tr><td colspan='" + "9" * 5000 + "'>a<td>b</table>", "a | b"), ("&#" + "9" * 6000 + ";a", "\ufffda"), ("text <b unclosed", "text"),
+    ("a<!-- no -->b<!-->c", "abc"), ("<plaintext><b>x</b>", "<b>x</b>"), ("<xmp><i>a</i></xmp>b", "<i>a</i>\n\nb"), ("<svg><![CDATA[no]]><text><![CDATA[a<b]]></text></svg>", "a<b"),
+    ("<a title='x > y'>z</a>", "z"), ("1 < 2 <3 & 4", "1 < 2 <3 & 4"), ("<input type=submit value=Go><input type=hidden value=no><input type=password value=no>", "Go"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"), ("<table><tr><td colspan=2>ab cd<td>x<tr><td>1<td>2<td>3</table>", "ab cd | x\n1 | 2 | 3")])
+def test_broken_and_rare_markup(html, text):
+    assert html_extract.render(html) == text
+
+
+def test_no_page_takes_long():
+    for page in ("<a " * 100_000, "<div>" * 100_000 + "x", "<b>" * 100_000 + "</i>" * 100_000, "<ul><li>a" * 10_000, "<table><tr><td>a<td>" * 3_000, "<" * 200_000, "&" * 200_000, '<a x="' * 50_000, "<p>" * 100_000,
+                 "ab " * 300_000, "a" * 1_000_000, "<select><option>a" * 30_000, "<!--" * 100_000, "<script>" * 50_000, "<pre>" + "a\n" * 100_000, "<head><template>" + "<b>x" * 30_000):
+        began = time.time()
+        html_extract.render(page)
+        assert time.time() - began < 10, page[:30]
+
+
+def test_every_visible_word_is_rendered_in_order():
+    """Random pages, end tags left out at random, against the words that their maker knows to be visible."""
+    rng = random.Random(9)
+    for _ in range(300):
+        words, n = [], 0
+
+        def content(depth, seen):
+            nonlocal n
+            out = []
+            for _ in range(rng.randrange(1, 4)):
+                kind = rng.choice(["text", "text", "b", "div", "p", "ul", "table", "script", "hidden", "comment", "pre"] if depth < 4 else ["text"])
+                if kind in ("text", "script", "comment"):
+                    n += 1
+                    if kind == "text":
+                        words.extend([f"w{n}"] * seen)
+                        out.append(f" w{n} ")
+                    else:
+                        out.append(f"<script>w{n}</script>" if kind == "script" else f"<!-- w{n} -->")
+                elif kind == "hidden":
+                    out.append(f"<div hidden>{content(depth + 1, False)}</div>")
+                elif kind == "ul":
+                    out.append("<ul>" + "".join(f"<li>{content(depth + 1, seen)}" + rng.choice(["</li>", ""]) for _ in range(2)) + "</ul>")
+                elif kind == "table":
+                    out.append("<table>" + "".join(f"<tr><td>{content(9, seen)}" + rng.choice(["</td></tr>", ""]) for _ in range(2)) + "</table>")
+                elif kind == "p":
+                    out.append(f"<p>{content(9, seen)}" + rng.choice(["</p>", ""]))
+                else:
+                    out.append(f"<{kind}>{content(depth + 1, seen)}</{kind}>")
+            return "".join(out)
+
+        page = content(0, True)
+        assert re.findall(r"w\d+", html_extract.render(page)) == words, page
+
+
 def test_page_rows(spark):
-    df = spark.createDataFrame([(1, None), (2, "<p>a"), (2, "<p>a"), (3, "<div>" * 5000 + "deep")], "page_id long, html string")
+    df = spark.createDataFrame([(1, None), (2, "<p>a"), (2, "<p>a"), (3, "<div>" * 5000 + "deep")], "page_id long, html string").withColumn("text", F.lit("clash")).withColumn("id", F.lit(0))
     assert sorted((r.page_id, r.text, r.n_lines) for r in html_extract.html_extract(df).collect() if r.text is not None) == [(2, "a", 1), (2, "a", 1), (3, "deep", 1)]
     assert html_extract.html_extract(df.limit(0)).count() == 0
 
