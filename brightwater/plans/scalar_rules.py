@@ -312,3 +312,84 @@ def misfire_grace(spark, d):
 @query("scl_55_exit_words", "SELECT l_linenumber, CASE l_linenumber WHEN 0 THEN 'ok' WHEN 2 THEN 'partial' WHEN 4 THEN 'locked' ELSE 'failed' END AS result, count(*) AS n FROM lineitem GROUP BY ALL")
 def exit_words(spark, d):
     return table(spark, d, "lineitem").groupBy("l_linenumber", F.coalesce(S.named(F.col("l_linenumber"), S.EXIT_WORDS), F.lit("failed")).alias("result")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("scl_01_symbols", "SELECT c_custkey, upper(c_mktsegment) || '-' || c_nationkey AS symbol FROM customer")
+def symbols(spark, d):
+    raw = F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit("-"), F.col("c_nationkey").cast("string"), F.lit(" "))
+    return table(spark, d, "customer").select("c_custkey", S.symbol(raw).alias("symbol"))
+
+
+@query("scl_04_to_int", f"""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 12 = 8 THEN '0' WHEN o_orderkey % 12 = 10 THEN '-7' END, 'null') AS n, coalesce(CASE WHEN o_orderkey % 5 > 0 THEN o_custkey::VARCHAR END, 'null') AS big FROM ({_SQL_TEXT})""")
+def to_int(spark, d):
+    """Whole numbers alone: words, fractions and what overflows are null."""
+    far = F.when(F.col("o_orderkey") % 5 == 0, F.lit("9" * 25)).otherwise(F.col("o_custkey").cast("string"))
+    text = lambda c: F.coalesce(S.to_long(c).cast("string"), F.lit("null"))
+    return _dirty(spark, d).select("o_orderkey", text(F.col("t")).alias("n"), text(far).alias("big"))
+
+
+@query("scl_06_to_decimal", "SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 2 THEN 'null' WHEN 3 THEN 'null' ELSE l_discount::VARCHAR::DECIMAL(28,12)::VARCHAR END AS price FROM lineitem")
+def to_decimal(spark, d):
+    """By the shortest digits of a double; what isn't finite is null, and a zero stays one."""
+    x = F.when(F.col("l_linenumber") == 2, float("nan")).when(F.col("l_linenumber") == 3, float("inf")).otherwise(F.col("l_discount"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.coalesce(S.to_price(x).cast("string"), F.lit("null")).alias("price"))
+
+
+@query("scl_11_content_hash", f"SELECT o_orderkey, coalesce(sha256(t), 'null') AS h FROM ({_SQL_TEXT})")
+def content_hash(spark, d):
+    return _dirty(spark, d).select("o_orderkey", F.coalesce(S.content_hash(F.col("t")), F.lit("null")).alias("h"))
+
+
+@query("scl_12_short_hash", f"SELECT o_orderkey, coalesce(sha256(t)[1:16], 'null') AS h FROM ({_SQL_TEXT})")
+def short_hash(spark, d):
+    return _dirty(spark, d).select("o_orderkey", F.coalesce(S.short_hash(F.col("t")), F.lit("null")).alias("h"))
+
+
+@query("scl_14_blank_to_none", f"SELECT o_orderkey, coalesce(nullif(trim(t), ''), 'null') AS v FROM ({_SQL_TEXT})")
+def blank_to_none(spark, d):
+    return _dirty(spark, d).select("o_orderkey", F.coalesce(S.blank_to_null(F.col("t")), F.lit("null")).alias("v"))
+
+
+@query("scl_15_key_value", f"SELECT o_orderkey, trim(t) AS v FROM ({_SQL_TEXT}) WHERE trim(t) <> '' AND length(trim(t)) <= 6")
+def key_value(spark, d):
+    """Keys that are empty or too long drop their row; they are never cut."""
+    return _dirty(spark, d).select("o_orderkey", S.key_text(F.col("t"), 6).alias("v")).filter("v IS NOT NULL")
+
+
+@query("scl_17_big_values", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 4 THEN 'null' ELSE (l_orderkey * 1000 + 2 * round(l_quantity / 2))::HUGEINT::VARCHAR END AS big FROM lineitem WHERE l_quantity % 2 = 0")
+def big_values(spark, d):
+    """Halves go to the even neighbour; what has more than 38 digits is null."""
+    x = F.concat((F.col("l_orderkey") * 1000 + F.col("l_quantity").cast("long")).cast("string"), F.lit(".5"))
+    x = F.when(F.col("l_linenumber") == 4, F.lit("9" * 45)).otherwise(x)
+    return table(spark, d, "lineitem").filter("l_quantity % 2 = 0").select("l_orderkey", "l_linenumber", F.coalesce(S.to_big(x).cast("string"), F.lit("null")).alias("big"))
+
+
+@query("scl_24_slugs", "SELECT p_partkey, replace(replace(lower(trim(p_name)), ' ', '_'), '-', '_') || '_' || lower(p_type) AS slug FROM part")
+def slugs(spark, d):
+    return table(spark, d, "part").select("p_partkey", S.slug(F.concat(F.lit(" "), F.upper("p_name"), F.lit("-"), F.col("p_type"), F.lit(" "))).alias("slug"))
+
+
+@query("scl_32_local_dates", f"SELECT o_orderkey, (((o_orderdate + INTERVAL 5 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE {_ZONES})::DATE::VARCHAR AS day FROM orders")
+def local_dates(spark, d):
+    """The calendar day at the exchange, each row in its own zone."""
+    at = F.expr("o_orderdate + INTERVAL 5 HOUR").cast("timestamp")
+    return table(spark, d, "orders").select("o_orderkey", S.local_date(at, _zone()).cast("string").alias("day"))
+
+
+@query("scl_40_buckets", "SELECT event_id, time_bucket(INTERVAL 5 MINUTE, ts)::TIMESTAMP AS m5, time_bucket(INTERVAL 1 HOUR, ts)::TIMESTAMP AS h1 FROM events")
+def buckets(spark, d):
+    at = F.col("ts").cast("timestamp")
+    return table(spark, d, "events").select("event_id", S.bucket_of(at, 300).cast("timestamp_ntz").alias("m5"), S.bucket_of(at, 3600).cast("timestamp_ntz").alias("h1"))
+
+
+@query("scl_43_heat", "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.05 THEN least(1.0, (l_discount - 0.05) / 0.03) WHEN l_discount < 0.05 THEN -least(1.0, (0.05 - l_discount) / 0.03) ELSE 0.0 END::DOUBLE AS heat FROM lineitem WHERE l_discount <> 0.05")
+def heat(spark, d):
+    return table(spark, d, "lineitem").filter("l_discount != 0.05D").select("l_orderkey", "l_linenumber", S.heat(F.col("l_discount") - 0.05, 0.03).alias("heat"))
+
+
+@query("scl_45_margins", "SELECT o_custkey, sum(o_orderkey) / sum(round(o_totalprice * 100)::BIGINT) * 100 AS margin FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
+def margins(spark, d):
+    """Null, and no row here, where there is no revenue."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    sums = table(spark, d, "orders").groupBy("o_custkey").agg(F.sum(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))).alias("net"), F.coalesce(F.sum(F.when(F.col("o_orderstatus") != "P", cents)), F.lit(0)).alias("revenue"))
+    return sums.select("o_custkey", S.margin(F.col("net"), F.col("revenue")).alias("margin")).filter("margin IS NOT NULL")
