@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.normalize import FRAMES, INSIDER_PERCENTS, INSIDER_SHARES, normalize
+from ..sources.normalize import FRAMES, HASHED, INSIDER_PERCENTS, INSIDER_SHARES, MAPS, normalize
 from .registry import query, table
 
 #: By kind: the value in a record, and what it is normalized to, both as SQL of the engine.
@@ -54,6 +54,46 @@ for _name in FRAMES:
     _frame_query(_name)
 
 
+def _hashed_query(name: str):
+    at, parts, fields = HASHED[name]
+    shown = [f for f in fields if f.target == at or f.target in parts]
+    meant = ", ".join(f"CASE WHEN o_orderkey % 7 = 0 THEN 'null' ELSE {_MEANT[f.kind]} END AS {f.target}" if f.kind in _NUMBERS else f"{_MEANT[f.kind]} AS {f.target}" for f in shown)
+
+    @query(f"ds_{name}", f"SELECT DISTINCT 'S' || o_custkey AS symbol, {meant} FROM orders")
+    def run(spark, d):
+        """Records that differ in any part that is hashed are rows of their own; repeated ones are one row."""
+        sent = {f.source: f"CASE WHEN o_orderkey % 7 = 0 THEN 'N/A' ELSE {_SENT[f.kind]} END" if f.kind in _NUMBERS else _SENT[f.kind] for f in fields}
+        raw = _payloads(spark, d, sent)
+        twice = raw.withColumn("payload", F.concat(F.lit("["), F.substr("payload", F.lit(2), F.length("payload") - 2), F.lit(","), F.substr("payload", F.lit(2))))
+        return _text(normalize(name, twice)[name], [f.target for f in shown])
+
+    return run
+
+
+for _name in HASHED:
+    _hashed_query(_name)
+
+
+def _map_query(name: str):
+    fields = MAPS[name]
+    meant = ", ".join(f"CASE WHEN o_orderkey % 7 = 0 THEN 'null' ELSE {_MEANT[f.kind]} END AS {f.target}" if f.kind in _NUMBERS else f"{_MEANT[f.kind]} AS {f.target}" for f in fields)
+
+    @query(f"ds_{name}", f"SELECT 'S' || o_orderkey AS symbol, {meant}, 'odd' AS unmapped FROM orders")
+    def run(spark, d):
+        """One row a payload; a key that no field names is listed."""
+        o = table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+        sent = [F.expr(f"CASE WHEN o_orderkey % 7 = 0 THEN 'N/A' ELSE {_SENT[f.kind]} END" if f.kind in _NUMBERS else _SENT[f.kind]).alias(f.source) for f in fields]
+        raw = o.select(F.concat(F.lit("s"), F.col("o_orderkey").cast("string")).alias("symbol"), F.lit("2024-02-01").cast("timestamp").alias("fetched_at"), F.to_json(F.struct(*sent, F.lit(1).alias("odd"))).alias("payload"))
+        out = normalize(name, raw)[name]
+        return _text(out.withColumn("unmapped", F.array_join("unmapped", ",")), [*[f.target for f in fields], "unmapped"])
+
+    return run
+
+
+for _name in ("fast_info", "history_metadata", "market_status"):
+    _map_query(_name)
+
+
 @query("ds_analyst_price_targets", """SELECT 'S' || o_orderkey AS symbol, CASE WHEN o_orderkey % 7 = 0 THEN 'null' ELSE o_totalprice::VARCHAR::DECIMAL(28,12)::VARCHAR END AS mean, o_totalprice::VARCHAR::DECIMAL(28,12)::VARCHAR AS high, 'odd' AS unmapped FROM orders""")
 def price_targets(spark, d):
     """One row a payload; keys that no field names are listed."""

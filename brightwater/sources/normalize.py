@@ -133,6 +133,39 @@ Holding Percent | holding_percent | price""")),
 date | filing_date | date
 type | filing_type | text
 edgarUrl | url | text""")),
+    "shares_full": ("as_of_date", _fields("""index | as_of_date | date
+shares | shares | count""")),
+    "earnings_calendar": ("event_ts_utc", _fields("""Event Start Date | event_ts_utc | instant
+Company | company | text
+Marketcap | market_cap | price
+Event Name | event_name | text
+Timing | timing | text
+EPS Estimate | eps_estimate | price
+Reported EPS | reported_eps | price
+Surprise(%) | surprise_pct | price""")),
+    "economic_events_calendar": ("event_ts_utc", _fields("""Event Time | event_ts_utc | instant
+Region | region | text
+For | period_for | text
+Actual | actual | price
+Expected | expected | price
+Last | last_reported | price
+Revised | revised | price""")),
+    "ipo_calendar": ("action", _fields("""Date | event_ts_utc | instant
+Action | action | text
+Company | company | text
+Exchange | exchange | text
+Filing Date | filing_date | date
+Amended Date | amended_date | date
+Price From | price_from | price
+Price To | price_to | price
+Price | price | price
+Currency | currency | text
+Shares | shares | price""")),
+    "splits_calendar": ("payable_ts_utc", _fields("""Payable On | payable_ts_utc | instant
+Company | company | text
+Old Share Worth | old_share_worth | count
+Share Worth | share_worth | count
+Optionable | optionable | flag""")),
     "bars": ("ts_utc", _fields("""index | ts_utc | instant
 Open | open | price
 High | high | price
@@ -141,12 +174,78 @@ Close | close | price
 Volume | volume | count""")),
 }
 MAPS = {
+    "fast_info": _fields("""currency | currency | text
+dayHigh | day_high | price
+dayLow | day_low | price
+exchange | exchange | text
+fiftyDayAverage | fifty_day_average | price
+lastPrice | last_price | price
+lastVolume | last_volume | count
+marketCap | market_cap | big
+open | open | price
+previousClose | previous_close | price
+quoteType | quote_type | text
+regularMarketPreviousClose | regular_market_previous_close | price
+shares | shares | big
+tenDayAverageVolume | ten_day_average_volume | count
+threeMonthAverageVolume | three_month_average_volume | count
+timezone | timezone | text
+twoHundredDayAverage | two_hundred_day_average | price
+yearChange | year_change | price
+yearHigh | year_high | price
+yearLow | year_low | price"""),
+    "history_metadata": _fields("""currency | currency | text
+exchangeName | exchange_name | text
+fullExchangeName | full_exchange_name | text
+instrumentType | instrument_type | text
+timezone | timezone | text
+exchangeTimezoneName | exchange_timezone_name | text
+gmtoffset | gmt_offset | count
+firstTradeDate | first_trade_date | instant
+regularMarketTime | regular_market_time | instant
+regularMarketPrice | regular_market_price | price
+fiftyTwoWeekHigh | fifty_two_week_high | price
+fiftyTwoWeekLow | fifty_two_week_low | price
+priceHint | price_hint | count
+dataGranularity | data_granularity | text
+range | range | text
+hasPrePostMarketData | has_pre_post_market_data | flag
+shortName | short_name | text
+longName | long_name | text
+chartPreviousClose | chart_previous_close | price
+regularMarketDayHigh | regular_market_day_high | price
+regularMarketDayLow | regular_market_day_low | price
+regularMarketVolume | regular_market_volume | count"""),
+    "market_status": _fields("""id | market_id | text
+name | name | text
+status | status | text
+yfit_market_status | yfit_market_status | text
+message | message | text
+open | open_ts_utc | instant
+close | close_ts_utc | instant
+tz | tz_short | text"""),
     "analyst_price_targets": _fields("""current | current | price
 low | low | price
 high | high | price
 mean | mean | price
 median | median | price"""),
 }
+# The day or instant, the columns whose hash tells records of it apart, and the fields.
+HASHED = {
+    "insider_transactions": ("start_date", ["insider", "position", "text", "shares", "value", "ownership"], _fields("""Start Date | start_date | date
+Insider | insider | text
+Position | position | text
+URL | url | text
+Transaction | transaction_label | text
+Text | text | text
+Shares | shares | big
+Value | value | big
+Ownership | ownership | text""")),
+    "earnings_dates": ("earnings_ts_utc", ["eps_estimate", "reported_eps", "surprise_pct"], _fields("""index | earnings_ts_utc | instant
+EPS Estimate | eps_estimate | price
+Reported EPS | reported_eps | price
+Surprise(%) | surprise_pct | price""")),
+}
 # Column by label of a labelled frame.
 LABELS = {
     "major_holders": {"insidersPercentHeld": "insiders_percent_held", "institutionsPercentHeld": "institutions_percent_held",
@@ -179,6 +278,15 @@ def frame_rows(raw: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     return out.withColumn("_n", last).filter("_n = 1").drop("_n", "_at")
 
 
+def hashed_rows(raw: DataFrame, at: str, parts: list[str], fields: list[Field]) -> DataFrame:
+    """A row per record that differs from the others of its day or instant, told apart by ``fact_hash``; those without it are dropped."""
+    out = raw.select(*BASE, F.posexplode(F.from_json("payload", "array<map<string,string>>")).alias("_at", "_m"))
+    out = out.select(*BASE, "_at", *_typed(F.col("_m"), fields)).filter(F.col(at).isNotNull()).withColumn("fact_hash", F.substring(S.content_hash(S.canonical_json(parts)), 1, 16))
+    others = [f.target for f in fields if f.target != at]
+    last = out.groupBy(*BASE, at, "fact_hash").agg(F.max_by(F.struct(*others), "_at").alias("_r"))
+    return last.select(*BASE, at, "fact_hash", "_r.*")
+
+
 def series_rows(raw: DataFrame, value: str) -> DataFrame:
     """(symbol, local day, value) of a dated series; zero isn't an event, and a day's last value stays."""
     out = raw.select(*BASE, F.posexplode(F.from_json("payload", "array<struct<index:string,value:double>>")).alias("_at", "_r"))
@@ -232,6 +340,8 @@ def normalize(dataset: str, raw: DataFrame) -> dict[str, DataFrame]:
         key, fields = FRAMES[dataset]
         out = frame_rows(raw, key, fields)
         return {dataset: out.filter("close IS NOT NULL") if dataset == "bars" else out}
+    if dataset in HASHED:
+        return {dataset: hashed_rows(raw, *HASHED[dataset])}
     if dataset in MAPS:
         return {dataset: map_rows(raw, MAPS[dataset])}
     if dataset in LABELS:
