@@ -34,12 +34,17 @@ def slot_of(key: Column, depth: int) -> Column:
     return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def build_directory(keys: DataFrame, capacity: int, hash_bits: int = 64) -> tuple[DataFrame, int]:
+#: What a bucket holds at least, and how many buckets there are about at most: beyond that they grow with the keys, so the directory can be broadcast at any size.
+CAPACITY, MOST_BUCKETS = 200_000, 1 << 16
+
+
+def build_directory(keys: DataFrame, capacity: int | None = None, hash_bits: int = 64) -> tuple[DataFrame, int]:
     """(slot, bucket, depth) for all slots of a directory, and how many bits a slot has.
 
     ``keys`` are distinct longs. A bucket's number is its first slot. The directory doubles until no bucket is overfull.
     """
     spark, n = keys.sparkSession, keys.count()
+    capacity = capacity or max(CAPACITY, n // MOST_BUCKETS)
     depth = min(hash_bits, max(0, (n // capacity).bit_length()))
     while True:
         held = keys.groupBy(slot_of(F.col("key"), depth).alias("slot")).count()
@@ -65,7 +70,7 @@ def text_key(norm: Column, hash_bits: int = 64) -> Column:
     return key if hash_bits >= 64 else F.shiftleft(F.shiftrightunsigned(key, 64 - hash_bits), 64 - hash_bits)
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 200_000,
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int | None = None,
                 hash_bits: int = 64) -> tuple[DataFrame, DataFrame, tuple[DataFrame, int]]:
     """(entries, index, directory). Entries: a row for each document. Index: a row for each key, with its chain of texts.
 
@@ -85,7 +90,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = links.select("key", F.unhex(F.sha2("norm", 256)).alias("sha"), "n", "keep_id")
     links = links.join(chained, "key", "left_semi")  # drops what only shared a bit
     links = keys.filter("n = 1").select("key", "sha", "n", "keep_id").unionByName(links)
-    owned = links.withColumn("slot", slot_of(F.col("key"), depth)).join(directory, "slot").repartition("bucket")
+    owned = links.withColumn("slot", slot_of(F.col("key"), depth)).join(F.broadcast(directory), "slot").repartition("bucket")  # MOST_BUCKETS
     chain = F.sort_array(F.collect_list(F.struct("sha", "n", "keep_id")))  # the distinct texts of one 64-bit key
     index = owned.groupBy("bucket", "key").agg(F.sum("n").alias("rows"), chain.alias("chain"))
     return entries, materialize(index, "dedup-index", sort_by=["bucket", "key"]), (directory, depth)
@@ -94,7 +99,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """A row for each document: id, keep_id, group_size, kept, text_sha256."""
     entries, index, (directory, depth) = build_index(docs, id_col, text_col, **options)
-    probes = entries.withColumn("slot", slot_of(F.col("key"), depth)).join(directory, "slot").drop("slot", "depth")
+    probes = entries.withColumn("slot", slot_of(F.col("key"), depth)).join(F.broadcast(directory), "slot").drop("slot", "depth")
     out = join_by_size(probes, index, ["bucket", "key"], "rows")
     link = F.element_at(F.filter("chain", lambda x: x["sha"] == F.col("sha")), 1)
     out = out.withColumn("link", link).withColumn("keep", F.when(F.col("link.n") > 1, F.col("link.keep_id")).otherwise(F.col("id")))
