@@ -33,6 +33,8 @@ def sampled(rows: DataFrame, share: float, *by: Column) -> DataFrame:
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 #: Keys above this share of all rows are joined by broadcast; there are fewer than ``SHARES`` of them, whatever the input.
 SHARES = 1024
+#: A key of this many rows is no burden to a task, whatever its share.
+FEW_ROWS = 10_000
 
 
 class KeyFilter:
@@ -70,16 +72,19 @@ class KeyFilter:
 def join_by_size(rows: DataFrame, per: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``per``, which has a row per key and in ``weight`` how many rows the key has.
 
-    Keys that hold more than one part in ``SHARES`` of all rows are fewer than ``SHARES``: they
+    Keys that hold more than one part in ``SHARES`` of all rows (and ``FEW_ROWS``) are fewer than ``SHARES``: they
     are broadcast, so their rows stay where they are. The others are shuffled, and no task gets much
     of them. Keys are not null. ``rows`` is read twice, so it had better be a table.
     """
-    total = per.agg(F.sum(weight).alias("t")).first()["t"] or 0
-    hot = per.filter(F.col(weight) * SHARES > F.lit(total))
+    held = per.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total"), F.max(weight).alias("most")).first()
+    least = max(FEW_ROWS, held["total"] // SHARES)
+    if (held["most"] or 0) <= least:
+        return rows.join(per, on, how)
+    hot = per.filter(F.col(weight) > least)
     added = [c for c in per.columns if c not in on]
     by_hot = rows.join(F.broadcast(hot.select(*on, *added, F.lit(True).alias("_hot"))), on, "left")
     rest = by_hot.filter("_hot IS NULL").drop("_hot", *added)
-    cold = rest.join(per.filter(F.col(weight) * SHARES <= F.lit(total)), on, how)
+    cold = rest.join(per.filter(F.col(weight) <= least), on, how)
     return by_hot.filter("_hot").drop("_hot").unionByName(cold)
 
 

@@ -94,6 +94,7 @@ def test_hot_keys_are_broadcast_and_others_shuffled(spark, monkeypatch):
     from brightwater.llm import common
 
     monkeypatch.setattr(common, "SHARES", 4)
+    monkeypatch.setattr(common, "FEW_ROWS", 5)
     rows = spark.createDataFrame([(0 if i % 3 == 0 else i, i) for i in range(90)], "k long, v int")
     per = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("x", F.col("k") * 2)
     got = common.join_by_size(rows, per, ["k"], "n").collect()
