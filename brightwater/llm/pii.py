@@ -333,7 +333,7 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     rows = materialize(rows.withColumn("body", F.when(F.col("marked").isNull(), F.col("body"))), "pii-marked")
 
     marks, known = read_marks(F.col("marked"))
-    found = rows.filter("marked IS NOT NULL").select("row_key", F.array_distinct(marks).alias("marks"), known.alias("known"))
+    found = rows.filter("marked IS NOT NULL").select("row_key", marks.alias("marks"), known.alias("known"))
     single = F.transform(F.filter("marks", lambda m: m["kind"].isNotNull() & ~m["kind"].isin("person", "name")), lambda m: F.struct(m["kind"].alias("kind"), m["form"].alias("form")))
     named = F.transform("known", lambda k: F.struct(k["kind"].alias("kind"), k["form"].alias("form")))
     mentions = found.select("row_key", F.explode(F.concat(single, named)).alias("mark")).select("row_key", "mark.*")
@@ -353,8 +353,9 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         cased = lambda new: F.concat(F.when(e["upper"], F.upper(new)).otherwise(new), e["tail"])
         return F.when(e["kind"].isNull(), e["form"]).otherwise(_let(surrogate(e["kind"], e["form"], draw, key), cased))
 
-    out = both.withColumn("marks", marks).withColumn("known", known).withColumn("marks", only_known(F.col("marks"), F.col("known")))
-    out = out.withColumn("pieces", pieces_of(F.col("marks"), F.col("known")))
+    # Names are held by a variable: the optimizer would work them out anew at each mark.
+    out = both.withColumn("marks", marks).withColumn("known", known).withColumn("marks", _let(F.col("known"), lambda k: only_known(F.col("marks"), k)))
+    out = out.withColumn("pieces", _let(F.col("known"), lambda k: pieces_of(F.col("marks"), k)))
     kinds = F.filter(F.transform("marks", lambda e: e["kind"]), lambda k: k.isNotNull())
     out = out.withColumn("kinds", F.coalesce(kinds, F.array().cast("array<string>")))
     out = out.withColumn("new", F.when(F.col("marked").isNull(), F.col("body")).otherwise(F.array_join(F.transform("pieces", put), "")))
