@@ -45,7 +45,7 @@ def fill(raw: DataFrame, folder: str, known: DataFrame | None = None, archive_al
                 span = ticks.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
                 before = spark.read.schema(_ddl(ticks) + ", batch long").parquet(archive).filter(F.col("day").between(span["low"], span["high"]) & (F.col("batch") < number))
                 new = ticks.join(before.select(*KEY, "day"), [*KEY, "day"], "left_anti").select(*ticks.columns)
-            new.withColumn("batch", F.lit(number).cast("long")).write.partitionBy("day", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(archive)
+            new.repartition("day").withColumn("batch", F.lit(number).cast("long")).write.partitionBy("day", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(archive)
         newest = last_wins(ticks.drop("day").filter("ts IS NOT NULL"), ["symbol"], ["event_id"], guard="ts").select(*ticks.drop("day").columns)
         stored = spark.read.schema(_ddl(newest)).parquet(f"{quotes}/batch={number - 1}") if number else spark.createDataFrame([], newest.schema)
         merge(stored, newest, WriteSpec("quotes", ["symbol"], guard="ts")).write.mode("overwrite").parquet(f"{quotes}/batch={number}")
