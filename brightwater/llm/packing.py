@@ -221,7 +221,7 @@ class BestFit:
         return one, self.length - room
 
 
-def pack(pieces: DataFrame, length: int = 4096, open_bins: int = 64, shard_sequences: int = 256) -> DataFrame:
+def pack(pieces: DataFrame, length: int = 4096, open_bins: int = 64, shard_sequences: int = 1024) -> DataFrame:
     """``pieces`` (id, piece, length, ...) with sequence_id and offset, gapless from 0 in each sequence."""
     pieces = materialize(pieces, "pack-pieces")
     total = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("t")).first()["t"]
