@@ -1,7 +1,8 @@
 """Words, lines and n-grams of whole Arrow batches as numpy arrays, without a Python string per word.
 
-A word is hashed to 64 bits from its bytes and their places, so equal words have equal hashes
-everywhere, on every executor. Arrays are made half a megabyte of text at a time.
+A word is hashed to 64 bits from blocks of eight bytes, each sent through a non-linear mix that is another one at
+each place, so equal words have equal hashes everywhere, on every executor, and no family of words collides by
+construction. Arrays are made half a megabyte of text at a time.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ NEWLINE[0x0A] = True
 NOT_ALNUM = np.array([not (c >= 0x80 or chr(c).isalnum()) for c in range(256)])
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes of text that arrays of eight bytes a character are made of at once.
 _BLOCK = 1 << 19
+#: The first 0 to 8 bytes of a little-endian block.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -40,9 +42,9 @@ class Segments:
     each document starts.
     """
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, separators: np.ndarray):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, separators: np.ndarray | None = None, inside: np.ndarray | None = None):
         self.data, self.bounds = data, bounds
-        inside = ~separators[data]
+        inside = ~separators[data] if inside is None else inside
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         opens = bounds[:-1][bounds[:-1] < len(data)]
@@ -59,18 +61,19 @@ class Segments:
 
     def hashes(self) -> np.ndarray:
         out = np.zeros(len(self.start), np.uint64)
-        longest = int((self.end - self.start).max(initial=1))
-        power = np.cumprod(np.full(longest, _P, np.uint64))
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eights = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        blocks = (self.end - self.start + 7) >> 3
+        upto = np.concatenate([[0], np.cumsum(blocks)])
         i = 0
         while i < len(self.start):
-            j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + _BLOCK)))
-            low, starts, ends = self.start[i], self.start[i:j] - self.start[i], self.end[i:j] - self.start[i]
-            lengths = ends - starts
-            first = np.zeros(len(starts), np.int64)
-            first[1:] = np.cumsum(lengths)[:-1]
-            place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-            value = _BYTE[self.data[low + place + np.repeat(starts, lengths)]] * power[place]
-            out[i:j] = mix(np.add.reduceat(value, first) + lengths.astype(np.uint64) * _M2)
+            j = max(i + 1, int(np.searchsorted(upto, upto[i] + (_BLOCK >> 3), "right")) - 1)
+            first = upto[i:j] - upto[i]
+            place = np.arange(upto[j] - upto[i]) - np.repeat(first, blocks[i:j])
+            left = np.repeat(self.end[i:j] - self.start[i:j], blocks[i:j]) - 8 * place
+            block = eights[np.repeat(self.start[i:j], blocks[i:j]) + 8 * place] & _FIRST[np.minimum(left, 8)]
+            mixed = mix(block ^ mix(place.astype(np.uint64) * _P + _M1))
+            out[i:j] = mix(np.add.reduceat(mixed, first) + (self.end[i:j] - self.start[i:j]).astype(np.uint64) * _M2)
             i = j
         return out
 
@@ -114,3 +117,20 @@ def ngrams(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.
 def within(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Hashes that are equal only within the same document of the batch."""
     return mix(hashes ^ mix(doc.astype(np.uint64) + _P))
+
+
+def equal_runs(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether run i of ``a`` has the very bytes of run i of ``b``."""
+    same = (a_end - a_start) == (b_end - b_start)
+    at = np.flatnonzero(same)
+    lengths = (a_end - a_start)[at]
+    blocks = (lengths + 7) >> 3
+    if not blocks.sum():
+        return same
+    first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
+    place = 8 * (np.arange(int(blocks.sum())) - np.repeat(first, blocks))
+    mask = _FIRST[np.minimum(np.repeat(lengths, blocks) - place, 8)]
+    one, two = (np.ndarray(len(x) + 1, "<u8", np.concatenate([x, np.zeros(8, np.uint8)]), strides=(1,)) for x in (a, b))
+    differ = (one[np.repeat(a_start[at], blocks) + place] ^ two[np.repeat(b_start[at], blocks) + place]) & mask != 0
+    same[at[np.repeat(np.arange(len(at)), blocks)[differ]]] = False
+    return same
