@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import oracle
+from .decontamination import find_leaks
 from .exact_dedup import exact_dedup
 from .html_extract import html_extract
 from .language_id import language_id
@@ -19,6 +20,8 @@ from .packing import pack_documents
 from .pii import replace_pii
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
+from .ranked_search import ranked_search
+from .spelling import spelling_variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
