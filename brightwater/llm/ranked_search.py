@@ -125,7 +125,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, id_col: s
                     if now.n >= window or now.postings >= postings:
                         yield now.row(out)
                         now = _WindowOf()
-        if out is not None and now.n_docs:
+        if out is not None and (now.n_docs or now.n):
             yield now.row(out)
 
     return materialize(rows.mapInArrow(run, schema), "search-index")
