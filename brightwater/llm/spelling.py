@@ -5,7 +5,7 @@ words, the longer of L code points, everything before the first difference is sh
 places the pairs that first differ inside it lie in one group: those words of L or L - 1 code points that share the first a and the last L - b.
 The first windows are the halves [0, L/2) and [L/2, L): the words of a prefix, and those of a suffix. A group of more than
 ``most`` words is split into the halves of its window, down to windows of one place, where a group has no more words than the alphabet has
-letters. So each pair is found in exactly one group, and no group outgrows a task.
+letters. A letter of a run of equal ones can be missing at any place of the run; such a pair counts at the last one. So each pair counts in exactly one group, and no group outgrows a task.
 
 In a group the words' middles make a trie. A node's active nodes are those at distance one of it; they follow from its parent's by one step: the parent,
 the siblings, the children, and the children by the same letter of the parent's active nodes. A terminal node with an active terminal node is a pair.
@@ -174,14 +174,22 @@ class Trie:
                 todo.append((node, list(near)))
 
 
-def fold_group(words: list[str], counts: list[int], middles: list[str], shorter: list[bool]) -> Iterator[tuple[str, int, int, str]]:
-    """(word, near words, count of the best, best) for words of a group that have any. Two of the shorter length meet in another group."""
+def fold_group(words: list[str], counts: list[int], middles: list[str], shorter: list[bool], after: str) -> Iterator[tuple[str, int, int, str]]:
+    """(word, near words, count of the best, best) for words of a group that have any. ``after`` is the letter that follows all middles.
+
+    Two of the shorter length meet in another group, and so do two words of which one lacks the last letter before an equal one.
+    """
     near: dict[int, list] = {}
     for i, j in Trie(middles).pairs():
-        if not (shorter[i] and shorter[j]):
-            mine = near.setdefault(i, [0, (0, "")])
-            mine[0] += 1
-            mine[1] = min(mine[1], (-counts[j], words[j]))
+        if shorter[i] and shorter[j]:
+            continue
+        if shorter[i] != shorter[j]:
+            long, short = (j, i) if shorter[i] else (i, j)
+            if middles[long][-1] == after and middles[long][:-1] == middles[short]:
+                continue
+        mine = near.setdefault(i, [0, (0, "")])
+        mine[0] += 1
+        mine[1] = min(mine[1], (-counts[j], words[j]))
     for i, (n, (count, word)) in near.items():
         yield words[i], n, -count, word
 
@@ -209,9 +217,10 @@ def near_words(words: DataFrame, most: int = 4096) -> DataFrame:
             rows = np.concatenate([np.arange(first[g], first[g + 1]) for g in several]) if len(several) else np.zeros(0, np.int64)
             own = table.select(["word", "n", "middle", "shorter"]).take(pa.array(rows, pa.int64())).to_pydict()
             found, at = [], 0
-            for n in size[several].tolist():
+            tails = [k.rpartition("\u0001")[2][:1] for k in keys.take(pa.array(first[several], pa.int64())).to_pylist()]
+            for n, after in zip(size[several].tolist(), tails, strict=True):
                 part = slice(at, at + n)
-                found += fold_group(own["word"][part], own["n"][part], own["middle"][part], own["shorter"][part])
+                found += fold_group(own["word"][part], own["n"][part], own["middle"][part], own["shorter"][part], after)
                 at += n
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], out)
