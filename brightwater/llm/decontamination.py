@@ -243,13 +243,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
     marked = listed.mark(rows, F.xxhash64("_i", "_d"))
     near = marked.filter("bm_hit")
     near = near.join(gone, near["_i"].eqNullSafe(gone["gone_id"]) & near["_d"].eqNullSafe(gone["gone_digest"]), "left").select("doc.*", F.col("spans").alias("_spans"))
-    place = docs.columns.index(text_col)
+    names, place = docs.columns, docs.columns.index(text_col)
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             texts = [cut_words(t, s) for t, s in zip(b.column(place).to_pylist(), b.column(len(b.columns) - 1).to_pylist(), strict=True)]
             columns = list(b.columns[:-1])
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return marked.filter(~F.col("bm_hit")).select("doc.*").unionByName(near.mapInArrow(cut, docs.schema))
