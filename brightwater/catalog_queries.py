@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.series import ohlc
-from .plans import client, datasets, feed, gaps, lifecycle, market, merges, ops, reads, registry, relations, scalar_rules, terminal, upkeep  # noqa: F401  they register their queries
+from .plans import client, datasets, feed, fetching, gaps, lifecycle, market, merges, ops, reads, registry, relations, scalar_rules, terminal, upkeep  # noqa: F401  they register their queries
 from .plans.registry import query
 from .streaming import ticks  # noqa: F401
 
@@ -16,7 +16,7 @@ from .streaming import ticks  # noqa: F401
            max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close
     FROM events GROUP BY ALL""")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly bars of ``events``: one pass, no sort, ties broken by ``event_id``."""
+    """Hourly bars of ``events``: one pass of hash aggregates, ties broken by ``event_id``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return ohlc(events, ["user_id"], F.date_trunc("hour", "ts").cast("timestamp_ntz"), "value", ["ts", "event_id"])
 

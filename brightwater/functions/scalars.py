@@ -142,11 +142,6 @@ def linear(x: Column, low: Column, high: Column, start: float, end: float) -> Co
     return F.when(high == low, (start + end) / 2).otherwise(start + (x - low) / F.nullif(high - low, F.lit(0.0)) * (end - start))
 
 
-def canonical_json(columns: list[str]) -> Column:
-    """Sorted keys, nulls kept, so equal rows give equal text."""
-    return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
-
-
 # Session codes, exit codes, and patterns of error texts by kind (the first that fits counts).
 MARKET_HOURS = {0: "pre", 1: "regular", 2: "post", 3: "extended"}
 REGULAR = 1

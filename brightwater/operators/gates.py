@@ -5,23 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import canonical_json
+from ..functions.canonical import canonical_text, canonical_value
 
 
-def row_hash(df: DataFrame, volatile: list[str] = (), name: str = "content_hash") -> DataFrame:
-    return df.withColumn(name, F.sha2(canonical_json([c for c in df.columns if c not in volatile]), 256))
+#: Kinds that the JVM writes as canonical JSON does.
+_PLAIN = {"string", "byte", "short", "integer", "long", "boolean"}
+
+
+def row_hash(df: DataFrame, volatile: list[str] = (), name: str = "content_hash", bodies: list[str] = ()) -> DataFrame:
+    """Adds the hash of a row's canonical JSON without the ``volatile`` columns. ``bodies`` are columns of JSON text, of which the order of keys and the spacing don't count."""
+    columns = [c for c in df.columns if c not in volatile]
+    rows = df.withColumns({f"_b_{c}": canonical_text(F.col(f"`{c}`")) for c in bodies})
+    of = [F.col(f"_b_{c}").alias(c) if c in bodies else F.col(f"`{c}`") for c in sorted(columns)]
+    if all(df.schema[c].dataType.typeName() in _PLAIN for c in columns):
+        text = F.to_json(F.struct(*of), {"ignoreNullFields": "false"})
+    else:
+        text = canonical_value(F.struct(*of))
+    return rows.withColumn(name, F.sha2(text, 256)).drop(*[f"_b_{c}" for c in bodies])
 
 
 def group_hash(rows: DataFrame, identity: list[str], volatile: list[str] = ()) -> DataFrame:
     """identity, content_hash over all rows of an identity, whatever their order.
 
-    Rows are hashed first and equal ones counted, then the hashes of (row hash, count) are summed in slices of 64 bits: sums
-    don't depend on the order and are taken before the exchange, so an identity costs the same however many rows it has.
+    Rows are hashed and the hashes summed in slices of 64 bits, with their number: sums don't depend on the order, count repeats, and are taken before the
+    only exchange, so an identity costs the same however many rows it has.
     """
-    own = row_hash(rows, volatile, "_h").groupBy(*identity, "_h").agg(F.count("*").alias("_n"))
-    digest = F.sha2(F.concat_ws("|", "_h", "_n"), 256)
-    parts = [F.sum(F.conv(F.substring(digest, 16 * k + 1, 16), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
-    return own.groupBy(*identity).agg(F.sha2(F.concat_ws("|", *parts, F.sum("_n")), 256).alias("content_hash"))
+    own = row_hash(rows, volatile, "_h")
+    parts = [F.sum(F.conv(F.substring("_h", 16 * k + 1, 16), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    return own.groupBy(*identity).agg(F.sha2(F.concat_ws("|", *parts, F.count(F.lit(1))), 256).alias("content_hash"))
 
 
 def gate(incoming: DataFrame, stored: DataFrame, identity: list[str], full_refresh: bool = False) -> DataFrame:

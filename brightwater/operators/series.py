@@ -5,35 +5,90 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import MOST, cut, running
+
+
+def order_key(rows: DataFrame, order: list[str]) -> Column:
+    """A number that orders rows as ``order`` does: one or two columns of instants or whole numbers, the first one foremost; null if one of them is.
+
+    A struct orders too, but no hash aggregate keeps one in its buffers: rows would be sorted by key before they are combined.
+    """
+    def whole(c: str) -> Column:
+        kind = rows.schema[c].dataType.typeName()
+        if kind in ("timestamp", "timestamp_ntz"):
+            return F.unix_micros(F.col(c).cast("timestamp"))
+        if kind == "date":
+            return F.unix_date(c).cast("long")
+        if kind in ("byte", "short", "integer", "long"):
+            return F.col(c).cast("long")
+        raise ValueError(f"{c} is neither a whole number nor an instant")
+
+    if len(order) == 1:
+        return whole(order[0])
+    first, second = order
+    # 2**64 of the second for each of the first: 38 digits are enough for any instant up to the year 9999.
+    return whole(first).cast("decimal(19,0)") * F.lit(str(2**64)).cast("decimal(38,0)") + whole(second).cast("decimal(38,0)")
+
 
 def ohlc(ticks: DataFrame, key: list[str], bucket: Column, price: str, order: list[str]) -> DataFrame:
-    """One pass: first and last are ``min_by`` and ``max_by``, so nothing is sorted and map tasks combine."""
-    at = F.struct(*order)
+    """One hash aggregate, combined by the map tasks: first and last are ``min_by`` and ``max_by`` over a number that orders as ``order`` does."""
+    at = order_key(ticks, order)
     return ticks.groupBy(*key, bucket.alias("bar_ts")).agg(
         F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close"))
 
 
-def as_of_forward(actions: DataFrame, candles: DataFrame, key: list[str], at: str, value: str) -> DataFrame:
+#: Stands before everything that arrives.
+_SEED = -(2**63)
+
+
+def folded_candles(ticks: DataFrame, key: list[str], at: str, price: str, arrival: str, seconds: int, last: DataFrame | None = None, most: int | None = MOST) -> DataFrame:
+    """key, bar_ts, open, high, low, close: the bars that ticks draw, one after the other in the order of ``arrival`` (a whole number).
+
+    A tick of a later bucket than any before opens a bar at its price on all four legs, one of the same bucket extends the bar, and one of an older bucket is ignored,
+    however many come: a bar that was left is closed. ``last``: the bar to go on from, of the same columns, at most one a key. Ticks without a price or an instant are ignored.
+    Which bucket is reached is a running maximum, so order needs no state and a key's ticks are as many tasks' as they need.
+    """
+    instant = ticks.schema[at].dataType
+    bucket = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col(at).cast("timestamp")) / seconds) * seconds).cast(instant)
+    legs = ["open", "high", "low", "close"]
+    rows = ticks.filter(F.col(price).isNotNull() & F.col(at).isNotNull()).select(*key, F.col(arrival).cast("long").alias("_a"), bucket.alias("bar_ts"), *[F.col(price).alias(c) for c in legs])
+    if last is not None:
+        rows = rows.unionByName(last.select(*key, F.lit(_SEED).alias("_a"), "bar_ts", *legs))
+    reached = running(cut(rows, key, ["_a"], most), key, ["_a"], _reach=("max", F.col("bar_ts")))
+    drawn = reached.filter("_reach IS NULL OR bar_ts >= _reach")
+    return drawn.groupBy(*key, "bar_ts").agg(F.min_by("open", "_a").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "_a").alias("close"))
+
+
+def extended_sessions(ticks: DataFrame, key: list[str], at: str, price: str, arrival: str, last: DataFrame) -> DataFrame:
+    """``last`` (key, bar_ts, open, high, low, close; one daily bar a key) brought up to date by the ticks of its own UTC day. Other ticks draw nothing, as a
+    session's bar begins with the session and where the next one would begin isn't known. Ticks are summed up by key and day before they meet their bar."""
+    rows = ticks.filter(F.col(price).isNotNull() & F.col(at).isNotNull())
+    day = rows.groupBy(*key, F.to_date(at).alias("_d")).agg(F.max(price).alias("_h"), F.min(price).alias("_l"), F.max_by(price, F.col(arrival).cast("long")).alias("_c"))
+    bars = last.withColumn("_d", F.to_date("bar_ts")).join(day, [*key, "_d"], "left")
+    return bars.select(*key, "bar_ts", "open", F.greatest("high", "_h").alias("high"), F.least("low", "_l").alias("low"), F.coalesce("_c", "close").alias("close"))
+
+
+def as_of_forward(actions: DataFrame, candles: DataFrame, key: list[str], at: str, value: str, most: int | None = MOST) -> DataFrame:
     """Each action with the first candle at or after it. Those before the first or after the last candle are dropped.
 
-    Union and a window by key: no pairs of actions and candles are made.
+    Union and a two-level scan by key: no pairs of actions and candles are made, and a key's rows are as many tasks' as it needs. A key has one candle at an instant.
     """
     tagged = actions.withColumn("_c", F.lit(None).cast("struct<at:%s,value:%s>" % (candles.schema[at].dataType.simpleString(), candles.schema[value].dataType.simpleString()))).withColumn("_o", F.lit(0))
     marks = candles.select(*key, at, F.struct(F.col(at).alias("at"), F.col(value).alias("value")).alias("_c"), F.lit(1).alias("_o"))
-    both = tagged.unionByName(marks, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy(at, "_o")
-    ahead = F.first("_c", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    started = F.max("_o").over(Window.partitionBy(*key).orderBy(at).rangeBetween(Window.unboundedPreceding, 0))
-    out = both.withColumn("_n", ahead).withColumn("_s", started).filter("_o = 0 AND _n IS NOT NULL AND _s = 1")
+    both = cut(tagged.unionByName(marks, allowMissingColumns=True), key, [at, "_o"], most)
+    # At one instant the action stands before the candle, so the candle is behind it.
+    out = running(both, key, [at, "_o"], backward=True, _n=("last", F.col("_c")))
+    out = running(out, key, [at, "_o"], _s=("max", F.col("_o")))
+    out = out.filter("_o = 0 AND _n IS NOT NULL").filter((F.col("_s") == 1) | (F.col("_n.at") == F.col(at)))
     return out.select(*actions.columns, F.col("_n.at").alias("candle_ts"), F.col("_n.value").alias("candle_value"))
 
 
-def merged_ranges(ranges: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
-    """Overlapping or touching ranges become one."""
-    w = Window.partitionBy(*key).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = ranges.withColumn("_new", F.coalesce((F.col(start) > reach).cast("int"), F.lit(1)))
-    island = marked.withColumn("_i", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def merged_ranges(ranges: DataFrame, key: list[str], start: str, end: str, most: int | None = MOST) -> DataFrame:
+    """Overlapping or touching ranges become one. A key's ranges are as many tasks' as it needs: what is handed on is how far those before reach."""
+    rows = cut(ranges.select(*key, start, end), key, [start, end], most)
+    reached = running(rows, key, [start, end], _reach=("max", F.col(end)))
+    marked = reached.withColumn("_new", F.coalesce((F.col(start) > F.col("_reach")).cast("int"), F.lit(1)))
+    island = running(marked, key, [start, end], _i=("sum", F.col("_new"))).withColumn("_i", F.coalesce("_i", F.lit(0)) + F.col("_new"))
     return island.groupBy(*key, "_i").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_i")
 
 
@@ -50,10 +105,10 @@ def out_of_session(bars: DataFrame, sessions: DataFrame, day: str, ts: str) -> D
     return out.withColumn("is_extended", F.coalesce((F.col(ts) < F.col("opens")) | (F.col(ts) >= F.col("closes")), F.lit(False))).drop("opens", "closes")
 
 
-def gaps(ticks: DataFrame, key: list[str], ts: str, seconds: int) -> DataFrame:
+def gaps(ticks: DataFrame, key: list[str], ts: str, seconds: int, most: int | None = MOST) -> DataFrame:
     """(key, gap_start, gap_end) where two neighbours are further apart."""
-    w = Window.partitionBy(*key).orderBy(ts)
-    nxt = ticks.withColumn("gap_end", F.lead(ts).over(w)).withColumnRenamed(ts, "gap_start")
+    rows = cut(ticks.select(*key, ts), key, [ts], most)
+    nxt = running(rows, key, [ts], backward=True, gap_end=("last", F.col(ts))).withColumnRenamed(ts, "gap_start")
     apart = F.unix_timestamp(F.col("gap_end").cast("timestamp")) - F.unix_timestamp(F.col("gap_start").cast("timestamp"))
     return nxt.filter(apart > seconds).select(*key, "gap_start", "gap_end")
 
@@ -63,15 +118,19 @@ def last_rows(rows: DataFrame, key: list[str], order: list[Column], n: int) -> D
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def index_to_100(rows: DataFrame, key: list[str], at: str, value: str) -> DataFrame:
+def index_to_100(rows: DataFrame, key: list[str], at: str, value: str, most: int | None = MOST) -> DataFrame:
     """Adds ``indexed``: 100 at the first row of a key; null where that is 0."""
-    first = F.first(value).over(Window.partitionBy(*key).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return rows.withColumn("indexed", F.col(value) * 100 / F.nullif(first, F.lit(0.0)))
+    boxed = F.struct(F.col(value).alias("v"))  # a first value that is null is one too
+    out = running(cut(rows, key, [at], most), key, [at], _first=("first", boxed))
+    first = F.coalesce("_first", boxed)["v"]
+    return out.withColumn("indexed", F.col(value) * 100 / F.nullif(first, F.lit(0.0))).select(*rows.columns, "indexed")
 
 
-def changes(rows: DataFrame, key: list[str], at: str, value: str) -> DataFrame:
-    prev = F.lag(value).over(Window.partitionBy(*key).orderBy(at))
-    return rows.withColumn("prev", prev).withColumn("change", F.col(value) - F.col("prev")).withColumn("change_pct", (F.col(value) - F.col("prev")) / F.nullif(F.col("prev"), F.lit(0.0)) * 100)
+def changes(rows: DataFrame, key: list[str], at: str, value: str, most: int | None = MOST) -> DataFrame:
+    """Adds the value before, and the change from it, as a number and in per cent."""
+    out = running(cut(rows, key, [at], most), key, [at], _prev=("last", F.struct(F.col(value).alias("v")))).withColumn("prev", F.col("_prev.v"))
+    out = out.withColumn("change", F.col(value) - F.col("prev")).withColumn("change_pct", (F.col(value) - F.col("prev")) / F.nullif(F.col("prev"), F.lit(0.0)) * 100)
+    return out.select(*rows.columns, "prev", "change", "change_pct")
 
 
 #: Intervals whose stored bars a split rescales; longer ones come adjusted.

@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import merge
-from ..operators.series import last_rows, ohlc
+from ..operators import sampling, series
+from ..operators.series import last_rows
 from .registry import query, table
 
 
@@ -49,16 +49,6 @@ def instants(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count(expiry).alias("expiring"), F.count(time).alias("timed"))
 
 
-@query("str_07_every_nth_batch", """
-    WITH e AS (SELECT *, event_id // 500 AS batch FROM events) SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM e WHERE batch <= (SELECT max(batch) // 4 * 4 FROM e) GROUP BY 1""")
-def every_nth_batch(spark, d):
-    """Quotes are written at every fourth batch, with what has come until then; the newest instant wins."""
-    e = table(spark, d, "events").select("user_id", "ts", "event_id", F.floor(F.col("event_id") / 500).alias("batch"))
-    upto = e.agg((F.floor(F.max("batch") / 4) * 4).alias("upto"))
-    seen = e.join(F.broadcast(upto), F.col("batch") <= F.col("upto"))  # one row
-    return merge.last_wins(seen.select("user_id", "event_id", "ts").filter("ts IS NOT NULL"), ["user_id"], ["event_id"], guard="ts").select("user_id", "event_id")
-
-
 @query("str_08_late_ticks", """
     SELECT user_id, count(*) AS archived, arg_max(event_id, (ts, event_id)) AS quote FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END AS t FROM events) GROUP BY 1""".replace("(ts, event_id)", "(t, event_id)"))
 def late_ticks(spark, d):
@@ -81,13 +71,25 @@ def unknown_rejects(spark, d):
     return table(spark, d, "events").join(known, "user_id", "left_anti").groupBy("user_id", F.lit("unknown symbol").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("str_12_sampled_rejects", """
-    SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, event_id, n FROM (SELECT *, count(*) OVER w AS n, row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts, event_id) AS rn FROM events WINDOW w AS (PARTITION BY event_type, date_trunc('hour', ts))) WHERE rn <= 2""")
+def windows_sql(key: str, n: int) -> str:
+    """Windows by the rule itself: one begins at the first reject, the next at the first more than an hour later."""
+    on = " AND ".join(f"e.{k} = w.{k}" for k in key.split(", "))
+    return f"""
+    WITH RECURSIVE w AS (SELECT {key}, min(ts) AS s FROM events GROUP BY ALL UNION ALL SELECT {", ".join("w." + k for k in key.split(", "))}, (SELECT min(ts) FROM events e WHERE {on} AND e.ts > w.s + INTERVAL 1 HOUR) FROM w WHERE s IS NOT NULL),
+    a AS (SELECT e.*, w.s FROM events e ASOF JOIN (SELECT * FROM w WHERE s IS NOT NULL) w ON {on} AND e.ts >= w.s)
+    SELECT {key}, s AS window_start, event_id, (row_number() OVER (PARTITION BY {key}, s ORDER BY ts, event_id))::INT AS seen FROM a QUALIFY seen <= {n}"""
+
+
+@query("str_12_sampled_rejects", windows_sql("event_type", 2))
 def sampled_rejects(spark, d):
-    """Two a reason and hour are kept; the counter counts all, before the sampling. An hour bounds what a window holds."""
-    e = table(spark, d, "events").select("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "ts", "event_id")
-    n = e.groupBy("event_type", "hour").agg(F.count(F.lit(1)).alias("n"))
-    return last_rows(e, ["event_type", "hour"], [F.asc("ts"), F.asc("event_id")], 2).join(n, ["event_type", "hour"]).select("event_type", "hour", "event_id", "n")
+    """Two a reason are kept of each hour that a first reject opens: a stream of three batches, its windows held as state."""
+    from ..streaming.ticks import new_folder, replayed
+
+    folder = new_folder(spark)
+    e = replayed(spark, d, folder, batches=3).select("event_type", "event_id", "ts")
+    rows = sampling.sampled_stream(e, ["event_type"], "ts", ["event_id"], 2)
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/rejects").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rejects").select("event_type", "window_start", "event_id", "seen")
 
 
 @query("str_13_subscriptions", "SELECT c_custkey, CASE WHEN length(c_name) > 32 OR c_custkey % 9 = 0 THEN 'invalid' WHEN c_acctbal <= 0 THEN 'unknown' ELSE 'accepted' END AS outcome FROM customer")
@@ -98,14 +100,6 @@ def subscriptions(spark, d):
     return table(spark, d, "customer").select("c_custkey", outcome.alias("outcome"))
 
 
-@query("str_14_session_counters", "SELECT event_type, count(*) AS received, count(*) FILTER (value > 100) AS rejected FROM events GROUP BY 1")
-def session_counters(spark, d):
-    """Counters are flushed batch by batch and added up in the table."""
-    e = table(spark, d, "events")
-    flushes = e.groupBy((F.col("event_id") % 7).alias("batch"), "event_type").agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("value") > 100).alias("rejected"))
-    return flushes.groupBy("event_type").agg(F.sum("received").alias("received"), F.sum("rejected").alias("rejected"))
-
-
 @query("str_15_connection_health", "SELECT user_id, max(ts) AS heartbeat, max(ts) < TIMESTAMP '2024-01-30' - INTERVAL 20 MINUTE AS stale FROM events GROUP BY 1")
 def connection_health(spark, d):
     """The last heartbeat of a connection; stale after twice the rescan interval (ten minutes)."""
@@ -113,14 +107,6 @@ def connection_health(spark, d):
     return out.withColumn("stale", F.col("heartbeat") < F.expr("timestamp_ntz'2024-01-30' - INTERVAL 20 MINUTE"))
 
 
-@query("str_17_publish_after_commit", "SELECT count(*) AS published FROM events WHERE event_id // 500 < 15")
-def publish_after_commit(spark, d):
-    """Only ticks of committed batches are fanned out."""
-    e = table(spark, d, "events").withColumn("batch", F.floor(F.col("event_id") / 500))
-    committed = spark.range(15).select(F.col("id").alias("batch"))
-    return e.join(F.broadcast(committed), "batch", "left_semi").agg(F.count(F.lit(1)).alias("published"))  # a row a batch
-
-
 @query("str_18_live_session", """
     WITH s AS (SELECT user_id, max(ts) AS snap FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1), l AS (SELECT e.* FROM events e LEFT JOIN s USING (user_id) WHERE snap IS NULL OR ts >= snap),
     q AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM l)
@@ -134,13 +120,44 @@ def live_session(spark, d):
     return last_rows(live, ["user_id"], [F.desc("ts"), F.desc("event_id")], 10).join(n, "user_id").select("user_id", "event_id", "dropped")
 
 
-@query("str_19_live_candles", """
-    WITH t AS (SELECT * FROM events WHERE event_type IN ('purchase', 'click') AND value > 0)
-    SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts)::TIMESTAMP AS bar_ts, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close FROM t GROUP BY ALL""")
+_LATE = "CASE WHEN event_id % 20 = 0 THEN ts - INTERVAL 3 HOUR ELSE ts END"
+_LIVE = f"""t AS (SELECT user_id, event_id, {_LATE} AS told, date_trunc('hour', {_LATE})::TIMESTAMP AS bar_ts, value FROM events WHERE event_type IN ('purchase', 'click') AND value > 0),
+    m AS (SELECT *, max(bar_ts) OVER (PARTITION BY user_id ORDER BY event_id) AS reach FROM t)"""
+_DRAWN = """SELECT user_id, bar_ts, arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close FROM m WHERE bar_ts >= reach GROUP BY ALL"""
+
+
+def _live(e):
+    """Every twentieth tick tells of three hours ago; those of other sessions or without a price are ignored."""
+    late = F.when(F.col("event_id") % 20 == 0, F.expr("ts - INTERVAL 3 HOUR")).otherwise(F.col("ts"))
+    return e.filter("event_type IN ('purchase', 'click') AND value > 0").select("user_id", "event_id", late.alias("at"), "value")
+
+
+@query("str_19_live_candles", f"WITH {_LIVE} {_DRAWN}")
 def live_candles(spark, d):
-    """Ticks folded into the bar of their hour; those of other sessions or without a price are ignored, late ones still fall into theirs."""
-    t = table(spark, d, "events").filter("event_type IN ('purchase', 'click') AND value > 0")
-    return ohlc(t, ["user_id"], F.date_trunc("hour", "ts").cast("timestamp_ntz"), "value", ["ts", "event_id"])
+    """Ticks in the order they come: a later bucket opens a bar, its own extends it, an older one is ignored."""
+    return series.folded_candles(_live(table(spark, d, "events")), ["user_id"], "at", "value", "event_id", 3600)
+
+
+@query("str_19_stream_of_candles", f"WITH {_LIVE} {_DRAWN}")
+def stream_of_candles(spark, d):
+    """The same bars from a stream of four batches that keeps each symbol's last bar as state."""
+    from ..streaming.candles import bars_of, fold
+    from ..streaming.ticks import new_folder, replayed
+
+    folder = new_folder(spark)
+    fold(_live(replayed(spark, d, folder)), folder, "user_id", "at", "value", "event_id", 3600)
+    return bars_of(spark, folder, "user_id")
+
+
+@query("str_19_live_sessions", f"""
+    WITH {_LIVE}, b AS (SELECT user_id, max(ts) AS bar_ts FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1), d AS (SELECT b.user_id, b.bar_ts, max(value) AS h, min(value) AS l, arg_max(value, event_id) AS c FROM b LEFT JOIN t ON t.user_id = b.user_id AND told::DATE = b.bar_ts::DATE GROUP BY ALL)
+    SELECT user_id, bar_ts, 50.0::DOUBLE AS open, greatest(60.0, coalesce(h, 60.0))::DOUBLE AS high, least(40.0, coalesce(l, 40.0))::DOUBLE AS low, coalesce(c, 55.0)::DOUBLE AS close FROM d""")
+def live_sessions(spark, d):
+    """Daily bars are only ever extended, by ticks of their own UTC day."""
+    e = table(spark, d, "events")
+    last = e.filter("event_type = 'view' AND ts < timestamp_ntz'2024-01-20'").groupBy("user_id").agg(F.max("ts").alias("bar_ts"))
+    last = last.select("user_id", "bar_ts", *[F.lit(x).alias(c) for c, x in (("open", 50.0), ("high", 60.0), ("low", 40.0), ("close", 55.0))])
+    return series.extended_sessions(_live(e), ["user_id"], "at", "value", "event_id", last)
 
 
 @query("str_20_tape", "SELECT user_id, ts, event_id FROM (SELECT user_id, ts, min(event_id) AS event_id FROM events GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 20")
@@ -167,10 +184,12 @@ def gap_reconciliation(spark, d):
 
 @query("str_27_usage", "SELECT user_id, ts::DATE::VARCHAR AS day, count(*) AS calls FROM events WHERE ts < TIMESTAMP '2024-01-25' GROUP BY ALL")
 def usage(spark, d):
-    """Daily usage, added up over flushes; today isn't reported yet."""
-    e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
-    flushed = e.filter(F.col("day") < F.lit("2024-01-25").cast("date")).groupBy("user_id", "day", (F.col("event_id") % 3).alias("flush")).agg(F.count(F.lit(1)).alias("calls"))
-    return flushed.groupBy("user_id", F.col("day").cast("string").alias("day")).agg(F.sum("calls").alias("calls"))
+    """Daily usage: what was metered since the last flush, at some noon, is added to what the table holds; today isn't reported yet."""
+    calls = table(spark, d, "events").filter(F.col("ts") < _ts("2024-01-25")).select("user_id", F.to_date("ts").cast("string").alias("day"), "ts")
+    of = lambda rows: rows.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("calls"))
+    stored, flushed = of(calls.filter(F.col("ts") < _ts("2024-01-15 12:00:00"))), of(calls.filter(F.col("ts") >= _ts("2024-01-15 12:00:00")))
+    both = stored.join(flushed.withColumnRenamed("calls", "more"), ["user_id", "day"], "full")
+    return both.select("user_id", "day", (F.coalesce("calls", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("calls"))
 
 
 @query("snk_04_tick_outbox", """

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import series
+from ..operators import sampling, series
+from .feed import windows_sql
 from .registry import query, table
 
 _HISTORY = "h AS (SELECT l_partkey AS symbol, l_shipdate::DATE::VARCHAR AS day, max(l_extendedprice) AS close FROM lineitem GROUP BY ALL)"
@@ -72,13 +72,13 @@ def last_rows(spark, d):
 
 @query("win_08_index_100", f"WITH {_HISTORY} SELECT symbol, day, close, close * 100 / nullif(first_value(close) OVER (PARTITION BY symbol ORDER BY day), 0) AS indexed FROM h")
 def index_100(spark, d):
-    return series.index_to_100(history(spark, d), ["symbol"], "day", "close")
+    return series.index_to_100(history(spark, d), ["symbol"], "day", "close", most=None)  # a row a day
 
 
 @query("win_09_changes", f"""WITH {_HISTORY}, l AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY day) AS prev FROM h)
     SELECT symbol, day, close, prev, close - prev AS change, (close - prev) / nullif(prev, 0) * 100 AS change_pct FROM l""")
 def changes(spark, d):
-    return series.changes(history(spark, d), ["symbol"], "day", "close")
+    return series.changes(history(spark, d), ["symbol"], "day", "close", most=None)  # a row a day
 
 
 @query("mrg_23_rescale", """
@@ -124,9 +124,15 @@ def financial_pivot(spark, d):
     return out.withColumnsRenamed({"1996": "y1996", "1997": "y1997", "1998": "y1998"})
 
 
-@query("win_15_hour_sample", """
-    SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts) ORDER BY ts, event_id) <= 2""")
+@query("win_15_hour_sample", windows_sql("user_id, event_type", 2))
 def hour_sample(spark, d):
-    """At most two rejects for a symbol and reason in an hour."""
-    w = Window.partitionBy("user_id", "event_type", F.date_trunc("hour", "ts")).orderBy("ts", "event_id")
-    return table(spark, d, "events").withColumn("_n", F.row_number().over(w)).filter("_n <= 2").select("event_id", "user_id", "event_type")
+    """At most two rejects for a symbol and reason in an hour that begins with the first of them: the batch form, by pointer jumping."""
+    e = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
+    return sampling.sampled(e, ["user_id", "event_type"], "ts", ["event_id"], 2).select("user_id", "event_type", "window_start", "event_id", "seen")
+
+
+@query("win_15_hour_sample_by_reason", windows_sql("event_type", 2))
+def hour_sample_by_reason(spark, d):
+    """The same rows as the stream keeps (STR-12)."""
+    e = table(spark, d, "events").select("event_type", "event_id", "ts")
+    return sampling.sampled(e, ["event_type"], "ts", ["event_id"], 2).select("event_type", "window_start", "event_id", "seen")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.canonical import canonical_row, canonical_text
 from .registry import query, table
 
 #: What replaces a price's text, by the key's remainder by 12.
@@ -64,12 +65,20 @@ def epoch(spark, d):
     return table(spark, d, "events").select("event_id", S.epoch_within(s, "s").cast("timestamp_ntz").alias("s"), S.epoch_within(ms, "ms").cast("timestamp_ntz").alias("ms"))
 
 
-@query("scl_10_canonical_json", """SELECT c_custkey, '{"a":' || c_custkey || ',"b":' || CASE WHEN c_nationkey = 3 THEN 'null' ELSE '"' || c_mktsegment || '"' END || ',"c":{"n":' || c_nationkey || '}}' AS body FROM customer""")
+@query("scl_10_canonical_json", """SELECT c_custkey, '{"a":' || (c_custkey / 1e9)::DOUBLE::VARCHAR || ',"b":' || CASE WHEN c_nationkey = 3 THEN 'null' ELSE '"' || c_mktsegment || '"' END || ',"c":{"k":null,"n":' || c_nationkey || ',"z":[' || (c_custkey * 1e15)::DOUBLE::VARCHAR || ',null]}}' AS body FROM customer""")
 def canonical_json(spark, d):
-    """Keys in order, compact, nulls kept, whatever order the columns have."""
-    c = table(spark, d, "customer")
-    row = c.select("c_custkey", F.struct(F.col("c_nationkey").alias("n")).alias("c"), F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("b"), F.col("c_custkey").alias("a"))
-    return row.select("c_custkey", S.canonical_json(["c", "b", "a"]).alias("body"))
+    """Keys in order at every level, compact, nulls kept, numbers as short as they go, no NaN, whatever order the columns have."""
+    nan = F.lit(float("nan"))
+    inner = F.struct(F.array(F.col("c_custkey") * 1e15, F.lit(float("inf"))).alias("z"), F.col("c_nationkey").alias("n"), nan.alias("k"))
+    row = table(spark, d, "customer").select("c_custkey", inner.alias("c"), F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("b"), (F.col("c_custkey") / 1e9).alias("a"))
+    return row.select("c_custkey", canonical_row(["c", "b", "a"]).alias("body"))
+
+
+@query("scl_10_canonical_bodies", """SELECT event_id, sha256('{"id":' || event_id || ',"nested":{"a":{"x":1e-07,"y":[1,2.5,"é"]},"b":null,"value":' || value::VARCHAR || '},"props":' || replace(props, ' ', '') || '}') AS payload_hash FROM events""")
+def canonical_bodies(spark, d):
+    """Bodies of JSON text whose keys come in another order at two levels, and with spaces, hash as the canonical text does."""
+    body = F.concat(F.lit('{ "props": '), F.col("props"), F.lit(', "nested" : {"value":'), F.col("value").cast("string"), F.lit(', "b": NaN, "a": {"y": [1, 2.50, "é"], "x": 0.0000001}}, "id": '), F.col("event_id").cast("string"), F.lit("}"))
+    return table(spark, d, "events").select("event_id", S.content_hash(canonical_text(body)).alias("payload_hash"))
 
 
 @query("scl_13_person_name", "SELECT c_custkey, 'Ms ' || c_mktsegment || ' ' || c_nationkey AS name FROM customer")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.canonical import canonical_row
 
 
 @dataclass(frozen=True)
@@ -281,7 +282,7 @@ def frame_rows(raw: DataFrame, key: str, fields: list[Field]) -> DataFrame:
 def hashed_rows(raw: DataFrame, at: str, parts: list[str], fields: list[Field]) -> DataFrame:
     """A row per record that differs from the others of its day or instant, told apart by ``fact_hash``; those without it are dropped."""
     out = raw.select(*BASE, F.posexplode(F.from_json("payload", "array<map<string,string>>")).alias("_at", "_m"))
-    out = out.select(*BASE, "_at", *_typed(F.col("_m"), fields)).filter(F.col(at).isNotNull()).withColumn("fact_hash", F.substring(S.content_hash(S.canonical_json(parts)), 1, 16))
+    out = out.select(*BASE, "_at", *_typed(F.col("_m"), fields)).filter(F.col(at).isNotNull()).withColumn("fact_hash", F.substring(S.content_hash(canonical_row(parts)), 1, 16))
     others = [f.target for f in fields if f.target != at]
     last = out.groupBy(*BASE, at, "fact_hash").agg(F.max_by(F.struct(*others), "_at").alias("_r"))
     return last.select(*BASE, at, "fact_hash", "_r.*")
