@@ -47,6 +47,11 @@ def to_flag(text: Column) -> Column:
     return F.when(t.isin(TRUE), True).when(t.isin(FALSE), False)
 
 
+def number_flag(x: Column) -> Column:
+    """The truth value of a number: whether it isn't 0; a missing one (null, NaN) has none."""
+    return F.when(~is_missing_number(x.cast("double")), x != 0)
+
+
 def to_price(x: Column) -> Column:
     """By the shortest digits that give the double back."""
     return F.when(~is_missing_number(x), x.cast("string").try_cast(KINDS["price"]))

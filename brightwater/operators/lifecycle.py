@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.canonical import canonical_text
 from .gates import gate, row_hash
 from .merge import WriteSpec, classified
 
@@ -34,8 +35,10 @@ def routed(changes: DataFrame, table: Column) -> DataFrame:
 def envelope(changes: DataFrame, dataset: str, table: str, run_id: str, occurred_at: Column) -> DataFrame:
     """Version 1 of a published change as one JSON text a row, and its partition key."""
     out = routed(changes, F.lit(table))
-    body = F.struct(F.lit(1).alias("v"), "op", "family", F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), "key", "row", F.lit(run_id).alias("run_id"), occurred_at.alias("occurred_at"))
-    return out.select(F.call_function("get_json_object", F.col("key"), F.concat(F.lit("$."), F.col("partition_col"))).alias("partition_key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
+    head = F.to_json(F.struct(F.lit(1).alias("v"), "op", "family", F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), F.lit(run_id).alias("run_id"), occurred_at.alias("occurred_at")), {"ignoreNullFields": "false"})
+    # Key and row are JSON already, and stand in the body as what they are.
+    body = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"key":'), F.coalesce("key", F.lit("null")), F.lit(',"row":'), F.coalesce("row", F.lit("null")), F.lit("}"))
+    return out.select(F.call_function("get_json_object", F.col("key"), F.concat(F.lit("$."), F.col("partition_col"))).alias("partition_key"), canonical_text(body).alias("body"))
 
 
 def purge(tables: dict[str, DataFrame], symbols: DataFrame) -> dict[str, DataFrame]:

@@ -1,7 +1,7 @@
 """Idempotent merges as joins: dedupe, upsert, monotonic and guarded columns, scope replacement, change events.
 
 A target and what comes in are DataFrames; a merge gives the new target, to be written beside the old
-one and swapped in. Each needs one shuffle by key on either side, none if both are bucketed by it.
+one and swapped in. Each needs one shuffle by key on either side, none of the target if that is bucketed by it (``layout``).
 """
 
 from __future__ import annotations

@@ -92,6 +92,18 @@ def merged_ranges(ranges: DataFrame, key: list[str], start: str, end: str, most:
     return island.groupBy(*key, "_i").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_i")
 
 
+def inside(points: DataFrame, windows: DataFrame, key: list[str], at: str, start: str, end: str, most: int | None = MOST) -> DataFrame:
+    """Rows of ``points`` whose instant lies in a half-open window of their key, each once. Windows may overlap and be empty.
+
+    Windows are merged first; the last one to have begun tells then, which is a scan and no join: time grows with points and windows, not with their pairs.
+    """
+    whole = merged_ranges(windows.filter(F.col(start) < F.col(end)), key, start, end, most)
+    marks = whole.select(*key, F.col(start).alias("_p"), F.lit(0).alias("_o"), F.col(end).alias("_e"))
+    tagged = points.withColumns({"_p": F.col(at), "_o": F.lit(1), "_e": F.lit(None).cast(windows.schema[end].dataType)}).filter(F.col(at).isNotNull())
+    both = running(cut(tagged.unionByName(marks, allowMissingColumns=True), key, ["_p", "_o"], most), key, ["_p", "_o"], _until=("last", F.col("_e")))
+    return both.filter("_o = 1 AND _p < _until").select(*points.columns)
+
+
 def sliced(ranges: DataFrame, start: str, end: str, days: int) -> DataFrame:
     """Half-open day ranges in windows of at most ``days`` days."""
     firsts = F.sequence(F.col(start), F.date_sub(F.col(end), 1), F.expr(f"INTERVAL {days} DAYS"))

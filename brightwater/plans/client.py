@@ -42,22 +42,36 @@ def screen_heat(spark, d):
     return table(spark, d, "part").filter("p_size < 20").select("p_partkey", "p_brand").join(q, "p_partkey").filter("cap > 0")
 
 
+def folded_cells(rows, group: str, key: str, value: str, most: int = 400):
+    """group, cell, cap: the cells of each group's map. Of more than ``most`` the largest stay and one cell holds all others, named by how many they are.
+
+    Values that aren't above 0 aren't drawn. The largest are picked within each task before any row travels, and the others are only summed.
+    """
+    usable = rows.filter(F.col(value) > 0).select(group, F.col(key).cast("string").alias("cell"), F.col(value).cast("decimal(28,6)").alias("cap"), F.col(key).alias("_k"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("cap"), F.asc("_k")))
+    top = usable.withColumn("_n", rank).filter(F.col("_n") <= most)
+    held = top.groupBy(group).agg(F.count_if(F.col("_n") < most).alias("_kept"), F.sum(F.when(F.col("_n") < most, F.col("cap"))).alias("_sum"))
+    rest = usable.groupBy(group).agg(F.count(F.lit(1)).alias("_all"), F.sum("cap").alias("_total")).filter(F.col("_all") > most).join(held, group)
+    other = rest.select(group, F.concat(F.lit("Other ("), (F.col("_all") - F.col("_kept")).cast("string"), F.lit(")")).alias("cell"), (F.col("_total") - F.col("_sum")).alias("cap"))
+    kept = top.join(rest.select(group, F.lit(True).alias("_more")), group, "left").filter((F.col("_n") < most) | F.col("_more").isNull())
+    return kept.select(group, "cell", "cap").unionByName(other)
+
+
 def squarify(sizes: list[float], x: float, y: float, w: float, h: float) -> list[tuple[float, float, float, float]]:
     """Rectangles of a treemap in the order of descending sizes: rows along the shorter side, closed where another member would make them less square."""
     total, out, at = sum(sizes), [], 0
     scale = w * h / total if total else 0.0
     areas = [s * scale for s in sizes]
     while at < len(areas):
-        side, row, best = min(w, h), [], float("inf")
+        side, n, held, best = min(w, h), 0, 0.0, float("inf")
         for a in areas[at:]:
-            s = sum(row) + a
-            worst = max(side * side * max([*row, a]) / (s * s), s * s / (side * side * min([*row, a]))) if s and side else float("inf")
-            if row and worst > best:
+            s = held + a
+            worst = max(side * side * areas[at] / (s * s), s * s / (side * side * a)) if s and side else float("inf")  # the first of a row is its largest, the one that comes its least
+            if n and worst > best:
                 break
-            row.append(a)
-            best = worst
-        thick, along = (sum(row) / side if side else 0.0), 0.0
-        for a in row:
+            n, held, best = n + 1, s, worst
+        thick, along = (held / side if side else 0.0), 0.0
+        for a in areas[at:at + n]:
             length = a / thick if thick else 0.0
             out.append((x, y + along, thick, length) if w >= h else (x + along, y, length, thick))
             along += length
@@ -65,25 +79,38 @@ def squarify(sizes: list[float], x: float, y: float, w: float, h: float) -> list
             x, w = x + thick, w - thick
         else:
             y, h = y + thick, h - thick
-        at += len(row)
+        at += n
     return out
 
 
-@query("uia_07_treemap", "SELECT p_brand, count(*) AS n, 100.0::DOUBLE AS width, 60.0::DOUBLE AS height, true AS fills FROM part GROUP BY 1")
+_WORST = "greatest(least(w, h) ** 2 * rem[1] / list_sum(rem[1:{k}]) ** 2, list_sum(rem[1:{k}]) ** 2 / (least(w, h) ** 2 * rem[{k}]))"
+_ROW = f"coalesce(list_filter(range(1, len(rem)), lambda k: {_WORST.format(k='(k + 1)')} > {_WORST.format(k='k')})[1], len(rem))"
+
+
+@query("uia_07_treemap", f"""
+    WITH RECURSIVE c AS (SELECT p_brand, p_partkey, p_retailprice::DECIMAL(28,6) AS cap, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn, count(*) OVER (PARTITION BY p_brand) AS n FROM part WHERE p_retailprice > 0),
+    k AS (SELECT p_brand, p_partkey::VARCHAR AS cell, cap FROM c WHERE n <= 60 OR rn < 60 UNION ALL SELECT p_brand, 'Other (' || count(*) || ')', sum(cap) FROM c WHERE n > 60 AND rn >= 60 GROUP BY 1),
+    g AS (SELECT p_brand, list(cell ORDER BY cap DESC, cell) AS cells, list(cap::DOUBLE ORDER BY cap DESC, cell) AS caps, sum(cap)::DOUBLE AS total FROM k GROUP BY 1),
+    t AS (SELECT p_brand, cells, list_transform(caps, lambda v: v * (6000.0::DOUBLE / total)) AS rem, 0.0::DOUBLE AS x, 0.0::DOUBLE AS y, 100.0::DOUBLE AS w, 60.0::DOUBLE AS h FROM g
+          UNION ALL SELECT p_brand, cells[n + 1:], rem[n + 1:], CASE WHEN w >= h THEN x + thick ELSE x END, CASE WHEN w >= h THEN y ELSE y + thick END, CASE WHEN w >= h THEN w - thick ELSE w END, CASE WHEN w >= h THEN h ELSE h - thick END
+          FROM (SELECT *, list_sum(rem[1:n]) / least(w, h) AS thick FROM (SELECT *, {_ROW} AS n FROM t WHERE len(rem) > 0))),
+    r AS (SELECT *, list_sum(rem[1:n]) / least(w, h) AS thick FROM (SELECT *, {_ROW} AS n FROM t WHERE len(rem) > 0)),
+    b AS (SELECT *, coalesce(list_sum(rem[1:i - 1]), 0) / thick AS along, rem[i] / thick AS long FROM r, LATERAL (SELECT unnest(range(1, n + 1)) AS i))
+    SELECT p_brand, cells[i] AS cell, round(CASE WHEN w >= h THEN x ELSE x + along END, 6) AS x, round(CASE WHEN w >= h THEN y + along ELSE y END, 6) AS y, round(CASE WHEN w >= h THEN thick ELSE long END, 6) AS width, round(CASE WHEN w >= h THEN long ELSE thick END, 6) AS height FROM b""")
 def treemap(spark, d):
-    """A map for each group, laid out by a task; members of a group are few by nature. The SQL holds what must be true of any layout: all members, the whole area, no edge crossed."""
+    """A map for each group: its 60 cells at most, folded before they meet, are laid out by one task."""
     import pandas as pd
 
-    schema = T.StructType([T.StructField("p_brand", T.StringType()), T.StructField("p_partkey", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("x", "y", "w", "h")]])
+    schema = T.StructType([T.StructField("p_brand", T.StringType()), T.StructField("cell", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in ("x", "y", "width", "height")]])
 
     def lay(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["cap", "p_partkey"], ascending=[False, True])
-        boxes = pd.DataFrame(squarify(frame["cap"].tolist(), 0.0, 0.0, 100.0, 60.0), columns=["x", "y", "w", "h"])
-        return pd.concat([frame[["p_brand", "p_partkey"]].reset_index(drop=True), boxes], axis=1)
+        frame = frame.sort_values(["cap", "cell"], ascending=[False, True])
+        boxes = pd.DataFrame(squarify(frame["cap"].tolist(), 0.0, 0.0, 100.0, 60.0), columns=["x", "y", "width", "height"])
+        return pd.concat([frame[["p_brand", "cell"]].reset_index(drop=True), boxes], axis=1)
 
-    laid = table(spark, d, "part").select("p_brand", "p_partkey", F.col("p_retailprice").alias("cap")).groupBy("p_brand").applyInPandas(lay, schema)
-    edge = lambda a, b: F.round(F.max(F.col(a) + F.col(b)), 6)
-    return laid.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), edge("x", "w").alias("width"), edge("y", "h").alias("height"), (F.abs(F.sum(F.col("w") * F.col("h")) - 6000) < 1e-6).alias("fills"))
+    cells = folded_cells(table(spark, d, "part"), "p_brand", "p_partkey", "p_retailprice", most=60).withColumn("cap", F.col("cap").cast("double"))
+    laid = cells.groupBy("p_brand").applyInPandas(lay, schema)
+    return laid.select("p_brand", "cell", *[F.round(c, 6).alias(c) for c in ("x", "y", "width", "height")])
 
 
 @query("uia_08_target_range", """

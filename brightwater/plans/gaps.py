@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import series
+from ..operators import merge, series
 from .registry import query, table
 
 _GAPS = """g AS (SELECT user_id, ts AS gap_start, nxt AS gap_end FROM (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS nxt FROM events) WHERE epoch(nxt)::BIGINT - epoch(ts)::BIGINT > 36000)"""
@@ -14,15 +14,13 @@ def _open(spark, d):
     return series.gaps(table(spark, d, "events").select("user_id", "ts"), ["user_id"], "ts", 36000)
 
 
-@query("jon_20_gaps_in_windows", f"""WITH {_GAPS}, w AS (SELECT c_custkey AS user_id, TIMESTAMP '2024-01-01' + to_days((c_custkey % 20)::INT) AS a FROM customer)
+@query("jon_20_gaps_in_windows", f"""WITH {_GAPS}, w AS (SELECT c_custkey AS user_id, TIMESTAMP '2024-01-01' + to_days(((c_custkey + 7 * k) % 20)::INT) AS a FROM customer, range(2) r(k))
     SELECT user_id, gap_start FROM g WHERE EXISTS (SELECT 1 FROM w WHERE w.user_id = g.user_id AND gap_start >= a AND gap_start < a + INTERVAL 5 DAY)""")
 def gaps_in_windows(spark, d):
-    """A gap is closed if a fetched window of its symbol holds its start: equality by symbol first, then the range."""
-    start = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(c_custkey % 20 as int))")
-    w = table(spark, d, "customer").select(F.col("c_custkey").alias("w_user"), start.alias("a"))
-    w = w.withColumn("b", F.expr("a + INTERVAL 5 DAYS"))
-    g = _open(spark, d)
-    return g.join(w, (g.user_id == w.w_user) & (g.gap_start >= w.a) & (g.gap_start < w.b), "left_semi").select("user_id", "gap_start")
+    """A gap is closed if a fetched window of its symbol holds its start. Windows overlap; no pairs of gaps and windows are made."""
+    start = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast((c_custkey + 7 * k) % 20 as int))")
+    w = table(spark, d, "customer").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.col("c_custkey").alias("user_id"), start.alias("a"))
+    return series.inside(_open(spark, d), w.withColumn("b", F.expr("a + INTERVAL 5 DAYS")), ["user_id"], "gap_start", "a", "b").select("user_id", "gap_start")
 
 
 @query("agg_20_gap_summary", f"""WITH {_GAPS} SELECT user_id, count(*) AS n, count(*) FILTER (gap_end - gap_start > INTERVAL 1 DAY) AS long_ones, min(gap_start) AS oldest FROM g GROUP BY 1""")
@@ -64,10 +62,16 @@ def unseeded_splits(spark, d):
     return s.filter("ts > first_bar").agg(F.count(F.lit(1)).alias("unseeded"))
 
 
-@query("mrg_29_gap_close", f"""WITH {_GAPS} SELECT user_id, gap_start, CASE WHEN gap_end < TIMESTAMP '2024-01-20' THEN gap_end END AS resolved_at FROM g""")
+@query("mrg_29_gap_close", f"""WITH {_GAPS}, k AS (SELECT DISTINCT user_id, gap_start FROM g), s AS (SELECT user_id, gap_start, gap_end - INTERVAL 1 HOUR AS gap_end, CASE WHEN gap_end < TIMESTAMP '2024-01-10' THEN gap_end END AS resolved_at FROM g WHERE day(gap_start) < 20)
+    SELECT g.user_id, g.gap_start, g.gap_end, CASE WHEN extract(hour FROM g.gap_start) < 12 THEN TIMESTAMP '2024-02-01' ELSE s.resolved_at END AS resolved_at FROM g LEFT JOIN s USING (user_id, gap_start)""")
 def gap_close(spark, d):
-    """A close only ever sets ``resolved_at``; it never opens a gap again."""
-    return _open(spark, d).select("user_id", "gap_start", F.when(F.col("gap_end") < F.lit("2024-01-20").cast("timestamp_ntz"), F.col("gap_end")).alias("resolved_at"))
+    """Two upserts into one table that share no column but the key: found gaps set their end and never whether they are resolved, closed ones set when they were and nothing else."""
+    g = _open(spark, d)
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    stored = g.filter(F.dayofmonth("gap_start") < 20).select("user_id", "gap_start", F.expr("gap_end - INTERVAL 1 HOUR").alias("gap_end"), F.when(F.col("gap_end") < at("2024-01-10"), F.col("gap_end")).alias("resolved_at"))
+    found = merge.merge(stored, g, merge.WriteSpec("bar_gaps", ["user_id", "gap_start"], update=["gap_end"]))
+    closed = g.filter(F.hour("gap_start") < 12).select("user_id", "gap_start", at("2024-02-01").alias("resolved_at"))
+    return merge.merge(found, closed, merge.WriteSpec("bar_gaps", ["user_id", "gap_start"], update=["resolved_at"]))
 
 
 @query("agg_17_least_watermark", """

@@ -111,24 +111,28 @@ def write_status(spark, d):
 
 
 @query("mrg_15_change_envelope", f"""WITH {_STORED}, {_INCOMING}
-    SELECT i.k::VARCHAR AS partition_key, '{{"v":1,"op":"' || CASE WHEN s.k IS NULL THEN 'insert' ELSE 'update' END || '","family":"orders","dataset":"orders","table":"orders","key":{{"k":' || i.k || '}}}}' AS body
+    SELECT i.k::VARCHAR AS partition_key, '{{"dataset":"orders","family":"orders","key":{{"k":' || i.k || '}},"occurred_at":"2024-01-01T00:00:00Z","op":"' || CASE WHEN s.k IS NULL THEN 'insert' ELSE 'update' END || '","row":{{"at":"' || strftime(i.at, '%Y-%m-%dT%H:%M:%S.000') ||
+           '","k":' || i.k || ',"price":' || i.price::DOUBLE::VARCHAR || ',"status":"' || i.status || '"}},"run_id":"run-1","table":"orders","v":1}}' AS body
     FROM i LEFT JOIN s ON s.k = i.k WHERE (s.status, s.price, s.at) IS DISTINCT FROM (i.status, i.price, i.at)""")
 def change_envelope(spark, d):
-    """Version 1 of what is published for a row; here without the row itself, whose numbers the two engines write differently."""
+    """Version 1 of what is published for a row, the row in it, in its canonical form."""
     spec = merge.WriteSpec("orders", ["k"])
     events = merge.change_events(merge.classified(*_sides(spark, d), spec), spec)
     out = lifecycle.envelope(events, "orders", "orders", "run-1", F.lit("2024-01-01T00:00:00Z"))
-    of = lambda f: F.get_json_object("body", f"$.{f}")
-    text = F.concat(F.lit('{"v":'), of("v"), F.lit(',"op":"'), of("op"), F.lit('","family":"'), of("family"), F.lit('","dataset":"'), of("dataset"), F.lit('","table":"'), of("table"), F.lit('","key":'), of("key"), F.lit("}"))
-    return out.filter((of("run_id") == "run-1") & of("row").isNotNull()).select("partition_key", text.alias("body"))
+    return out.select("partition_key", "body")
 
 
-@query("mrg_16_routes", "SELECT * FROM (VALUES ('job_runs', 'unpublished'), ('news', 'news by symbol'), ('price_bars', 'bars by symbol'), ('quotes', 'quotes by symbol')) v(name, route)")
+_ROUTED = "CASE event_type WHEN 'view' THEN 'price_bars' WHEN 'click' THEN 'quotes' WHEN 'purchase' THEN 'news' ELSE 'job_runs' END"
+
+
+@query("mrg_16_routes", f"""
+    SELECT name, CASE name WHEN 'job_runs' THEN 'unpublished' WHEN 'price_bars' THEN 'bars by symbol' ELSE name || ' by symbol' END AS route, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT {_ROUTED} AS name, event_id FROM events) GROUP BY ALL""")
 def routes(spark, d):
-    """Family and partition column by table; tables of the infrastructure have no route."""
-    t = spark.createDataFrame([("price_bars",), ("quotes",), ("news",), ("job_runs",)], "name string")
-    routed = lifecycle.routed(t, F.col("name")).select("name", F.concat_ws(" by ", "family", "partition_col").alias("route"))
-    return t.join(routed, "name", "left").select("name", F.coalesce("route", F.lit("unpublished")).alias("route"))
+    """Family and partition column of each changed row, by its table; rows of the infrastructure's tables have no route and aren't published."""
+    t = table(spark, d, "events").select(F.expr(_ROUTED).alias("name"), "event_id")
+    routed = lifecycle.routed(t, F.col("name")).select("event_id", F.concat_ws(" by ", "family", "partition_col").alias("route"))
+    out = t.join(routed, "event_id", "left").select("name", "event_id", F.coalesce("route", F.lit("unpublished")).alias("route"))
+    return out.groupBy("name", "route").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query("mrg_17_purge", """

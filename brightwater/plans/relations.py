@@ -23,16 +23,20 @@ def table_scan(spark, d):
     return table(spark, d, "orders").filter("o_orderstatus = 'P' AND o_totalprice > 400000").select("o_orderkey", "o_totalprice")
 
 
-@query("src_02_interval_tables", "SELECT * FROM (VALUES ('15m', 'price_bars'), ('1d', 'price_history'), ('1m', 'price_bars'), ('1mo', 'periodic_bars'), ('1wk', 'periodic_bars'), ('5m', 'price_bars'), ('60m', 'price_bars'), ('2h', 'refused')) v(bar_interval, name)")
-def interval_tables(spark, d):
-    """Which table serves an interval; any other interval is refused."""
-    def name(interval: str) -> str:
-        try:
-            return catalog.bars_table(interval)
-        except ValueError:
-            return "refused"
+_INTERVALS = "CASE event_type WHEN 'view' THEN '1m' WHEN 'click' THEN '60m' WHEN 'purchase' THEN '1d' WHEN 'signup' THEN '1wk' ELSE '2h' END"
+
 
-    return spark.createDataFrame([(i, name(i)) for i in ("1m", "5m", "15m", "60m", "1d", "1wk", "1mo", "2h")], "bar_interval string, name string")
+def _interval():
+    return F.expr(_INTERVALS)
+
+
+@query("src_02_interval_tables", f"""
+    SELECT bar_interval, CASE WHEN bar_interval IN ('1m', '60m') THEN 'price_bars' WHEN bar_interval = '1d' THEN 'price_history' WHEN bar_interval = '1wk' THEN 'periodic_bars' ELSE 'refused' END AS name, count(*) AS n
+    FROM (SELECT {_INTERVALS} AS bar_interval FROM events) GROUP BY ALL""")
+def interval_tables(spark, d):
+    """Which table serves the interval of each row; any other interval is refused."""
+    e = table(spark, d, "events").select(_interval().alias("bar_interval"))
+    return e.groupBy("bar_interval", F.coalesce(catalog.bars_table_of(F.col("bar_interval")), F.lit("refused")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_03_values_relation", "SELECT event_type, days, count(*) AS n FROM events JOIN (VALUES ('click', 7), ('view', 14)) v(event_type, days) USING (event_type) GROUP BY ALL")
@@ -84,12 +88,16 @@ def epoch_like_fields(spark, d):
     return e.select("event_type", F.explode(rest)).filter(F.col("value").between(631_152_000, 4_102_444_800)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("prj_09_key_value_row", "SELECT 'AAPL' AS symbol, 0.07::DOUBLE AS insiders_percent_held, 1234.0::DOUBLE AS institutions_count")
+@query("prj_09_key_value_row", "SELECT 'S' || c_custkey AS symbol, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS insiders_percent_held, c_nationkey::DOUBLE AS institutions_count FROM customer")
 def key_value_row(spark, d):
+    """Frames of names and values, one a symbol, each made a row; names that aren't known are left out, and one that is missing is null."""
     from ..sources.normalize import normalize
 
-    raw = spark.createDataFrame([("aapl", '[{"index":"insidersPercentHeld","Value":0.07},{"index":"institutionsCount","Value":1234},{"index":"other","Value":1}]')], "symbol string, payload string")
-    out = normalize("major_holders", raw.withColumn("fetched_at", F.current_timestamp()))["major_holders"]
+    c = table(spark, d, "customer")
+    known = F.concat(F.lit('{"index":"insidersPercentHeld","Value":'), F.col("c_acctbal").cast("string"), F.lit("},"))
+    payload = F.concat(F.lit("["), F.when(F.col("c_custkey") % 5 != 0, known).otherwise(""), F.lit('{"index":"institutionsCount","Value":'), F.col("c_nationkey").cast("string"), F.lit('},{"index":"other","Value":1}]'))
+    raw = c.select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("symbol"), payload.alias("payload"), F.current_timestamp().alias("fetched_at"))
+    out = normalize("major_holders", raw)["major_holders"]
     return out.select("symbol", F.col("insiders_percent_held").cast("double"), F.col("institutions_count").cast("double"))
 
 
@@ -102,12 +110,14 @@ def period_columns(spark, d):
 
 
 @query("prj_11_settings", """
-    SELECT key, value, source FROM (VALUES ('depth', '30', 'db'), ('mode', 'fast', 'env'), ('page', '100', 'default'), ('zone', 'UTC', 'default')) v(key, value, source)""")
+    WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 AND p_partkey % 5 <> 0 THEN p_size::VARCHAR END AS db, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS env, p_type FROM part)
+    SELECT p_partkey AS key, coalesce(db, env, p_type) AS value, CASE WHEN db IS NOT NULL THEN 'db' WHEN env IS NOT NULL THEN 'env' ELSE 'default' END AS source FROM p""")
 def settings(spark, d):
-    """Stored before environment before default, each with where it came from; unknown keys are dropped, and a key that only the environment may set ignores what is stored."""
-    declared = spark.createDataFrame([("depth", "7", False), ("mode", "slow", True), ("page", "100", False), ("zone", "UTC", False)], "key string, fallback string, env_only boolean")
-    stored = spark.createDataFrame([("depth", "30"), ("mode", "odd"), ("unknown", "1")], "key string, db string")
-    env = spark.createDataFrame([("mode", "fast"), ("depth", "14")], "key string, env string")
+    """Stored before environment before default, each with where it came from; unknown keys are dropped, and a key that only the environment may set (every fifth) ignores what is stored."""
+    p = table(spark, d, "part")
+    declared = p.select(F.col("p_partkey").alias("key"), F.col("p_type").alias("fallback"), (F.col("p_partkey") % 5 == 0).alias("env_only"))
+    stored = p.filter("p_partkey % 3 = 0").select(F.explode(F.array(F.col("p_partkey"), -1 - F.col("p_partkey"))).alias("key"), F.col("p_size").cast("string").alias("db"))  # no setting has a negative key
+    env = p.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("env"))
     both = declared.join(stored, "key", "left").join(env, "key", "left").withColumn("db", F.when(~F.col("env_only"), F.col("db")))
     source = F.when(F.col("db").isNotNull(), "db").when(F.col("env").isNotNull(), "env").otherwise("default")
     return both.select("key", F.coalesce("db", "env", "fallback").alias("value"), source.alias("source"))
@@ -120,29 +130,30 @@ def escaped_prefix(spark, d):
     return e.filter(F.col("name").startswith("click_50%1")).select("event_id")
 
 
-@query("flt_05_windows", """
-    SELECT * FROM (VALUES ('both', '2024-01-05', '2024-01-08'), ('from', '2024-01-05', '2024-02-02'), ('none', '2024-01-02', '2024-02-02'), ('to', '2023-12-08', '2024-01-08')) v(asked, low, high)""")
-def windows(spark, d):
-    """Bounds of a read, half-open: an open start is the widest span, an open end that or today."""
-    from datetime import date
+_ASKED = f"""w AS (SELECT event_id, {_INTERVALS} AS bar_interval, CASE WHEN event_id % 2 = 0 THEN ts END AS a, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15' + to_days(floor(value / 4)::INT) END AS b FROM events WHERE event_type <> 'error'),
+    r AS (SELECT *, CASE bar_interval WHEN '1d' THEN 3653 WHEN '1wk' THEN 18262 ELSE 31 END AS span FROM w),
+    x AS (SELECT *, coalesce(a, coalesce(b, TIMESTAMP '2024-02-01') - to_days(span)) AS low, coalesce(b, a + to_days(span), TIMESTAMP '2024-02-01') AS high FROM r)"""
 
-    asked = {"both": (date(2024, 1, 5), date(2024, 1, 8)), "from": (date(2024, 1, 5), None), "to": (None, date(2024, 1, 8)), "none": (None, None)}
-    rows = [(name, *map(str, catalog.window("intraday", *bounds, date(2024, 2, 1)))) for name, bounds in asked.items()]
-    return spark.createDataFrame(rows, "asked string, low string, high string")
 
+def _asked(spark, d):
+    """Reads that were asked for: with both bounds, one or none."""
+    e = table(spark, d, "events").filter("event_type != 'error'")
+    a, b = F.when(F.col("event_id") % 2 == 0, F.col("ts")), F.when(F.col("event_id") % 3 == 0, _ts("2024-01-15") + F.make_dt_interval(F.floor(F.col("value") / 4).cast("int")))
+    w = e.select("event_id", _interval().alias("bar_interval"), a.alias("a"), b.alias("b"))
+    return w.withColumn("w", catalog.window_of(F.col("bar_interval"), F.col("a"), F.col("b"), _ts("2024-02-01"))).select("event_id", "bar_interval", "w.low", "w.high")
 
-@query("flt_06_refused_windows", "SELECT * FROM (VALUES ('inverted', true), ('too wide', true), ('widest', false)) v(asked, refused)")
-def refused_windows(spark, d):
-    from datetime import date
 
-    def refused(low: date, high: date) -> bool:
-        try:
-            catalog.window("intraday", low, high, date(2024, 6, 1))
-        except ValueError:
-            return True
-        return False
+@query("flt_05_windows", f"WITH {_ASKED} SELECT event_id, bar_interval, low, high FROM x")
+def windows(spark, d):
+    """Bounds of each read, half-open: a bound that is missing is the widest span of the interval from the other, and without any the window ends now."""
+    return _asked(spark, d)
+
 
-    return spark.createDataFrame([("inverted", refused(date(2024, 1, 8), date(2024, 1, 5))), ("too wide", refused(date(2024, 1, 1), date(2024, 2, 2))), ("widest", refused(date(2024, 1, 1), date(2024, 2, 1)))], "asked string, refused boolean")
+@query("flt_06_refused_windows", f"WITH {_ASKED} SELECT event_id, CASE WHEN low >= high THEN 'inverted' WHEN high > low + to_days(span) THEN 'too_wide' ELSE 'served' END AS outcome FROM x")
+def refused_windows(spark, d):
+    """A window that ends before it starts, or spans more than its interval allows, is refused."""
+    why = catalog.window_refusal(F.col("bar_interval"), F.col("low"), F.col("high"))
+    return _asked(spark, d).select("event_id", F.coalesce(why, F.lit("served")).alias("outcome"))
 
 
 def _estimates(spark, d):
@@ -160,19 +171,18 @@ def served_page(spark, d):
     return out.withColumn("as_of_date", F.col("as_of_date").cast("string"))
 
 
-@query("flt_07_refused_reads", "SELECT * FROM (VALUES ('no symbol', true), ('odd filter', true), ('plain', false), ('symbol where none is', true)) v(asked, refused)")
+_REQUESTS = "CASE c_nationkey % 5 WHEN 0 THEN 'revenue_estimate' WHEN 1 THEN 'domains' WHEN 2 THEN 'sec_filings' WHEN 3 THEN 'screens' ELSE 'nothing' END"
+
+
+@query("flt_07_refused_reads", f"""
+    WITH q AS (SELECT c_custkey, {_REQUESTS} AS resource, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS symbol, CASE c_custkey % 3 WHEN 0 THEN 'kind' WHEN 1 THEN 'filing_type' END AS filter FROM customer)
+    SELECT c_custkey, CASE WHEN resource = 'nothing' THEN 'no such resource' WHEN filter = 'kind' AND resource <> 'screens' OR filter = 'filing_type' AND resource <> 'sec_filings' THEN 'no such filter'
+           WHEN resource IN ('revenue_estimate', 'sec_filings') AND symbol IS NULL THEN 'needs a symbol' WHEN resource IN ('domains', 'screens') AND symbol IS NOT NULL THEN 'has no symbols' ELSE 'served' END AS outcome FROM q""")
 def refused_reads(spark, d):
     """What a declaration doesn't name is refused, never ignored."""
-    def refused(name: str, **asked) -> bool:
-        try:
-            catalog.read(catalog.EXPOSURES[name], _estimates(spark, d), **asked)
-        except ValueError:
-            return True
-        return False
-
-    rows = [("no symbol", refused("revenue_estimate")), ("odd filter", refused("revenue_estimate", symbol="S7", filters={"period": "1"})),
-            ("plain", refused("revenue_estimate", symbol="S7")), ("symbol where none is", refused("domains", symbol="S7"))]
-    return spark.createDataFrame(rows, "asked string, refused boolean")
+    k = F.col("c_custkey")
+    asked = table(spark, d, "customer").select("c_custkey", F.expr(_REQUESTS).alias("resource"), F.when(k % 2 == 0, F.col("c_name")).alias("symbol"), F.when(k % 3 == 0, "kind").when(k % 3 == 1, "filing_type").alias("filter"))
+    return catalog.refused(asked).select("c_custkey", F.coalesce("refused", F.lit("served")).alias("outcome"))
 
 
 @query("pag_05_cursors", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 30 OFFSET 29")
@@ -184,16 +194,12 @@ def cursors(spark, d):
     return keyset.page(o, keys, 29, keyset.decode(mine, keyset.encode(mine, [last["o_orderdate"], last["o_orderkey"]])))
 
 
-@query("pag_07_page_sizes", "SELECT * FROM (VALUES (0, 'refused'), (1, '1'), (1000, '1000'), (1001, 'refused'), (-1, '100')) v(asked, size)")
+@query("pag_07_page_sizes", """
+    SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '100' WHEN (p_size - 2) * 25 BETWEEN 1 AND 1000 THEN ((p_size - 2) * 25)::VARCHAR ELSE 'refused' END AS size FROM part""")
 def page_sizes(spark, d):
-    """Too many are refused, never clipped; none asked for (-1 here) is the default."""
-    def size(n: int) -> str:
-        try:
-            return str(catalog.page_size(None if n < 0 else n))
-        except ValueError:
-            return "refused"
-
-    return spark.createDataFrame([(n, size(n)) for n in (0, 1, 1000, 1001, -1)], "asked int, size string")
+    """Too many, or fewer than one, are refused, never clipped; where none is asked for it is the default."""
+    asked = F.when(F.col("p_partkey") % 7 != 0, (F.col("p_size") - 2) * 25)
+    return table(spark, d, "part").select("p_partkey", F.coalesce(catalog.page_size_of(asked).cast("string"), F.lit("refused")).alias("size"))
 
 
 @query("flt_08_open_gaps", "SELECT event_id FROM events WHERE event_type = 'error' AND value > 50 AND ts + INTERVAL 1 HOUR > TIMESTAMP '2024-01-20'")
@@ -270,11 +276,11 @@ def seed_ledger(spark, d):
     return out.groupBy("user_id", F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("jon_08_orphans", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A')")
+@query("jon_08_orphans", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_discount > 0.09)")
 def orphans(spark, d):
     """Two NOT INs over keys that are never null are two anti joins, and here one over a union."""
     li = table(spark, d, "lineitem")
-    used = li.filter("l_quantity > 40 OR l_returnflag = 'A'").select(F.col("l_partkey").alias("p_partkey"))
+    used = li.filter("l_quantity > 49 OR l_returnflag = 'A' AND l_discount > 0.09").select(F.col("l_partkey").alias("p_partkey"))
     return table(spark, d, "part").select("p_partkey").join(used, "p_partkey", "left_anti")
 
 

@@ -35,9 +35,14 @@ def to_str(spark, d):
     return _dirty(spark, d).select("o_orderkey", S.to_text(F.col("t"), 6).alias("text"))
 
 
-@query("scl_05_to_bool", f"SELECT o_orderkey, CASE WHEN lower(trim(t)) IN ('true', 'yes', '1') THEN true WHEN lower(trim(t)) IN ('false', 'no', '0') THEN false END AS flag FROM ({_SQL_TEXT})")
+@query("scl_05_to_bool", f"""
+    SELECT o_orderkey, CASE WHEN lower(trim(t)) IN ('true', 'yes', '1') THEN true WHEN lower(trim(t)) IN ('false', 'no', '0') THEN false END AS flag,
+           CASE o_orderkey % 4 WHEN 0 THEN false WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE true END AS of_number FROM ({_SQL_TEXT})""")
 def to_bool(spark, d):
-    return _dirty(spark, d).select("o_orderkey", S.to_flag(F.col("t")).alias("flag"))
+    """Words by their list; a number is true unless it is 0, and NaN and null have no truth value."""
+    k = F.col("o_orderkey") % 4
+    number = F.when(k == 0, F.lit(0.0)).when(k == 1, F.lit(float("nan"))).when(k == 3, -F.col("o_totalprice"))
+    return _dirty(spark, d).select("o_orderkey", S.to_flag(F.col("t")).alias("flag"), S.number_flag(number).alias("of_number"))
 
 
 @query("scl_07_to_datetime_utc", """
@@ -98,15 +103,26 @@ def facts(spark, d):
     return _dirty(spark, d).select("o_orderkey", S.to_big(S.to_text(half)).cast("string").alias("big"), S.to_fact(S.to_text(whole)).cast("string").alias("fact"))
 
 
+_WIDTHS = (16, 32, 64, 128, 255)
+
+
 @query("scl_18_kinds", f"""
-    SELECT o_orderkey, CASE WHEN NOT {_MISSING} THEN trim(t) END AS text, CASE WHEN o_orderkey % 12 = 8 THEN 0 WHEN o_orderkey % 12 = 10 THEN -7 END::VARCHAR AS count,
-           CASE WHEN o_orderkey % 12 = 7 THEN true WHEN o_orderkey % 12 = 8 THEN false END::VARCHAR AS flag, o_orderdate::DATE::VARCHAR AS date FROM ({_SQL_TEXT})""")
+    WITH x AS (SELECT *, CASE WHEN NOT {_MISSING} THEN trim(t) END AS v, epoch(o_orderdate)::BIGINT AS s, CASE WHEN o_orderkey % 12 = 8 THEN 0 WHEN o_orderkey % 12 = 10 THEN -7 END AS n FROM ({_SQL_TEXT}))
+    SELECT o_orderkey, v AS text, {", ".join(f"repeat(v, 40)[1:{n}] AS text{n}" for n in _WIDTHS)}, n::VARCHAR AS count, CASE WHEN n >= 0 THEN n END::VARCHAR AS unsigned,
+           CASE WHEN o_orderkey % 12 = 7 THEN true WHEN o_orderkey % 12 = 8 THEN false END::VARCHAR AS flag, o_orderdate::DATE::VARCHAR AS date,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS epoch_s, strftime(o_orderdate + INTERVAL 7 MILLISECOND, '%Y-%m-%d %H:%M:%S.%g') AS epoch_ms, strftime(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate ELSE o_orderdate::DATE END, '%Y-%m-%d %H:%M:%S') AS number_or_instant FROM x""")
 def kinds(spark, d):
-    """The converters of the kinds table, over one column."""
+    """The converters of the kinds table, over text that holds what spoils it."""
     from ..sources.normalize import CONVERT
 
-    day = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'00:00:00")
-    return _dirty(spark, d).select("o_orderkey", *[CONVERT[k](F.col("t")).cast("string").alias(k) for k in ("text", "count", "flag")], CONVERT["date"](day).cast("string").alias("date"))
+    at = F.col("o_orderdate").cast("timestamp")
+    day, s = F.date_format(at, "yyyy-MM-dd'T'00:00:00"), F.unix_timestamp(at)
+    often = F.when(S.to_text(F.col("t")).isNotNull(), F.repeat(S.to_text(F.col("t")), 40))
+    shown = lambda c, form="yyyy-MM-dd HH:mm:ss": F.date_format(c, form)
+    either = F.when(F.col("o_orderkey") % 2 == 0, s.cast("string")).otherwise(F.date_format(at, "yyyy-MM-dd"))
+    return _dirty(spark, d).select("o_orderkey", *[CONVERT[k](F.col("t")).cast("string").alias(k) for k in ("text", "count", "unsigned", "flag")], CONVERT["date"](day).cast("string").alias("date"),
+                                   *[CONVERT[f"text{n}"](often).alias(f"text{n}") for n in _WIDTHS], shown(CONVERT["epoch_s"](s.cast("string"))).alias("epoch_s"),
+                                   shown(CONVERT["epoch_ms"]((s * 1000 + 7).cast("string")), "yyyy-MM-dd HH:mm:ss.SSS").alias("epoch_ms"), shown(CONVERT["number_or_instant"](either)).alias("number_or_instant"))
 
 
 @query("scl_19_number_or_text_instant", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN ts::DATE::TIMESTAMP END::TIMESTAMP AS at FROM events")
@@ -199,11 +215,14 @@ def split_boundary(spark, d):
     return table(spark, d, "orders").select("o_orderkey", S.midnight(F.col("o_orderdate").cast("date"), _zone()).cast("timestamp_ntz").alias("boundary"))
 
 
-@query("scl_33_local_bound", "SELECT * FROM (VALUES ('2024-03-31', 'Asia/Beirut', TIMESTAMP '2024-03-30 22:00:00'), ('2024-06-30', 'Asia/Tokyo', TIMESTAMP '2024-06-29 15:00:00')) v(day, zone, bound)")
+@query("scl_33_local_bound", """
+    WITH z AS (SELECT o_orderkey, o_orderdate::DATE AS day, CASE o_orderkey % 3 WHEN 0 THEN 'America/Sao_Paulo' WHEN 1 THEN 'Asia/Tokyo' END AS zone FROM orders)
+    SELECT o_orderkey, CASE WHEN zone IS NULL THEN day::VARCHAR ELSE ((day::TIMESTAMP AT TIME ZONE zone) AT TIME ZONE 'UTC')::VARCHAR END AS bound FROM z""")
 def local_bound(spark, d):
-    """A midnight that a clock change skips moves forward (Beirut, at the end of March)."""
-    v = spark.createDataFrame([("2024-03-31", "Asia/Beirut"), ("2024-06-30", "Asia/Tokyo")], "day string, zone string")
-    return v.select("day", "zone", S.midnight(F.col("day").cast("date"), F.col("zone")).cast("timestamp_ntz").alias("bound"))
+    """A day's bound on its exchange's clock; a midnight that a clock change skips moves forward (Sao Paulo, in October), and without a zone the day stays as it is."""
+    k = F.col("o_orderkey")
+    zone, day = F.when(k % 3 == 0, "America/Sao_Paulo").when(k % 3 == 1, "Asia/Tokyo"), F.to_date("o_orderdate")
+    return table(spark, d, "orders").select("o_orderkey", F.coalesce(F.date_format(S.midnight(day, zone), "yyyy-MM-dd HH:mm:ss"), day.cast("string")).alias("bound"))
 
 
 @query("scl_34_as_of_day", "SELECT event_id, ((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')::DATE::VARCHAR AS as_of, ts::DATE::VARCHAR AS utc_as_of FROM events")

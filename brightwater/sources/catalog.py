@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import symbol as as_symbol
@@ -130,6 +130,44 @@ def window(kind: str, start: dt.date | None, end: dt.date | None, today: dt.date
     return start, end
 
 
+def bars_table_of(interval: Column) -> Column:
+    """The table that serves an interval; null where none does."""
+    return F.create_map(*[F.lit(x) for pair in BARS_TABLE.items() for x in pair])[interval]
+
+
+def page_size_of(asked: Column, default: int = 100) -> Column:
+    """The rows of a page; null where what is asked for is refused."""
+    return F.when(asked.isNull(), F.lit(default)).when(asked.between(1, MOST_ROWS), asked)
+
+
+def widest_of(interval: Column) -> Column:
+    """Days that a read of an interval may span."""
+    kind = F.when(bars_table_of(interval) == "price_bars", "intraday").when(interval == "1d", "daily").otherwise("periodic")
+    return F.create_map(*[F.lit(x) for pair in WIDEST.items() for x in pair])[kind]
+
+
+def window_of(interval: Column, start: Column, end: Column, now: Column) -> Column:
+    """low and high of a read, half-open: a bound that is missing is the widest span from the other, and without any the window ends now."""
+    span = F.make_dt_interval(widest_of(interval))
+    high = F.coalesce(end, start + span, now)
+    return F.struct(F.coalesce(start, high - span).alias("low"), high.alias("high"))
+
+
+def window_refusal(interval: Column, low: Column, high: Column) -> Column:
+    """Why a window is refused: inverted or too_wide; null if it isn't."""
+    return F.when(low >= high, "inverted").when(high > low + F.make_dt_interval(widest_of(interval)), "too_wide")
+
+
+def refused(requests: DataFrame) -> DataFrame:
+    """``requests`` (resource, symbol, filter; the last two may be null) with why one is refused, null if it isn't: what no declaration names is refused, never ignored."""
+    spark = requests.sparkSession
+    declared = spark.createDataFrame([(e.resource, e.symbol, list(e.filters)) for e in EXPOSURES.values()], "resource string, _symbol string, _filters array<string>")
+    out = requests.join(F.broadcast(declared), "resource", "left")  # a row a declaration
+    why = (F.when(F.col("_symbol").isNull(), "no such resource").when(F.col("filter").isNotNull() & ~F.array_contains("_filters", F.col("filter")), "no such filter")
+           .when((F.col("_symbol") == "required") & F.col("symbol").isNull(), "needs a symbol").when((F.col("_symbol") == "none") & F.col("symbol").isNotNull(), "has no symbols"))
+    return out.withColumn("refused", why).drop("_symbol", "_filters")
+
+
 def read(exposure: Exposure, table: DataFrame, symbol: str | None = None, filters: dict | None = None, size: int | None = None,
          after: list | None = None, hidden: tuple[str, ...] = ("raw_json",)) -> DataFrame:
     """A page of a dataset, with one row more where another page follows. Filters reach the scan; the order is a top-k."""

@@ -7,6 +7,7 @@ rows without their key are dropped, unknown keys are listed, and the body is kep
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,9 +35,31 @@ CONVERT = {
     "date": lambda t: F.substring(t, 1, 10).try_cast("date"),
     "instant": lambda t: t.try_cast("timestamp"),
     "epoch": lambda t: F.timestamp_seconds(t.try_cast("bigint")),
+    **{f"text{n}": lambda t, n=n: S.to_text(t, n) for n in (16, 32, 64, 128, 255)},
+    "unsigned": lambda t: F.when(CONVERT["count"](t) >= 0, CONVERT["count"](t)),  # a negative one is dropped, not its row
+    "epoch_s": lambda t: S.epoch_within(t.try_cast("double").try_cast("bigint"), "s"),
+    "epoch_ms": lambda t: S.epoch_within(t.try_cast("double").try_cast("bigint"), "ms"),
+    "number_or_instant": lambda t: S.epoch_or_instant(t),
 }
 
 
+def add_kind(name: str, convert: Callable[[Column], Column]) -> None:
+    """Declares a kind of field: how it is made of a JSON value's text."""
+    if name in CONVERT:
+        raise ValueError(f"there is a kind {name}")
+    CONVERT[name] = convert
+
+
+def add_frame(dataset: str, key: str, fields: list[Field]) -> None:
+    """Declares a dataset of records told apart by ``key``, one of the fields' targets; ``normalize`` then reads it."""
+    if dataset in FRAMES:
+        raise ValueError(f"there is a dataset {dataset}")
+    unknown = sorted({f.kind for f in fields} - set(CONVERT))
+    if unknown or key not in {f.target for f in fields}:
+        raise ValueError(f"no such kind: {', '.join(unknown)}" if unknown else f"{key} is no field")
+    FRAMES[dataset] = (key, list(fields))
+
+
 def _fields(text: str) -> list[Field]:
     return [Field(*(p.strip() for p in line.split("|"))) for line in text.strip().splitlines()]
 

@@ -132,7 +132,7 @@ def fill(raw: DataFrame, folder: str, known: DataFrame | None = None, archive_al
                 before = archive_of(spark, folder).filter(F.col("day").isin(days))
                 new = ticks.join(before.select(*KEY, "day"), [*KEY, "day"], "left_anti").select(*ticks.columns)
             new = new.persist()
-            new.repartition("day").withColumn("batch", F.lit(number).cast("long")).write.partitionBy("day", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{folder}/archive")
+            new.withColumn("batch", F.lit(number).cast("long")).hint("rebalance", "day").write.partitionBy("day", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{folder}/archive")
         if topics is not None:
             rows = new.join(topics, "symbol", "left")
             body = F.to_json(F.struct("symbol", "event_id", F.col("ts").cast("string").alias("ts"), "price"))

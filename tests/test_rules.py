@@ -251,3 +251,42 @@ def test_bars_hash_and_do_not_sort(spark):
     assert {r.k: (r.open, r.high, r.low, r.close) for r in bars.collect()} == {"a": (4.0, 7.0, 1.0, 2.0), "b": (1.0, 3.0, 1.0, 3.0)}
     with pytest.raises(ValueError):
         series.order_key(e, ["p"])
+
+
+def test_points_in_windows(spark):
+    """As many windows as points on one symbol, which overlap, touch or are empty."""
+    rng = random.Random(8)
+    windows = [("hot" if k % 9 else "b", sec(a := rng.randrange(200_000)), sec(a + rng.choice([0, 0, 1, 3, 40]))) for k in range(3000)]
+    points = [("hot" if k % 8 else rng.choice(["b", "c", None]), sec(rng.randrange(210_000)), k) for k in range(3000)] + [("hot", None, -1)]
+    held = defaultdict(list)
+    for k, a, b in windows:
+        held[k].append((a, b))
+    want = sorted(k for key, at, k in points if at and any(a <= at < b for a, b in held[key]))
+    p, w = spark.createDataFrame(points, "k string, at timestamp_ntz, id long"), spark.createDataFrame(windows, "k string, a timestamp_ntz, b timestamp_ntz")
+    for most in (None, 200):
+        assert sorted(r.id for r in series.inside(p, w, ["k"], "at", "a", "b", most).collect()) == want
+    many = spark.range(100_000).selectExpr("'one' AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS at", "id")
+    some = spark.range(100_000).selectExpr("'one' AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 2) AS a", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 2 + 1) AS b")
+    assert series.inside(many, some, ["k"], "at", "a", "b", 10_000).count() == 50_000
+
+
+def test_cells_beyond_the_most_are_one(spark):
+    from brightwater.plans.client import folded_cells, squarify
+
+    rows = spark.createDataFrame([("a", k, float(k)) for k in range(10)] + [("b", k, 1.0) for k in range(3)] + [("c", 1, None)], "g string, k long, v double")
+    got = defaultdict(dict)
+    for r in folded_cells(rows, "g", "k", "v", 4).collect():
+        got[r.g][r.cell] = float(r.cap)
+    assert dict(got) == {"a": {"9": 9.0, "8": 8.0, "7": 7.0, "Other (6)": 21.0}, "b": {"0": 1.0, "1": 1.0, "2": 1.0}}
+    boxes = squarify(sorted((random.Random(k).random() + 0.01 for k in range(400)), reverse=True), 0.0, 0.0, 100.0, 60.0)
+    assert abs(sum(w * h for *_, w, h in boxes) - 6000) < 1e-6 and all(x + w < 100 + 1e-6 and y + h < 60 + 1e-6 for x, y, w, h in boxes)
+    overlaps = sum(a[0] < b[0] + b[2] - 1e-9 and b[0] < a[0] + a[2] - 1e-9 and a[1] < b[1] + b[3] - 1e-9 and b[1] < a[1] + a[3] - 1e-9 for i, a in enumerate(boxes) for b in boxes[:i])
+    assert overlaps == 0 and squarify([], 0, 0, 1, 1) == []
+
+
+def test_requests_are_served_or_refused(spark):
+    from brightwater.sources import catalog
+
+    asked = [("revenue_estimate", "S", None), ("revenue_estimate", None, None), ("revenue_estimate", "S", "period"), ("domains", "S", "parent_key"), ("domains", None, "parent_key"), ("odd", "S", None), (None, None, None), ("news", None, None)]
+    got = catalog.refused(spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "i int, resource string, symbol string, filter string")).collect()
+    assert {r.i: r.refused for r in got} == {0: None, 1: "needs a symbol", 2: "no such filter", 3: "has no symbols", 4: None, 5: "no such resource", 6: "no such resource", 7: None}

@@ -63,3 +63,21 @@ def test_series_statement_map_labels(spark):
     assert one.institutions_count == Decimal(139) and one.insiders_percent_held is None
     with pytest.raises(ValueError):
         normalize.normalize("nothing", raw(spark))
+
+
+def test_a_user_adds_a_kind_and_a_dataset(spark):
+    from pyspark.sql import functions as F
+
+    from brightwater.sources import normalize as n
+
+    try:
+        n.add_kind("percent", lambda t: t.try_cast("double") / 100)
+        n.add_frame("own_ratings", "who", [n.Field("name", "who", "text16"), n.Field("share", "share", "percent"), n.Field("votes", "votes", "unsigned")])
+        raw = spark.createDataFrame([("aapl", '[{"name":"a very long name of a rater","share":"12.5","votes":-1},{"name":"b","share":null,"votes":3},{"share":1}]')], "symbol string, payload string").withColumn("fetched_at", F.current_timestamp())
+        got = sorted((r.symbol, r.who, r.share, r.votes) for r in n.normalize("own_ratings", raw)["own_ratings"].collect())
+        assert got == [("AAPL", "a very long name", 0.125, None), ("AAPL", "b", None, 3)]
+        for wrong in (lambda: n.add_kind("percent", lambda t: t), lambda: n.add_frame("own_ratings", "who", []), lambda: n.add_frame("x", "who", [n.Field("a", "b", "text")]), lambda: n.add_frame("x", "b", [n.Field("a", "b", "odd")])):
+            with pytest.raises(ValueError):
+                wrong()
+    finally:
+        n.CONVERT.pop("percent", None), n.FRAMES.pop("own_ratings", None)
