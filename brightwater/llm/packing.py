@@ -5,7 +5,8 @@ looks words up in a table of ids it has already asked the tokenizer for, and emi
 per piece. Only those rows are shuffled.
 
 Packing is bounded-space online best-fit. Pieces are dealt evenly to partitions, each worth about
-``shard_sequences`` sequences, so their number follows the input, and a partition is a stream: pieces
+``shard_sequences`` sequences, and more where that would make over ``MOST_STREAMS`` of them: a stream holds
+as little whatever its length, and so does its sort, which spills. A partition is a stream: pieces
 arrive in the order of a hash, a few batches at a time, and all that is held are the open bins, of
 which there are ``open_bins`` at most. A piece goes to the open bin whose free space is the least that
 still holds it, found with one shift of a bitset keyed by free space. Opening a bin beyond the
@@ -34,6 +35,8 @@ from ..session import materialize
 
 #: Words and their parts whose ids a worker remembers, twice over.
 REMEMBER = 150_000
+#: Streams at most; a shuffle of millions of partitions would cost more than what it deals out.
+MOST_STREAMS = 1 << 14
 #: A word that stands between the words of one call to the tokenizer; words that hold it are asked for alone.
 MARK = b"^"
 #: Texts of at least this many words are done in parts.
@@ -225,7 +228,7 @@ def pack(pieces: DataFrame, length: int = 4096, open_bins: int = 64, shard_seque
     """``pieces`` (id, piece, length, ...) with sequence_id and offset, gapless from 0 in each sequence."""
     pieces = materialize(pieces, "pack-pieces")
     total = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("t")).first()["t"]
-    streams = max(1, total // (length * shard_sequences))
+    streams = max(1, min(MOST_STREAMS, total // (length * shard_sequences)))
     order = ["place", *[c for c in ("id", "piece", "ids_crc32") if c in pieces.columns]]
     dealt = pieces.withColumn("place", F.xxhash64(*order[1:])).repartition(streams).sortWithinPartitions(*order).drop("place")
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
