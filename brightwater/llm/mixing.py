@@ -76,11 +76,11 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: s
 
 
 def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
+               weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix", few_ranges: int = 16) -> DataFrame:
     """A row per document and pass: id, source, size, source_size, target, pass, finish, served (boolean).
 
     Ordered by (finish, source, digest, id, pass), the served rows are the mix. ``weights``
-    repeat over the sources in code point order.
+    repeat over the sources in code point order. Up to 2**few_ranges ranges, what is decided of each is broadcast.
     """
     sizes = _sized(docs, id_col, text_col, source_col, seed, F.monotonically_increasing_id().alias("row_no"))
     sizes = materialize(sizes, "mix-sizes")
@@ -89,7 +89,11 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digits, n_rows = 3, sizes.count()
     while 16**digits * RANGE_ROWS < n_rows:
         digits += 1
-    queued = _running(sizes.withColumn("range", F.substring("digest", 1, digits)), ["flow", "range"], ["digest", "id", "size", "row_no"])
+    # All rows without an id share one digest: before, at and after it are ranges of their own, and at it one for each size; rows of size 0 may be split in any way.
+    prefix, odd = F.substring("digest", 1, digits), F.md5(F.lit(f"{seed}|null").cast("binary"))
+    split = F.concat(F.lpad(F.least("size", F.lit(4095)).cast("string"), 4, "0"), F.when(F.col("size") == 0, F.lpad(F.pmod(F.xxhash64("row_no"), F.lit(1024)).cast("string"), 4, "0")).otherwise(""))
+    part = F.when(F.col("digest") == odd, F.concat(F.lit("1"), split)).when((prefix == F.substring(odd, 1, digits)) & (F.col("digest") > odd), "2").otherwise("0")
+    queued = _running(sizes.withColumn("range", F.concat(prefix, part)), ["flow", "range"], ["digest", "id", "size", "row_no"])
     queued = materialize(queued.drop("range").join(targets, "flow"), "mix-queued")
 
     passes = [queued.withColumn("pass", F.lit(k)).withColumn("finish", (F.col("before") + F.col("size") + F.lit(k) * F.col("source_size")) / F.nullif(F.col("target"), F.lit(0.0)))
@@ -108,8 +112,12 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slices = slices.crossJoin(F.broadcast(budget))  # one row
     cut = slices.withColumn("state", F.when(F.col("base") + F.col("s") <= F.col("budget"), "all").when(F.col("base") > F.col("budget"), "none").otherwise("some"))
     cut = cut.select("_slice", "base", "budget", "state")
-    # A row a slice: broadcast while that is a few thousand rows, otherwise the planner decides by size; slices are even, so a shuffle is too.
-    joined = copies.join(F.broadcast(cut) if ranges <= 1 << 16 else cut, copies["slice"] == cut["_slice"]).drop("_slice")
+    # A row a slice: broadcast while that is a few thousand rows, otherwise the planner decides by size. Slices are even but for the two that hold
+    # copies without a finish and all those far behind it: their rows meet a broadcast, so a shuffle is even too.
+    far, same = [ranges * (most + 1), ranges * (most + 2)], copies["slice"] == cut["_slice"]
+    joined = copies.join(F.broadcast(cut), same) if ranges <= 1 << few_ranges else copies.filter(~F.col("slice").isin(far)).join(cut, same).unionByName(
+        copies.filter(F.col("slice").isin(far)).join(F.broadcast(cut.filter(F.col("_slice").isin(far))), same))  # two rows
+    joined = joined.drop("_slice")
     inner = Window.partitionBy("slice").orderBy("finish", "flow", "digest", "id", "size", "row_no", "pass")
     edge = joined.filter("state = 'some'").withColumn("upto", F.col("base") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
     edge = edge.withColumn("served", (F.col("upto") <= F.col("budget")) & (F.col("target") > 0)).drop("upto")

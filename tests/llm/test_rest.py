@@ -206,6 +206,22 @@ def test_quality_of_held_out_documents(spark, docs, odd):
     assert len(none) == len(ODD) and {r.score for r in none} == {0.5}
 
 
+def test_many_rows_without_an_id_mix_as_their_order_says(spark):
+    """A third of all rows have no id; what is decided by range is shuffled or broadcast. The SQL sorts all rows at once."""
+    import duckdb
+
+    from brightwater.llm import oracle
+
+    rows = [(None if k % 3 == 0 else k % 97, " ".join(["w"] * (k * 7 % 40)) if k % 11 else None, None if k % 5 == 0 else "ab"[k % 2]) for k in range(900)] + [(5000, "one long text " * 3000, "solo")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = Counter(con.execute(f"SELECT doc_id, size, source_size, taken FROM ({oracle.SQL['op7_mix_sources']})").fetchall())
+    for few in (16, 0):
+        got = mixing.fair_queue(df, few_ranges=few).groupBy("id", "size", "source_size", "target").agg(F.sum(F.when(F.col("served"), F.col("size")).otherwise(0)).alias("taken"))
+        assert Counter(map(tuple, got.select("id", "size", "source_size", "taken").collect())) == want
+
+
 def test_mix_comes_near_its_targets(spark, odd):
     rows = [(i, "w " * (1 + i % 17), "abcd"[min(3, i % 7)] if i % 11 else None) for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
