@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..operators.merge import last_wins
 from ..plans.registry import query
 from ..session import shared_dir
 
@@ -98,7 +97,9 @@ def _quotes(spark: SparkSession, folder: str, marker: Marker) -> DataFrame:
 
 def newest(ticks: DataFrame) -> DataFrame:
     """A tick per symbol: the newest instant, ties to the later event."""
-    return last_wins(ticks.filter("ts IS NOT NULL"), ["symbol"], ["event_id"], guard="ts").select(*ticks.columns)
+    others = [c for c in ticks.columns if c != "symbol"]
+    best = ticks.filter("ts IS NOT NULL").groupBy("symbol").agg(F.max_by(F.struct(*others), F.struct("ts", "event_id")).alias("_r"))
+    return best.select("symbol", "_r.*").select(*ticks.columns)
 
 
 def quotes_of(spark: SparkSession, folder: str) -> DataFrame:

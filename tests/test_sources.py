@@ -81,3 +81,49 @@ def test_a_user_adds_a_kind_and_a_dataset(spark):
                 wrong()
     finally:
         n.CONVERT.pop("percent", None), n.FRAMES.pop("own_ratings", None)
+
+
+def test_searches_and_their_parts(spark):
+    from brightwater.sources import discovery as d
+
+    at = dt.datetime(2024, 5, 1)
+    body = {"quotes": [{"symbol": " aapl "}, {"name": "private"}, {"symbol": "B" * 40, "shortname": "long"}, {"symbol": "aapl", "shortname": "again"}, {"symbol": "MSFT", "shortname": "M", "score": 2.5}],
+            "lists": [{"slug": "a", "name": "A"}, {"canonicalName": "a", "title": "T"}, {"canonicalName": "b", "title": "T", "total": 7}, {"name": "no key"}, {"slug": "x" * 200}],
+            "researchReports": [{"id": "r", "reportDate": 1700000000000}, {"id": "r"}, {"id": "y" * 80}], "news": [{"uuid": "n", "title": "t", "providerPublishTime": 1700000000, "relatedTickers": ["X", "X", "Z" * 40]}, {"uuid": "m", "title": "t"}]}
+    raw = spark.createDataFrame([("term", at, json.dumps(body)), ("none", at, "{}"), ("odd", at, "broken"), ("null", at, None)], "query_term string, fetched_at timestamp, payload string")
+    got = d.search(raw)
+    assert sorted((r.symbol, r.rank_index, r.is_known, r.short_name) for r in got["search_quotes"].collect()) == [("B" * 40, 1, False, "long"), ("MSFT", 2, True, "M"), ("aapl", 0, True, None)]
+    assert sorted((r.list_key, r.rank_index, r.name, r.total) for r in got["search_lists"].collect()) == [("a", 0, "A", None), ("b", 1, "T", 7)]
+    assert [(r.report_id, r.rank_index) for r in got["search_report_hits"].collect()] == [("r", 0)] and got["research_reports"].first().report_ts_utc is not None
+    assert [(r.news_id, r.symbol) for r in got["news_symbols"].collect()] == [("n", "X")] and [r.news_id for r in got["news"].collect()] == ["n"]
+    assert sorted(r.symbol for r in got["symbols"].collect()) == ["MSFT", "aapl"]
+
+    found = d.lookup(spark.createDataFrame([("t", at, json.dumps({"documents": [{"symbol": "A", "lookupType": "all"}, {"x": 1}, {"symbol": "A", "lookupType": "equity"}, {"symbol": "B", "lookupType": "equity"}], "lookupTotals": {"all": 3, "privateCompany": 0, "odd": "x"}}))], raw.schema))
+    assert sorted((r.symbol, r.rank_index, r.lookup_type) for r in found["lookup_results"].collect()) == [("A", 0, "all"), ("B", 3, "equity")]
+    assert sorted((r.lookup_type, r.total) for r in found["lookup_totals"].collect()) == [("all", 3), ("privateCompany", 0)]
+
+    boards = lambda text: d.market_summary(spark.createDataFrame([("US", at, text)], "region string, fetched_at timestamp, payload string"), spark.createDataFrame([("ES=F",)], "symbol string"))
+    assert [(r.board_code, r.symbol, r.is_known) for r in boards('{"CME": {"symbol": "es=f", "regularMarketPrice": 1.5}}').collect()] == [("CME", "ES=F", True)]
+    for wrong in ('{"error": "text"}', '{"%s": {}}' % ("c" * 17)):
+        with pytest.raises(Exception, match="unexpected shape"):
+            boards(wrong).collect()
+
+
+def test_parts_of_payloads(spark):
+    from brightwater.sources import nested as n
+
+    raw = lambda *bodies: spark.createDataFrame([(" aapl ", NOW, b) for b in bodies], "symbol string, fetched_at timestamp, payload string")
+    people = n.officers(raw('{"companyOfficers":[{"name":"Mr.  A  B","age":50},{"name":"Mr. A B","age":51},{"name":" ","age":1},{"age":2},{"name":"C","totalPay":"N/A"}]}', "{}", None))
+    assert sorted((r.symbol, r.name, r.age, r.total_pay) for r in people.collect()) == [("AAPL", "C", None, None), ("AAPL", "Mr. A B", 50, None)]
+    dates = [(r.earnings_date_start, r.earnings_date_end, r.earnings_date_count) for r in n.ticker_calendar(raw('{"Earnings Date":["2024-05-02","x","2024-05-06"]}', '{"Earnings Date":"2024-05-03"}', "{}")).collect()]
+    assert sorted(dates, key=repr) == sorted([(dt.date(2024, 5, 2), dt.date(2024, 5, 6), 3), (dt.date(2024, 5, 3), dt.date(2024, 5, 3), 1), (None, None, 0)], key=repr)
+    body = json.dumps([{"date": "2024-01-02", "epochDate": 1704153600, "type": "10-K", "title": "a", "edgarUrl": "https://x/0000320193-24-000001/", "exhibits": {"EX-1": "u", "EX-2": None}},
+                       {"date": "2024-01-02", "epochDate": 1704153600, "type": "8-K", "edgarUrl": "https://x/0000320193-24-000001/", "exhibits": {"EX-1": "v"}}, {"date": "2024-01-02", "type": "8-K", "exhibits": {"EX-9": "lost"}}, {"date": "2024-01-03", "epochDate": 5, "type": "4"}])
+    got = n.filings(raw(body))
+    assert sorted((r.filing_id[:10], r.filing_type, r.exhibit_count) for r in got["sec_filings"].collect())[0] == ("0000320193", "8-K", 1) and got["sec_filings"].count() == 2
+    assert sorted((r.exhibit_type, r.url) for r in got["sec_filing_exhibits"].collect()) == [("EX-1", "u"), ("EX-1", "v")]
+    weights = n.fund_weightings(raw('{"sector_weightings":{"Real Estate":0.5,"x":null},"bond_ratings":{"bb":0.25}}', '{"bond_ratings":{}}'))
+    assert sorted((r.category, r.item_key, float(r.weight)) for r in weights.collect()) == [("bond_rating", "bb", 0.25), ("sector", "real_estate", 0.5)]
+    metrics = n.fund_metrics(raw('{"equity_holdings":[{"label":"Price/Book","own":"1.5","category":"2"}],"bond_holdings":[{"label":"Price/Book","own":"N/A"},{"own":"1"}]}'))
+    assert sorted((r.section, r.metric, r.value and float(r.value)) for r in metrics.collect()) == [("bond", "price/book", None), ("equity", "price/book", 1.5)]
+    assert [r.expiry_date for r in n.option_expirations(raw('{"expirations":["2024-06-21","2024-06-21","soon"]}', '{"expirations":[]}')).collect()] == [dt.date(2024, 6, 21)]
