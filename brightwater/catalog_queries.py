@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.series import ohlc
-from .plans import client, datasets, discovery, feed, fetching, gaps, laid_out, lifecycle, market, merges, nested, ops, reads, registry, relations, scalar_rules, terminal, upkeep  # noqa: F401  they register their queries
+from .plans import client, datasets, discovery, feed, fetching, gaps, laid_out, lifecycle, market, merges, nested, ops, reads, registry, relations, scalar_rules, screens, terminal, upkeep  # noqa: F401  they register their queries
 from .plans.registry import query
 from .streaming import ticks  # noqa: F401
 

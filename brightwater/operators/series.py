@@ -9,7 +9,7 @@ from .ranges import MOST, cut, running
 
 
 def order_key(rows: DataFrame, order: list[str]) -> Column:
-    """A number that orders rows as ``order`` does: one or two columns of instants or whole numbers, the first one foremost; null if one of them is.
+    """A number that orders rows as ``order`` does: one or two columns of instants or whole numbers, the first one foremost. Null stands before all others.
 
     A struct orders too, but no hash aggregate keeps one in its buffers: rows would be sorted by key before they are combined.
     """
@@ -24,10 +24,11 @@ def order_key(rows: DataFrame, order: list[str]) -> Column:
         raise ValueError(f"{c} is neither a whole number nor an instant")
 
     if len(order) == 1:
-        return whole(order[0])
+        return F.coalesce(whole(order[0]), F.lit(-(2**63)))
     first, second = order
-    # 2**64 of the second for each of the first: 38 digits are enough for any instant up to the year 9999.
-    return whole(first).cast("decimal(19,0)") * F.lit(str(2**64)).cast("decimal(38,0)") + whole(second).cast("decimal(38,0)")
+    # 2**64 of the second for each of the first: 38 digits are enough for any instant up to the year 9999, and for numbers up to 5 * 10**18.
+    foremost = F.coalesce(whole(first), F.lit(-5 * 10**18)).cast("decimal(19,0)")
+    return foremost * F.lit(str(2**64)).cast("decimal(38,0)") + F.coalesce(whole(second), F.lit(-(2**63))).cast("decimal(38,0)")
 
 
 def ohlc(ticks: DataFrame, key: list[str], bucket: Column, price: str, order: list[str]) -> DataFrame:

@@ -249,6 +249,8 @@ def test_bars_hash_and_do_not_sort(spark):
     plan = bars._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert {r.k: (r.open, r.high, r.low, r.close) for r in bars.collect()} == {"a": (4.0, 7.0, 1.0, 2.0), "b": (1.0, 3.0, 1.0, 3.0)}
+    odd = spark.createDataFrame([("a", None, 5, 2.0), ("a", None, 3, 1.0), ("a", None, None, 9.0), ("b", sec(1), None, 4.0), ("b", sec(1), 0, 5.0)], e.schema)
+    assert {r.k: (r.open, r.close) for r in series.ohlc(odd, ["k"], F.lit(0), "p", ["ts", "id"]).collect()} == {"a": (9.0, 2.0), "b": (4.0, 5.0)}
     with pytest.raises(ValueError):
         series.order_key(e, ["p"])
 

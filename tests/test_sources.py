@@ -127,3 +127,26 @@ def test_parts_of_payloads(spark):
     metrics = n.fund_metrics(raw('{"equity_holdings":[{"label":"Price/Book","own":"1.5","category":"2"}],"bond_holdings":[{"label":"Price/Book","own":"N/A"},{"own":"1"}]}'))
     assert sorted((r.section, r.metric, r.value and float(r.value)) for r in metrics.collect()) == [("bond", "price/book", None), ("equity", "price/book", 1.5)]
     assert [r.expiry_date for r in n.option_expirations(raw('{"expirations":["2024-06-21","2024-06-21","soon"]}', '{"expirations":[]}')).collect()] == [dt.date(2024, 6, 21)]
+
+
+def test_screens_of_several_pages(spark):
+    from brightwater.sources import screens as s
+
+    page = lambda *symbols, total=9: json.dumps({"quotes": [{"symbol": x, "regularMarketPrice": i + 1} if x else {"shortName": "none"} for i, x in enumerate(symbols)], "total": total})
+    late = NOW + dt.timedelta(hours=1)
+    raw = [("a", NOW, 0, page("X", None, "Y")), ("a", NOW, 1, page("Z", "X", total=8)), ("a", NOW, 2, page()), ("b", late, 0, page("Z" * 40, "Y")), ("c", NOW, 0, "broken"), ("d", NOW, 0, None)]
+    got = s.screens(spark.createDataFrame(raw, "screen_key string, fetched_at timestamp, page int, payload string"))
+    assert sorted((r.screen_key, r.symbol[:2], r.rank_index, r.is_known) for r in got["screen_members"].collect()) == [("a", "X", 4, True), ("a", "Y", 2, True), ("a", "Z", 3, True), ("b", "Y", 1, True), ("b", "ZZ", 0, False)]
+    assert sorted((r.symbol[:2], float(r.regular_market_price), r.fetched_at == late) for r in got["screen_quotes"].collect()) == [("X", 1.0, False), ("Y", 2.0, True), ("Z", 1.0, False), ("ZZ", 1.0, True)]
+    assert sorted((r.screen_key, r.total, r.page_count, r.members) for r in got["screen_runs"].collect()) == [("a", 9, 3, 3), ("b", 9, 1, 2), ("c", None, 1, 0), ("d", None, 1, 0)]
+    assert sorted(r.symbol for r in got["symbols"].collect()) == ["X", "Y", "Z"]
+
+
+def test_sectors_and_industries(spark):
+    from brightwater.sources import screens as s
+
+    body = lambda symbol, *parts: json.dumps({"symbol": symbol, "name": "N", "industries": [{"key": k, "symbol": f"^{k}", "name": n} for k, n in parts]})
+    raw = [("tech", NOW, body("^T", ("chips", "Chips"), (None, "All"), ("odd", None))), ("energy", NOW, body("^E", ("chips", "Other"), ("oil", "Oil"))), ("lost", NOW, body(None, ("gone", "Gone"))), ("null", NOW, None)]
+    got = s.taxonomy(spark.createDataFrame(raw, "sector_key string, fetched_at timestamp, payload string"))
+    assert sorted((r.domain_key, r.domain_type, r.parent_key, r.name) for r in got["domains"].collect()) == [("chips", "industry", "energy", "Other"), ("energy", "sector", None, "N"), ("oil", "industry", "energy", "Oil"), ("tech", "sector", None, "N")]
+    assert sorted((r.symbol, r.is_active) for r in got["symbols"].collect()) == [("^E", False), ("^T", False), ("^chips", False), ("^oil", False)]
