@@ -130,7 +130,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "do
                 if not norm:
                     langs.append("und"), scores.append(0.0)
                     continue
-                near = matrix @ v / norm
+                near = np.round(matrix @ v / norm, 9)  # equal profiles are equal whatever way their products are summed
                 best = int(near.argmax())
                 langs.append(names[best]), scores.append(min(1.0, max(0.0, float(near[best]))))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
