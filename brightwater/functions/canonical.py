@@ -69,6 +69,24 @@ def _canonical_text(rows: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+@F.arrow_udf(StringType())
+def _number_text(numbers: pa.Array) -> pa.Array:
+    return pa.array([None if x is None or not math.isfinite(x) else repr(x) for x in numbers.to_pylist()], pa.string())
+
+
+def flat_row(numbers: list[str], others: list[str], source: dict[str, Column]) -> Column:
+    """The canonical text of a row without nested parts: only the shortest digits of ``numbers`` (doubles and floats) are Python's work. ``others`` are text, whole numbers and booleans."""
+    ship_package(SparkSession.active())
+    pieces = []
+    for name in sorted([*numbers, *others]):
+        if name in numbers:
+            pieces.append(F.concat(F.lit(json.dumps(name, ensure_ascii=False) + ":"), F.coalesce(_number_text(source[name].cast("double")), F.lit("null"))))
+        else:
+            one = F.to_json(F.struct(source[name].alias(name)), {"ignoreNullFields": "false"})
+            pieces.append(F.substring(one, F.lit(2), F.length(one) - 2))
+    return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
+
+
 def canonical_value(value: Column) -> Column:
     """The canonical text of a column of any type; a null column is ``null``."""
     ship_package(SparkSession.active())

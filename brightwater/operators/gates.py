@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.canonical import canonical_text, canonical_value
+from ..functions.canonical import canonical_text, canonical_value, flat_row
 
 
 #: Kinds that the JVM writes as canonical JSON does.
@@ -16,11 +16,15 @@ def row_hash(df: DataFrame, volatile: list[str] = (), name: str = "content_hash"
     """Adds the hash of a row's canonical JSON without the ``volatile`` columns. ``bodies`` are columns of JSON text, of which the order of keys and the spacing don't count."""
     columns = [c for c in df.columns if c not in volatile]
     rows = df.withColumns({f"_b_{c}": canonical_text(F.col(f"`{c}`")) for c in bodies})
-    of = [F.col(f"_b_{c}").alias(c) if c in bodies else F.col(f"`{c}`") for c in sorted(columns)]
-    if all(df.schema[c].dataType.typeName() in _PLAIN for c in columns):
-        text = F.to_json(F.struct(*of), {"ignoreNullFields": "false"})
+    of = {c: F.col(f"_b_{c}") if c in bodies else F.col(f"`{c}`") for c in sorted(columns)}
+    kinds = {c: df.schema[c].dataType.typeName() for c in columns}
+    numbers = [c for c in columns if kinds[c] in ("double", "float")]
+    if not set(kinds.values()) <= _PLAIN | {"double", "float"}:
+        text = canonical_value(F.struct(*[c.alias(n) for n, c in of.items()]))
+    elif numbers:
+        text = flat_row(numbers, [c for c in columns if c not in numbers], of)
     else:
-        text = canonical_value(F.struct(*of))
+        text = F.to_json(F.struct(*[c.alias(n) for n, c in of.items()]), {"ignoreNullFields": "false"})
     return rows.withColumn(name, F.sha2(text, 256)).drop(*[f"_b_{c}" for c in bodies])
 
 

@@ -238,6 +238,12 @@ def test_canonical_rows_and_gates(spark):
     rows = spark.createDataFrame([(1, '{"a": 1, "b": {"d": 1, "c": 2}}'), (1, '{"b":{"c":2,"d":1},"a":1}'), (1, '{"b":{"c":2,"d":1},"a":2}')], "id long, body string")
     hashes = [r.content_hash for r in gates.row_hash(rows, bodies=["body"]).collect()]
     assert hashes[0] == hashes[1] != hashes[2] and gates.row_hash(rows, bodies=["body"]).columns == ["id", "body", "content_hash"]
+    # Flat rows of numbers are written as any other row is.
+    flat = spark.createDataFrame([(1, 0.1, "a\"é", True), (None, 1e-7, None, None), (3, float("nan"), "", False), (4, -1e22, "x", True), (5, None, "\n", None), (6, 12345678.0, "y", True)], "z long, b double, s string, f boolean")
+    import hashlib
+
+    want = [hashlib.sha256(r.t.encode()).hexdigest() for r in flat.select(canonical_row(["z", "b", "s", "f"]).alias("t")).collect()]
+    assert [r.content_hash for r in gates.row_hash(flat).collect()] == want
     twice = spark.createDataFrame([("x", 1), ("x", 2), ("y", 2), ("y", 1), ("z", 1), ("z", 2), ("z", 2)], "k string, v long")
     of = lambda k: gates.group_hash(twice.filter(F.col("k") == k).withColumn("k", F.lit("one")), ["k"]).first().content_hash
     assert of("x") == of("y") != of("z")
