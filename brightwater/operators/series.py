@@ -119,11 +119,11 @@ def out_of_session(bars: DataFrame, sessions: DataFrame, day: str, ts: str) -> D
 
 
 def gaps(ticks: DataFrame, key: list[str], ts: str, seconds: int, most: int | None = MOST) -> DataFrame:
-    """(key, gap_start, gap_end) where two neighbours are further apart."""
+    """(key, gap_start, gap_end) where two neighbours are further apart, each instant taken to its nearest whole second (halves to the even one)."""
     rows = cut(ticks.select(*key, ts), key, [ts], most)
     nxt = running(rows, key, [ts], backward=True, gap_end=("last", F.col(ts))).withColumnRenamed(ts, "gap_start")
-    apart = F.unix_timestamp(F.col("gap_end").cast("timestamp")) - F.unix_timestamp(F.col("gap_start").cast("timestamp"))
-    return nxt.filter(apart > seconds).select(*key, "gap_start", "gap_end")
+    whole = lambda c: F.rint(F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000).cast("long")
+    return nxt.filter(whole("gap_end") - whole("gap_start") > seconds).select(*key, "gap_start", "gap_end")
 
 
 def last_rows(rows: DataFrame, key: list[str], order: list[Column], n: int) -> DataFrame:

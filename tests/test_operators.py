@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from decimal import Decimal as D
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,16 @@ def test_ranges_and_slices(spark):
     assert [(x.window_start, x.window_end) for x in series.sliced(r, "a", "b", 7).collect()] == [(day(2024, 1, 1), day(2024, 1, 8)), (day(2024, 1, 8), day(2024, 1, 10))]
 
 
+def test_gaps_are_between_whole_seconds_rounded_as_in_sql(spark):
+    """Fractions round to the nearest second, halves to the even one, before they are compared."""
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=s)
+    ends = [(1_971_795, 12_483_950), (1_400_000, 11_600_000), (500_000, 11_500_000), (1_500_000, 12_500_000), (1_500_000, 13_500_000), (0, 10_500_000), (0, 10_500_001)]
+    df = spark.createDataFrame([(k, at(x)) for k, pair in enumerate(ends) for x in pair], "k int, at timestamp_ntz")
+    con = duckdb.connect()
+    want = [k for k, (a, b) in enumerate(ends) if con.execute("SELECT epoch(?::TIMESTAMP)::BIGINT - epoch(?::TIMESTAMP)::BIGINT > 10", [at(b), at(a)]).fetchone()[0]]
+    assert sorted(r.k for r in series.gaps(df, ["k"], "at", 10).collect()) == want == [1, 2, 4, 6]
+
+
 def test_as_of_forward_drops_both_ends(spark):
     a = spark.createDataFrame([("s", 1), ("s", 5), ("s", 6), ("s", 99), ("t", 1)], "k string, at int")
     c = spark.createDataFrame([("s", 5, 50.0), ("s", 8, 80.0)], "k string, at int, v double")
