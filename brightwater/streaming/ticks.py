@@ -212,16 +212,26 @@ def counters_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(Counters.SCHEMA).parquet(path)
 
 
-def replayed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 4, order: str = "event_id", rows_a_file: int = 2_000_000) -> DataFrame:
-    """The event table as a stream of so many batches: batch b of n holds the b-th of n equal parts of the span of ``order``, and null in the first."""
+def replayed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 4, order: str = "event_id", rows_a_file: int = 250_000) -> DataFrame:
+    """The event table as a stream of so many batches: batch b of n holds the b-th of n equal parts of the span of ``order``, and null in the first.
+
+    Every batch is as many files as the others, so that a trigger takes just its own; where rows are too few for that, empty files make up the number.
+    Files are small, as a stream's tasks are no more than its files.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     at = F.col(order) if order == "event_id" else F.unix_micros(F.col(order).cast("timestamp"))
-    low, high = events.agg(F.min(at), F.max(at)).first()
-    dealt = events.withColumn("_b", F.floor((at - low) * batches / (high - low + 1)).cast("int"))
-    each = max(1, -(-events.count() // (batches * rows_a_file)))
+    low, high, total = events.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    low, high = (0, 0) if low is None else (low, high)
+    each = max(1, -(-total // (batches * rows_a_file)))
+    first = [low - (-b * (high - low + 1) // batches) for b in range(batches + 1)]
+    nothing = spark.createDataFrame([], events.schema).coalesce(1)
     for b in range(batches):
-        part = dealt.filter(F.coalesce("_b", F.lit(0)) == b).drop("_b")
+        mine = (at >= first[b]) & (at < first[b + 1])  # of the bare column, so other row groups are not read
+        part = events.filter(mine if b else mine | at.isNull())
         (part.coalesce(1) if each == 1 else part.repartition(each)).write.mode("append").parquet(f"{folder}/events")
+        fs, path = _files(spark, f"{folder}/events")
+        for _ in range(each * (b + 1) - sum(f.getPath().getName().startswith("part-") for f in fs.listStatus(path))):
+            nothing.write.mode("append").parquet(f"{folder}/events")
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", each).parquet(f"{folder}/events")
 
 

@@ -118,3 +118,22 @@ def test_a_table_of_part_files_streams_too(spark, tmp_path):
     for i, when, k, *_ in rows:
         newest[k] = max(newest.get(k, (when, i)), (when, i))
     assert quotes(spark, out) == {k: i for k, (_, i) in newest.items()}
+
+
+@pytest.mark.parametrize("rows_a_file", [1, 10, 1000])
+def test_batches_hold_their_own_span_however_few_rows_that_has(spark, tmp_path, rows_a_file):
+    """A part without rows, one with a single one, and null, dealt over several files a batch."""
+    numbers = [None, *range(60), 150, *range(300, 400)]
+    spark.createDataFrame([(i, at(1), 1, "a", 1.0, '{"k": 1}') for i in numbers], SCHEMA).repartition(3).write.parquet(str(tmp_path / "t/events.parquet"))
+    seen = {}
+    stream = ticks.replayed(spark, str(tmp_path / "t"), str(tmp_path), rows_a_file=rows_a_file)
+    run = stream.writeStream.foreachBatch(lambda df, n: seen.update({n: sorted(r.event_id if r.event_id is not None else -1 for r in df.collect())}))
+    run.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == {0: [-1, *range(60)], 1: [150], 2: [], 3: list(range(300, 400))}
+
+
+def test_a_batch_is_as_many_tasks_work_as_it_needs(spark, tmp_path):
+    spark.range(1_200_000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' AS ts", "id % 7 AS user_id", "'a' AS event_type", "1D AS value", "'' AS props").write.parquet(str(tmp_path / "t/events.parquet"))
+    ticks.replayed(spark, str(tmp_path / "t"), str(tmp_path))
+    sizes = [r[0] for r in spark.read.parquet(str(tmp_path / "events")).groupBy(F.input_file_name()).count().select("count").collect()]
+    assert len(sizes) == 8 and sum(sizes) == 1_200_000 and max(sizes) <= 250_000
