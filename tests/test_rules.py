@@ -155,6 +155,25 @@ def test_candles_fold_in_the_order_of_arrival(spark, tmp_path):
     assert rows_of(bars_of(spark, str(tmp_path / "out"), "k").select("k", "bar_ts", "open", "high", "low", "close")) == want
 
 
+def test_a_stream_of_bars_goes_on_from_versions_and_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    """Many symbols in seven batches, a null one among them, with a version of last bars every second batch or every third."""
+    schema = "k long, id long, at timestamp_ntz, p double"
+    rows = spark.range(21_000).selectExpr("nullif(id * 37 % 1501, 0) AS k", "id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 3 - if(id % 11 = 0, 9000, 0)) AS at", "cast(id * 7 % 97 AS double) AS p")
+    want = rows_of(series.folded_candles(rows, ["k"], "at", "p", "id", 3600))
+    for a in range(0, 21_000, 3000):
+        rows.filter(f"id >= {a} AND id < {a + 3000}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for every in (2, 3, 16):
+        out = tmp_path / f"out{every}"
+        fold(raw, str(out), "k", "at", "p", "id", 3600, every)
+        assert rows_of(bars_of(spark, str(out), "k").select("k", "bar_ts", "open", "high", "low", "close")) == want
+        assert len(list(out.glob("bars/batch=*"))) == 7 and len(list(out.glob("last/version=*"))) == 7 // every
+        for done in (out / "checkpoint/commits").glob("*6*"):
+            done.unlink()  # the last batch ends before it is noted as done
+        fold(raw, str(out), "k", "at", "p", "id", 3600, every)
+        assert rows_of(bars_of(spark, str(out), "k").select("k", "bar_ts", "open", "high", "low", "close")) == want
+
+
 def test_a_session_is_only_extended(spark):
     last = spark.createDataFrame([("a", sec(50_000), 5.0, 6.0, 4.0, 5.5), ("b", sec(50_000), 5.0, 6.0, 4.0, 5.5)], "k string, bar_ts timestamp_ntz, open double, high double, low double, close double")
     ticks = spark.createDataFrame([("a", 1, sec(10), 9.0), ("a", 2, sec(86_399), 4.5), ("a", 3, sec(86_400), 99.0), ("a", 4, sec(5), None), ("c", 5, sec(50_000), 1.0)], "k string, id long, at timestamp_ntz, p double")
