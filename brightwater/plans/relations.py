@@ -412,7 +412,8 @@ def typed_sort(spark, d):
     number, day = F.col("v").try_cast("double"), F.col("v").try_cast("date")
     kind = F.when(F.col("v") == "", 3).when(number.isNotNull(), 0).when(day.isNotNull(), 1).otherwise(2)
     half = o.count() // 4 - 25
-    return o.select("o_orderkey", v.alias("v")).orderBy(kind, number, day, F.lower("v"), "o_orderkey").offset(half).limit(50)
+    rows = o.select("o_orderkey", v.alias("v")).withColumns({"_kind": kind, "_number": number, "_day": day, "_text": F.lower("v")})
+    return keyset.page_at(rows, ["_kind", "_number", "_day", "_text", "o_orderkey"], half, 50).select("o_orderkey", "v")
 
 
 @query("srt_05_sorted_before_hash", "SELECT o_custkey, sha256(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR)) AS h FROM orders GROUP BY 1")

@@ -108,6 +108,21 @@ def test_pages_walk_the_whole_table(spark):
     assert keyset.decode({}, keyset.encode({}, [day, "x"])) == [day, "x"]
 
 
+def test_a_page_from_far_behind_sorts_its_own_ranges_alone(spark):
+    df = spark.createDataFrame([(i * 7919 % 1009 % 10 if i % 13 else None, i) for i in range(1009)], "a int, b int").repartition(5)
+    want = [tuple(r) for r in df.orderBy("a", "b").collect()]
+    for offset, size in ((0, 5), (-3, 2), (500, 40), (1000, 40), (1009, 3), (0, 1009), (750, 0)):
+        got = keyset.page_at(df, ["a", "b"], offset, size)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want[max(0, offset):max(0, offset) + size], key=str)
+    assert "TakeOrdered" not in keyset.page_at(df, ["a", "b"], 500, 40)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_typed_sort_keeps_no_rows_before_its_page(spark):
+    from brightwater.plans.relations import typed_sort
+
+    assert "TakeOrdered" not in typed_sort(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gates(spark):
     a = gates.row_hash(spark.createDataFrame([(1, "x", 1), (2, "y", 1), (3, None, 1)], "k int, v string, at int"), ["at"])
     b = gates.row_hash(spark.createDataFrame([(1, "x", 2), (2, "z", 2), (4, "n", 2)], "k int, v string, at int"), ["at"])
