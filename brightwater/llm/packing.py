@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 
 #: Words and their parts whose ids a worker remembers, twice over.
-REMEMBER = 150_000
+REMEMBER = 450_000
 #: Streams at most; a shuffle of millions of partitions would cost more than what it deals out.
 MOST_STREAMS = 1 << 14
 #: A word that stands between the words of one call to the tokenizer; words that hold it are asked for alone.
